@@ -5,11 +5,13 @@ from lapwise.functions.expressions import (
     all_true,
     change_label,
     composite_key,
+    interval_seconds,
     is_complete,
     parse_utc,
     round_columns,
     seconds_between,
     sort_nulls_last,
+    utc_wall_clock,
     within_seconds,
 )
 
@@ -18,10 +20,12 @@ __all__ = [
     "all_true",
     "change_label",
     "composite_key",
+    "interval_seconds",
     "is_complete",
     "parse_utc",
     "round_columns",
     "seconds_between",
     "sort_nulls_last",
+    "utc_wall_clock",
     "within_seconds",
 ]

@@ -19,8 +19,12 @@ def add_seconds(time: Column | str, seconds: Column | str) -> Column:
 
 def seconds_between(later: Column | str, earlier: Column | str) -> Column:
     """``later - earlier`` as double seconds, to the microsecond."""
-    gap = _col(later) - _col(earlier)
-    return gap.cast("interval second").cast("decimal(20,6)").cast("double")
+    return interval_seconds(_col(later) - _col(earlier))
+
+
+def interval_seconds(interval: Column | str) -> Column:
+    """A day-time interval as double seconds, to the microsecond."""
+    return _col(interval).cast("interval second").cast("decimal(20,6)").cast("double")
 
 
 def within_seconds(later: Column | str, earlier: Column | str, seconds: float) -> Column:
@@ -30,12 +34,22 @@ def within_seconds(later: Column | str, earlier: Column | str, seconds: float) -
 
 
 def parse_utc(text: Column | str, strict: bool = True) -> Column:
-    """ISO-8601 text to a timestamp.
+    """ISO-8601 text to a timestamp; a time without an offset is UTC, whatever the session time zone.
 
-    An offset in the text is honoured, text without one is read in the session time zone (UTC, see
-    ``session``). Malformed text raises, or becomes null with ``strict=False``.
+    Malformed text raises, or becomes null with ``strict=False``.
     """
-    return F.to_timestamp(_col(text)) if strict else F.try_to_timestamp(_col(text))
+    text = _col(text)
+    lacks_offset = text.rlike(r"[T ]\d{2}:\d{2}(:\d{2}([.]\d+)?)?$")
+    parsed = F.try_to_timestamp(F.when(lacks_offset, F.concat(text, F.lit("Z"))).otherwise(text))
+    if not strict:
+        return parsed
+    malformed = F.raise_error(F.concat(F.lit("not an ISO-8601 time: "), text)).cast("timestamp")
+    return F.when(text.isNotNull() & parsed.isNull(), malformed).otherwise(parsed)
+
+
+def utc_wall_clock(time: Column | str) -> Column:
+    """A TIMESTAMP as the TIMESTAMP_NTZ that a clock in UTC shows."""
+    return F.convert_timezone(None, F.lit("UTC"), _col(time).cast("timestamp_ntz"))
 
 
 def is_complete(*columns: Column | str) -> Column:

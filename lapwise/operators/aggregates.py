@@ -84,10 +84,16 @@ def grouped_median(
     return found.select(*keys, checked.cast("double").alias(out))
 
 
-def filtered_counts(df: DataFrame, conditions: Mapping[str, Column], total: str | None = None) -> DataFrame:
-    """One row, one count per condition (rows for which it is unknown are not counted), in one pass."""
+def filtered_counts(
+    df: DataFrame, conditions: Mapping[str, Column], total: str | None = None, **others: Column
+) -> DataFrame:
+    """One row, one count per condition (rows for which it is unknown are not counted), in one pass.
+
+    ``total`` names a count of all rows, ``others`` further aggregates.
+    """
     counts = [F.count_if(condition).alias(name) for name, condition in conditions.items()]
-    return df.agg(*([F.count(F.lit(1)).alias(total)] if total else []), *counts)
+    first = [F.count(F.lit(1)).alias(total)] if total else []
+    return df.agg(*first, *[column.alias(name) for name, column in others.items()], *counts)
 
 
 def truth_counts(flag: str, prefix: str) -> dict[str, Column]:
