@@ -39,8 +39,9 @@ def parse_utc(text: Column | str, strict: bool = True) -> Column:
     Malformed text raises, or becomes null with ``strict=False``.
     """
     text = _col(text)
-    lacks_offset = text.rlike(r"[T ]\d{2}:\d{2}(:\d{2}([.]\d+)?)?$")
-    parsed = F.try_to_timestamp(F.when(lacks_offset, F.concat(text, F.lit("Z"))).otherwise(text))
+    full = F.regexp_replace(text, r"([T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
+    full = F.regexp_replace(full, r"([T ]\d{2}:\d{2}:\d{2}([.]\d+)?)$", "$1Z")
+    parsed = F.try_to_timestamp(full)
     if not strict:
         return parsed
     malformed = F.raise_error(F.concat(F.lit("not an ISO-8601 time: "), text)).cast("timestamp")

@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lapwise.operators.slices import MAX_ROWS, Slices, find_slices
 
 
+def _latest(column: Column) -> Column:
+    return F.last(column, ignorenulls=True)
+
+
 @dataclass(frozen=True)
 class OrderedRows:
     """Rows with an ordering inside each key. Methods add a column and return the widened rows.
@@ -34,8 +38,12 @@ class OrderedRows:
     ) -> OrderedRows:
         """``order`` must decide between any two rows of a key that differ in what is looked up.
 
-        ``counted`` are the rows that count towards the size of a key, all of them by default.
+        Rows are cut along the order columns up to the first of a type that can not be cut, such as a
+        double. ``counted`` are the rows that count towards the size of a key, all by default. For one
+        sequence over a whole table, use a constant column as key.
         """
+        if not keys:
+            raise ValueError("at least one key column is needed")
         slices = find_slices(df if counted is None else counted, keys, order, max_rows)
         return cls(slices.tag(df), tuple(keys), tuple(order), slices)
 
@@ -72,7 +80,7 @@ class OrderedRows:
         df = self.slices.carry(
             df,
             nearest("_wrapped", self._position()),
-            lambda c: F.last(c, ignorenulls=True),
+            _latest,
             "_carried",
             from_later,
         )
@@ -80,14 +88,19 @@ class OrderedRows:
         df = df.withColumn(out, F.coalesce(inside, F.col("_carried"))["value"])
         return self.with_df(df.drop("_wrapped", "_carried"))
 
-    def running_last(self, column: str, out: str, include_current: bool = True) -> OrderedRows:
-        """Most recent non-null value of the column, up to the current row or the one before it."""
+    def running_last(
+        self, column: str, out: str, include_current: bool = True, bounded: bool = False
+    ) -> OrderedRows:
+        """Most recent non-null value of the column, up to the current row or the one before it.
+
+        ``bounded`` says that values are small even though their type does not tell.
+        """
         frame = self.window().rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
         inside = F.last(column, ignorenulls=True).over(frame)
         if not self.slices.levels:
             return self.with_df(self.df.withColumn(out, inside))
         latest = F.max_by(column, F.when(F.col(column).isNotNull(), self._position()))
-        df = self.slices.carry(self.df, latest, lambda c: F.last(c, ignorenulls=True), "_carried")
+        df = self.slices.carry(self.df, latest, _latest, "_carried", bounded=bounded)
         return self.with_df(df.withColumn(out, F.coalesce(inside, F.col("_carried"))).drop("_carried"))
 
     def running_max(self, column: str, out: str) -> OrderedRows:

@@ -12,7 +12,7 @@ so there are never more than MAX_CELLS of them, whatever the size of the table.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,18 +21,22 @@ from pyspark.sql import types as T
 MAX_ROWS = 1_000_000
 MAX_CELLS = 4096
 SPLIT_BITS = 8
+# Up to this many slices, summaries of bounded width are broadcast; beyond, they are joined by a shuffle.
+MAX_BROADCAST_SLICES = 10_000
 
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
 
 
 def can_cut(df: DataFrame, column: str) -> bool:
     """Whether the column maps onto whole numbers that keep its order."""
     kind = df.schema[column].dataType
-    return isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType, *_INTEGRAL))
+    return kind == T.StringType() or isinstance(
+        kind, (T.TimestampType, T.TimestampNTZType, T.DateType, *_INTEGRAL)
+    )
 
 
 def position(df: DataFrame, column: str) -> Column:
-    """The column as a whole number with the same order."""
+    """The column as a whole number that never decreases where the column increases."""
     kind = df.schema[column].dataType
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(column)
@@ -42,9 +46,21 @@ def position(df: DataFrame, column: str) -> Column:
         return (since.cast("interval second").cast("decimal(20,6)") * 1_000_000).cast("long")
     if isinstance(kind, T.DateType):
         return F.unix_date(column).cast("long")
+    if isinstance(kind, T.StringType):
+        # The first seven bytes as one number; text is ordered by its bytes.
+        return F.conv(F.rpad(F.substring(F.hex(column), 1, 14), 14, "0"), 16, 10).cast("long")
     return F.col(column).cast("long")
 
 
+def has_bounded_width(kind: T.DataType) -> bool:
+    """Whether values of the type have a fixed size."""
+    if isinstance(kind, T.StructType):
+        return all(has_bounded_width(f.dataType) for f in kind.fields)
+    return not isinstance(
+        kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.VarcharType, T.CharType, T.VariantType)
+    )
+
+
 def same_keys(pairs: Sequence[tuple[str, str]]) -> Column:
     """Join condition over (left, right) column pairs that treats nulls as equal."""
     condition = F.lit(True)
@@ -53,12 +69,12 @@ def same_keys(pairs: Sequence[tuple[str, str]]) -> Column:
     return condition
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], max_rows: int, *extra: Column) -> DataFrame:
+def large_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     """Keys with more than ``max_rows`` rows, at most MAX_CELLS of them.
 
     ``_limit`` is the limit applied: ``max_rows``, or 1/MAX_CELLS of all rows if that is more.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *extra)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = sizes.agg(F.sum("_rows")).scalar()
     limit = F.greatest(F.lit(max_rows), F.ceil(total / MAX_CELLS)).cast("long")
     return sizes.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit"))
@@ -71,7 +87,8 @@ class Slices:
     keys: tuple[str, ...]
     axes: tuple[str, ...] = ()
     origins: tuple[int, ...] = ()
-    levels: tuple[tuple[int, int, DataFrame], ...] = field(default=())
+    levels: tuple[tuple[int, int, DataFrame], ...] = ()
+    count: int = 0
     fine_enough: bool = True
 
     @property
@@ -110,10 +127,12 @@ class Slices:
         combine,
         out: str,
         from_later: bool = False,
+        bounded: bool = False,
     ) -> DataFrame:
         """Add ``out``: ``combine`` over the ``summary`` of all earlier (or later) slices of the key.
 
-        ``df`` must be tagged. Summaries have one row per slice of a cut key.
+        ``df`` must be tagged. Summaries have one row per slice of a cut key. ``bounded`` vouches for the
+        size of summaries whose type does not bound it.
         """
         if not self.levels:
             raise ValueError("nothing is cut, so there is nothing to carry")
@@ -125,6 +144,9 @@ class Slices:
         carried = per_slice.select(
             *[F.col(c).alias(d) for c, d in pairs], combine(F.col("_summary")).over(before).alias(out)
         )
+        bounded = bounded or has_bounded_width(carried.schema[out].dataType)
+        if bounded and self.count <= MAX_BROADCAST_SLICES:
+            carried = F.broadcast(carried)
         return df.join(carried, same_keys(pairs), "left").drop(*[d for _, d in pairs])
 
 
@@ -149,31 +171,38 @@ def find_slices(
     if max_rows is None or not axes:
         return Slices(keys)
 
-    positions = [position(df, axis).alias(f"_axis_{i}") for i, axis in enumerate(axes)]
-    rows = df.select(*keys, *positions)
-    bounds = [f(f"_axis_{i}").alias(f"_{f.__name__}_{i}") for i in range(len(axes)) for f in (F.min, F.max)]
-    large = large_groups(rows, keys, max_rows, *bounds).collect()
+    # Nothing but the keys is read, unless some key turns out to be too large.
+    large = large_groups(df, keys, max_rows).collect()
     if not large:
         return Slices(keys)
 
     limit = large[0]["_limit"]
-    lows = [min((r[f"_min_{i}"] for r in large if r[f"_min_{i}"] is not None), default=0) for i in range(len(axes))]
-    highs = [max((r[f"_max_{i}"] for r in large if r[f"_max_{i}"] is not None), default=0) for i in range(len(axes))]
+    key_schema = T.StructType([T.StructField(k, df.schema[k].dataType, True) for k in keys])
+    large_keys = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in large], key_schema)
+    pairs = [(k, f"_large_{k}") for k in keys]
+    large_keys = large_keys.withColumnsRenamed(dict(pairs))
+    rows = df.select(*keys, *[position(df, axis).alias(f"_axis_{i}") for i, axis in enumerate(axes)])
+    rows = rows.join(F.broadcast(large_keys), same_keys(pairs)).drop(*[d for _, d in pairs])
+
+    ends = [f(f"_axis_{i}") for i in range(len(axes)) for f in (F.min, F.max)]
+    ends = [end or 0 for end in rows.agg(*ends).first()]
+    lows, highs = ends[::2], ends[1::2]
     rows = rows.withColumns({f"_axis_{i}": F.col(f"_axis_{i}") - F.lit(low) for i, low in enumerate(lows)})
 
     columns = [f"_slice_{i}" for i in range(len(axes))]
-    schema = T.StructType(
-        [T.StructField(k, df.schema[k].dataType, True) for k in keys]
-        + [T.StructField(c, T.LongType(), False) for c in columns]
-    )
+    schema = T.StructType(key_schema.fields + [T.StructField(c, T.LongType(), False) for c in columns])
     cells = [tuple(r[k] for k in keys) + (-1,) * len(axes) for r in large]
-    slices = Slices(keys, tuple(axes), tuple(lows))
+    levels: list[tuple[int, int, DataFrame]] = []
+    count = 0
     for axis, (low, high) in enumerate(zip(lows, highs)):
-        shift = (high - low).bit_length()
+        # The first axis always gets a level: its slice column tells which keys are cut.
+        shift = max((high - low).bit_length(), 0 if levels else 1)
         while cells and shift > 0:
             shift = max(shift - SPLIT_BITS, 0)
-            level = (axis, shift, df.sparkSession.createDataFrame(cells, schema))
-            slices = Slices(keys, slices.axes, slices.origins, (*slices.levels, level))
-            sizes = slices._refine(rows).where(F.col("_slice_0") >= 0).groupBy(*keys, *columns).count()
-            cells = [tuple(r[c] for c in [*keys, *columns]) for r in sizes.where(F.col("count") > limit).collect()]
-    return Slices(keys, slices.axes, slices.origins, slices.levels, fine_enough=not cells)
+            levels.append((axis, shift, df.sparkSession.createDataFrame(cells, schema)))
+            tagged = Slices(keys, tuple(axes), tuple(lows), tuple(levels))._refine(rows)
+            sizes = tagged.groupBy(*keys, *columns).count()
+            oversized = F.when(F.col("count") > limit, F.struct(*keys, *columns))
+            found = sizes.agg(F.count(F.lit(1)).alias("slices"), F.collect_list(oversized).alias("oversized")).first()
+            count, cells = found["slices"], [tuple(r) for r in found["oversized"]]
+    return Slices(keys, tuple(axes), tuple(lows), tuple(levels), count, fine_enough=not cells)

@@ -247,9 +247,11 @@ def state_timeline(
 
     ``order[0]`` is the time of the events; see ``state_changes`` for the rules.
     """
-    rows = _state_changes(
-        events, keys, order, signal, set_rules, conditional_rules or {}, initial, state, max_rows
-    )
+    rules = (signal, set_rules, conditional_rules or {}, initial, state, max_rows)
+    rows = _state_changes(events, keys, order, *rules)
+    if not rows.slices.fine_enough:
+        # Too many events share one instant. Copies of an event change nothing, so one of each will do.
+        rows = _state_changes(events.select(*keys, *order, signal).distinct(), keys, order, *rules)
     # Same keys, order and slices as above, so this needs no further shuffle.
     closed = _close(rows, order[0], "_end", keep_open).df
     return closed.select(
@@ -281,7 +283,8 @@ def _state_changes(
     for name, new_state in set_rules.items():
         target = F.when(F.col(signal) == name, new_state).otherwise(target)
     rows = OrderedRows.of(relevant.withColumn("_target", target), keys, order, max_rows)
-    rows = rows.running_last("_target", "_base")
+    # The states are those of the rules, so what is carried between slices is small.
+    rows = rows.running_last("_target", "_base", bounded=True)
 
     reached = F.col("_target")
     base = F.coalesce("_base", F.lit(initial))
@@ -289,7 +292,8 @@ def _state_changes(
         fires = (F.col(signal) == name) & (base == before)
         reached = F.when(fires, after).otherwise(reached)
     rows = rows.with_df(rows.df.withColumn("_reached", reached))
-    rows = rows.running_last("_reached", "_now").running_last("_reached", "_before", include_current=False)
+    rows = rows.running_last("_reached", "_now", bounded=True)
+    rows = rows.running_last("_reached", "_before", include_current=False, bounded=True)
 
     now = F.coalesce("_now", F.lit(initial))
     before = F.coalesce("_before", F.lit(initial))

@@ -30,8 +30,19 @@ def read_parallel_arrays(
 
 
 def inline_arrays(df: DataFrame, *arrays: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per index of the parallel array columns, next to the kept columns."""
-    return df.select(*keep, F.inline(F.arrays_zip(*arrays)))
+    """One row per index of the parallel array columns, next to the kept columns.
+
+    An array that is missing altogether yields nulls; arrays of unequal length raise.
+    """
+    longest = F.greatest(F.lit(0), *[F.size(a) for a in arrays])
+    unequal = F.lit(False)
+    for name in arrays:
+        unequal = unequal | F.coalesce(F.size(name) != longest, F.lit(False))
+    present = [F.coalesce(F.col(a), F.array().cast(df.schema[a].dataType)).alias(a) for a in arrays]
+    zipped = F.arrays_zip(*arrays)
+    rows = df.select(*keep, *present, unequal.alias("_unequal"))
+    checked = F.when(F.col("_unequal"), F.raise_error(F.lit("parallel arrays of unequal length"))).otherwise(zipped)
+    return rows.select(*keep, F.inline(checked))
 
 
 # Text formats that keep microseconds, which the default CSV and JSON formats drop.
