@@ -7,8 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwise.operators.slices import MAX_ROWS, large_groups, same_keys
+from lapwise.operators.slices import large_groups, same_keys
 
+# Values of one group that a task keeps in memory without trouble.
+MAX_VALUES = 1_000_000
 # Rank error of the sketch that brackets a median, and the distance of the bracket from the middle.
 SKETCH_ACCURACY = 10_000
 BRACKET = (0.4995, 0.5005)
@@ -19,7 +21,7 @@ def grouped_summary(
     keys: Sequence[str],
     aggregates: Mapping[str, Column],
     medians: Mapping[str, str] | None = None,
-    max_rows: int | None = MAX_ROWS,
+    max_rows: int | None = MAX_VALUES,
 ) -> DataFrame:
     """One row per group: the named aggregates, and exact interpolated medians of the named columns.
 
@@ -42,7 +44,7 @@ def grouped_summary(
 
 
 def grouped_median(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, max_rows: int = MAX_ROWS
+    df: DataFrame, keys: Sequence[str], value: str, out: str, max_rows: int = MAX_VALUES
 ) -> DataFrame:
     """Exact interpolated median per group, for groups of any size; groups without values are left out.
 

@@ -59,8 +59,9 @@ class OrderedRows:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, *self.slices.columns).orderBy(*self.order)
 
-    def _position(self):
-        return F.struct(*self.order)
+    def _position(self) -> Column:
+        # A single column of a primitive type can be aggregated by hashing, a struct only by sorting.
+        return F.col(self.order[0]) if len(self.order) == 1 else F.struct(*self.order)
 
     def previous(self, column: str, out: str) -> OrderedRows:
         """Value of the column in the row before, null in the first row of the key."""
@@ -89,19 +90,22 @@ class OrderedRows:
         return self.with_df(df.drop("_wrapped", "_carried"))
 
     def running_last(
-        self, column: str, out: str, include_current: bool = True, bounded: bool = False
+        self, column: str, out: str, before: str | None = None, bounded: bool = False
     ) -> OrderedRows:
-        """Most recent non-null value of the column, up to the current row or the one before it.
+        """Most recent non-null value of the column up to the current row, and as ``before`` up to the last.
 
         ``bounded`` says that values are small even though their type does not tell.
         """
-        frame = self.window().rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
-        inside = F.last(column, ignorenulls=True).over(frame)
+        frames = {out: self.window().rowsBetween(Window.unboundedPreceding, 0)}
+        if before:
+            frames[before] = self.window().rowsBetween(Window.unboundedPreceding, -1)
+        inside = {name: F.last(column, ignorenulls=True).over(frame) for name, frame in frames.items()}
         if not self.slices.levels:
-            return self.with_df(self.df.withColumn(out, inside))
+            return self.with_df(self.df.withColumns(inside))
         latest = F.max_by(column, F.when(F.col(column).isNotNull(), self._position()))
         df = self.slices.carry(self.df, latest, _latest, "_carried", bounded=bounded)
-        return self.with_df(df.withColumn(out, F.coalesce(inside, F.col("_carried"))).drop("_carried"))
+        df = df.withColumns({name: F.coalesce(value, F.col("_carried")) for name, value in inside.items()})
+        return self.with_df(df.drop("_carried"))
 
     def running_max(self, column: str, out: str) -> OrderedRows:
         """Largest value of the column up to and including the current row."""

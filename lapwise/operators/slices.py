@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_ROWS = 1_000_000
+# Rows of one key that a task sorts without trouble, spilling if it has to.
+MAX_ROWS = 10_000_000
 MAX_CELLS = 4096
 SPLIT_BITS = 8
 # Up to this many slices, summaries of bounded width are broadcast; beyond, they are joined by a shuffle.

@@ -292,8 +292,7 @@ def _state_changes(
         fires = (F.col(signal) == name) & (base == before)
         reached = F.when(fires, after).otherwise(reached)
     rows = rows.with_df(rows.df.withColumn("_reached", reached))
-    rows = rows.running_last("_reached", "_now", bounded=True)
-    rows = rows.running_last("_reached", "_before", include_current=False, bounded=True)
+    rows = rows.running_last("_reached", "_now", before="_before", bounded=True)
 
     now = F.coalesce("_now", F.lit(initial))
     before = F.coalesce("_before", F.lit(initial))

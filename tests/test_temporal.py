@@ -181,7 +181,7 @@ def test_neighbours_against_brute_force(spark, max_rows):
     df = frame(spark, rows, "key string, t timestamp_ntz, id long, value string")
     ordered = OrderedRows.of(df, ["key"], ["t", "id"], max_rows)
     ordered = ordered.previous("value", "before").following("id", "after").running_max("id", "highest")
-    ordered = ordered.running_last("value", "last").running_last("value", "last_before", include_current=False)
+    ordered = ordered.running_last("value", "last", before="last_before")
     got = {r["id"]: (r["before"], r["after"], r["highest"], r["last"], r["last_before"]) for r in ordered.result().collect()}
     expected = {}
     for key in {r[0] for r in rows}:
