@@ -37,6 +37,7 @@ def main() -> None:
     parser.add_argument("out", help="folder for processed tables, the mart and its exports")
     parser.add_argument("raw", nargs="+", metavar="dataset=path", help=", ".join(pipeline.DATASETS))
     parser.add_argument("--master", help="Spark master, unless spark-submit names it")
+    parser.add_argument("--data-gigabytes", type=float, help="size of the largest table, to size shuffles by")
     parser.add_argument("--json-lines", action="store_true", help="one record per line instead of one array per file")
     parser.add_argument("--keep-extra", action="store_true", help="keep unknown weather columns")
     parser.add_argument("--partition-by-session", action="store_true", help="one folder per session")
@@ -48,7 +49,8 @@ def main() -> None:
     unknown = set(raw) - set(pipeline.DATASETS)
     if unknown:
         parser.error(f"unknown datasets: {sorted(unknown)}")
-    spark = get_spark("lapwise", arguments.master)
+    size = arguments.data_gigabytes and int(arguments.data_gigabytes * 1024**3)
+    spark = get_spark("lapwise", arguments.master, size)
     paths = pipeline.process(
         spark,
         raw,

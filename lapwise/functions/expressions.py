@@ -90,6 +90,7 @@ def change_label(
 
 def sort_nulls_last(df: DataFrame, *columns: str) -> DataFrame:
     """Order by the columns, a leading ``-`` meaning descending, with nulls last in both directions."""
+    columns = tuple(dict.fromkeys(columns))
     return df.orderBy(
         *[
             F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc_nulls_last()

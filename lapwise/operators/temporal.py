@@ -59,10 +59,9 @@ def asof_join(
         ordered = _order(rows, keys, ["_time", "_side", *ties], max_rows)
         if not ordered.slices.fine_enough and time != _PROBE_TIME:
             return None
-        latest = ordered.running_last("_found", "_latest").df.where(F.col("_left").isNotNull())
+        latest = ordered.running_last("_found", "_latest").df.where(F.col("_side") == 1)
         return latest.select(
-            *[F.col("_left")[c].alias(c) for c in left.columns],
-            *[F.col("_latest")[name].alias(name) for name in columns.values()],
+            *_left_columns(left, time), *[F.col("_latest")[name].alias(name) for name in columns.values()]
         )
 
     right = _known(right, *keys, right_time)
@@ -101,8 +100,8 @@ def overlap_flag(
         ordered = _order(rows, keys, ["_time", "_side"], max_rows)
         if not ordered.slices.fine_enough and times != (_PROBE_TIME,):
             return None
-        latest = ordered.running_max("_period_end", "_latest_end").df.where(F.col("_left").isNotNull())
-        return latest.select(*[F.col("_left")[c].alias(c) for c in left.columns], "_latest_end")
+        latest = ordered.running_max("_period_end", "_latest_end").df.where(F.col("_side") == 0)
+        return latest.select(*_left_columns(left, times[0]), "_latest_end")
 
     periods = _known(periods, *keys, period_start, period_end)
     found = look_up(left, periods, (end, start))
@@ -127,16 +126,20 @@ def _interleave(
     right_side: int,
     right_columns: Mapping[str, Column],
 ) -> DataFrame:
-    """Both sides in one layout, to be sorted by ``_time`` and ``_side``; left rows travel in ``_left``.
+    """Both sides in one layout, to be sorted by ``_time`` and ``_side``.
 
-    The first of ``left_times`` is the one to sort by; a left row lacking any of them matches nothing.
+    The first of ``left_times`` becomes ``_time``; a left row lacking any of them matches nothing. The
+    other left columns stay as they are, so that those nobody asks for are not even read.
     """
+    time = left_times[0]
+    if left.schema[time].dataType != right.schema[right_time].dataType:
+        raise TypeError(f"{time} and {right_time} have to be of one type")
     probes = left.select(
         *keys,
         _spread(keys, *left_times).alias("_spread"),
-        F.col(left_times[0]).alias("_time"),
+        F.col(time).alias("_time"),
         F.lit(left_side).alias("_side"),
-        F.struct(*left.columns).alias("_left"),
+        *[c for c in left.columns if c not in keys and c != time],
     )
     values = right.select(
         *keys,
@@ -148,6 +151,11 @@ def _interleave(
     return probes.unionByName(values, allowMissingColumns=True)
 
 
+def _left_columns(left: DataFrame, time: str) -> list[Column]:
+    """The columns of the left side, back under their names."""
+    return [F.col("_time").alias(c) if c == time else F.col(c) for c in left.columns]
+
+
 def _order(rows: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None) -> OrderedRows:
     matchable = rows.where(F.col("_spread") == 0)
     return OrderedRows.of(rows, [*keys, "_spread"], order, max_rows, counted=matchable)

@@ -150,7 +150,9 @@ def strategy_by_stint(mart: DataFrame, by_session: bool = False) -> DataFrame:
 def pit_stops(mart: DataFrame, by_session: bool = False) -> DataFrame:
     """Every pit stop with its circumstances."""
     session = _session(by_session)
-    stops = mart.where("is_pit_stop").select(
+    # The session also decides between equals: rows sort evenly only if the order tells them apart.
+    stops = sort_nulls_last(mart.where("is_pit_stop"), *session, "lap_number", "driver_number", SESSION)
+    return stops.select(
         *session,
         "full_name",
         "driver_number",
@@ -165,7 +167,6 @@ def pit_stops(mart: DataFrame, by_session: bool = False) -> DataFrame:
         "lane_duration",
         "stop_duration",
     )
-    return sort_nulls_last(stops, *session, "lap_number", "driver_number")
 
 
 def pit_stops_by_lap(mart: DataFrame, by_session: bool = False, digits: int | None = None) -> DataFrame:
@@ -201,7 +202,8 @@ def compound_changes(mart: DataFrame, by_session: bool = False) -> DataFrame:
         "lap_number",
         {"compound": "new_compound"},
     )
-    changes = stops.select(
+    stops = sort_nulls_last(stops, *session, "lap_number", "driver_number", SESSION)
+    return stops.select(
         *session,
         "full_name",
         "driver_number",
@@ -214,7 +216,6 @@ def compound_changes(mart: DataFrame, by_session: bool = False) -> DataFrame:
             "change_type"
         ),
     )
-    return sort_nulls_last(changes, *session, "pit_lap", "driver_number")
 
 
 def race_control_in_lap_ranges(
@@ -222,10 +223,9 @@ def race_control_in_lap_ranges(
 ) -> DataFrame:
     """Race-control messages of chosen parts of the race, in order of time."""
     session = _session(by_session)
-    messages = race_control.where(in_lap_ranges("lap_number", ranges)).select(
-        *session, "date", "lap_number", "category", "flag", "scope", "sector", "message"
-    )
-    return sort_nulls_last(messages, *session, "date")
+    messages = race_control.where(in_lap_ranges("lap_number", ranges))
+    messages = sort_nulls_last(messages, *session, "date", SESSION, "message")
+    return messages.select(*session, "date", "lap_number", "category", "flag", "scope", "sector", "message")
 
 
 def green_flag_sample(mart: DataFrame, by_session: bool = False, digits: int | None = None) -> DataFrame:

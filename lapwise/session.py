@@ -25,12 +25,29 @@ SETTINGS = {
 }
 
 
-def get_spark(app_name: str = "lapwise", master: str | None = None, **settings: str) -> SparkSession:
-    """Session with the settings the operators were written for; ``settings`` win over them."""
+# Shuffled data per task, and the bounds within which the number of tasks follows the size of the data.
+TASK_BYTES = 128 * 1024**2
+MIN_TASKS, MAX_TASKS = 200, 100_000
+
+
+def shuffle_tasks(data_bytes: int) -> int:
+    """Shuffle partitions to start from; adaptive execution merges them, but never adds any."""
+    return max(MIN_TASKS, min(MAX_TASKS, -(-data_bytes // TASK_BYTES)))
+
+
+def get_spark(
+    app_name: str = "lapwise", master: str | None = None, data_bytes: int | None = None, **settings: str
+) -> SparkSession:
+    """Session with the settings the operators were written for; ``settings`` win over them.
+
+    ``data_bytes`` is the size of the largest table to be shuffled. Without it the number of shuffle
+    partitions stays Spark's own, which suits some tens of gigabytes.
+    """
+    sized = {"spark.sql.shuffle.partitions": str(shuffle_tasks(data_bytes))} if data_bytes else {}
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    for name, value in {**SETTINGS, **settings}.items():
+    for name, value in {**SETTINGS, **sized, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

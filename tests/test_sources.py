@@ -16,7 +16,7 @@ from lapwise.functions import (
     sort_nulls_last,
     utc_wall_clock,
 )
-from lapwise.session import new_table_path
+from lapwise.session import new_table_path, shuffle_tasks
 from lapwise.sources import read, schemas, write
 
 
@@ -113,6 +113,10 @@ def test_shared_folder_is_the_configured_one(spark):
     assert new_table_path(spark, "x") != new_table_path(spark, "x")
 
 
+def test_shuffles_grow_with_the_data():
+    assert [shuffle_tasks(n) for n in (1, 10**12, 10**14)] == [200, 7451, 100_000]
+
+
 def texts(spark, *values):
     return spark.createDataFrame([(v,) for v in values], "text string")
 
