@@ -5,6 +5,7 @@ from lapwise.functions.expressions import (
     all_true,
     change_label,
     composite_key,
+    interval_micros,
     interval_seconds,
     is_complete,
     parse_utc,
@@ -20,6 +21,7 @@ __all__ = [
     "all_true",
     "change_label",
     "composite_key",
+    "interval_micros",
     "interval_seconds",
     "is_complete",
     "parse_utc",

@@ -22,9 +22,17 @@ def seconds_between(later: Column | str, earlier: Column | str) -> Column:
     return interval_seconds(_col(later) - _col(earlier))
 
 
+def interval_micros(interval: Column | str) -> Column:
+    """A day-time interval as whole microseconds, by integer arithmetic only."""
+    interval = _col(interval)
+    seconds = interval.cast("interval second").cast("bigint")
+    rest = (interval - F.expr("INTERVAL '1' SECOND") * seconds) * 1_000_000
+    return seconds * 1_000_000 + rest.cast("interval second").cast("bigint")
+
+
 def interval_seconds(interval: Column | str) -> Column:
     """A day-time interval as double seconds, to the microsecond."""
-    return _col(interval).cast("interval second").cast("decimal(20,6)").cast("double")
+    return interval_micros(interval) / 1_000_000
 
 
 def within_seconds(later: Column | str, earlier: Column | str, seconds: float) -> Column:

@@ -80,6 +80,7 @@ class OrderedRows:
         df = self.df.withColumn("_wrapped", F.struct(F.col(column).alias("value")))
         df = self.slices.carry(
             df,
+            F.lit(True),
             nearest("_wrapped", self._position()),
             _latest,
             "_carried",
@@ -102,8 +103,9 @@ class OrderedRows:
         inside = {name: F.last(column, ignorenulls=True).over(frame) for name, frame in frames.items()}
         if not self.slices.levels:
             return self.with_df(self.df.withColumns(inside))
-        latest = F.max_by(column, F.when(F.col(column).isNotNull(), self._position()))
-        df = self.slices.carry(self.df, latest, _latest, "_carried", bounded=bounded)
+        known = F.col(column).isNotNull()
+        latest = F.max_by(column, F.when(known, self._position()))
+        df = self.slices.carry(self.df, known, latest, _latest, "_carried", bounded=bounded)
         df = df.withColumns({name: F.coalesce(value, F.col("_carried")) for name, value in inside.items()})
         return self.with_df(df.drop("_carried"))
 
@@ -113,5 +115,5 @@ class OrderedRows:
         inside = F.max(column).over(frame)
         if not self.slices.levels:
             return self.with_df(self.df.withColumn(out, inside))
-        df = self.slices.carry(self.df, F.max(column), F.max, "_carried")
+        df = self.slices.carry(self.df, F.col(column).isNotNull(), F.max(column), F.max, "_carried")
         return self.with_df(df.withColumn(out, F.greatest(inside, F.col("_carried"))).drop("_carried"))

@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapwise.functions import interval_micros
+
 # Rows of one key that a task sorts without trouble, spilling if it has to.
 MAX_ROWS = 10_000_000
 MAX_CELLS = 4096
 SPLIT_BITS = 8
-# Up to this many slices, summaries of bounded width are broadcast; beyond, they are joined by a shuffle.
-MAX_BROADCAST_SLICES = 10_000
+# Up to this many slices are listed, and their summaries broadcast if of bounded width.
+MAX_LISTED_SLICES = 10_000
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
 
@@ -43,8 +45,7 @@ def position(df: DataFrame, column: str) -> Column:
         return F.unix_micros(column)
     if isinstance(kind, T.TimestampNTZType):
         # Through an interval, which unlike a cast to TIMESTAMP does not depend on the session time zone.
-        since = F.col(column) - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-        return (since.cast("interval second").cast("decimal(20,6)") * 1_000_000).cast("long")
+        return interval_micros(F.col(column) - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
     if isinstance(kind, T.DateType):
         return F.unix_date(column).cast("long")
     if isinstance(kind, T.StringType):
@@ -89,7 +90,8 @@ class Slices:
     axes: tuple[str, ...] = ()
     origins: tuple[int, ...] = ()
     levels: tuple[tuple[int, int, DataFrame], ...] = ()
-    count: int = 0
+    # All slices, if they are few enough to be listed.
+    listed: DataFrame | None = None
     fine_enough: bool = True
 
     @property
@@ -124,6 +126,7 @@ class Slices:
     def carry(
         self,
         df: DataFrame,
+        contributes: Column,
         summary: Column,
         combine,
         out: str,
@@ -132,21 +135,30 @@ class Slices:
     ) -> DataFrame:
         """Add ``out``: ``combine`` over the ``summary`` of all earlier (or later) slices of the key.
 
-        ``df`` must be tagged. Summaries have one row per slice of a cut key. ``bounded`` vouches for the
-        size of summaries whose type does not bound it.
+        ``df`` must be tagged; ``contributes`` selects the rows to summarise. Summaries have one row per
+        slice of a cut key. ``bounded`` vouches for their size where their type does not bound it.
         """
         if not self.levels:
             raise ValueError("nothing is cut, so there is nothing to carry")
         names = [*self.keys, *self.columns]
-        per_slice = df.where(F.col(self.columns[0]) >= 0).groupBy(*names).agg(summary.alias("_summary"))
-        order = [F.col(c).desc() if from_later else F.col(c).asc() for c in self.columns]
-        before = Window.partitionBy(*self.keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         pairs = [(c, f"_from{c}") for c in names]
-        carried = per_slice.select(
-            *[F.col(c).alias(d) for c, d in pairs], combine(F.col("_summary")).over(before).alias(out)
-        )
+        cut = df.where(F.col(self.columns[0]) >= 0)
+        if self.listed is None:
+            per_slice = cut.groupBy(*names).agg(summary.alias("_summary"))
+            per_slice = per_slice.withColumnsRenamed(dict(pairs))
+        else:
+            # Rows that contribute nothing need not be read to learn which slices there are.
+            filled = cut.where(contributes).groupBy(*names).agg(summary.alias("_summary"))
+            every = self.listed.withColumnsRenamed(dict(pairs))
+            per_slice = every.join(filled, same_keys(pairs), "left").drop(*names)
+
+        order = [F.col(f"_from{c}") for c in self.columns]
+        order = [c.desc() if from_later else c.asc() for c in order]
+        before = Window.partitionBy(*[f"_from{k}" for k in self.keys]).orderBy(*order)
+        before = before.rowsBetween(Window.unboundedPreceding, -1)
+        carried = per_slice.select(*[d for _, d in pairs], combine(F.col("_summary")).over(before).alias(out))
         bounded = bounded or has_bounded_width(carried.schema[out].dataType)
-        if bounded and self.count <= MAX_BROADCAST_SLICES:
+        if bounded and self.listed is not None:
             carried = F.broadcast(carried)
         return df.join(carried, same_keys(pairs), "left").drop(*[d for _, d in pairs])
 
@@ -194,7 +206,7 @@ def find_slices(
     schema = T.StructType(key_schema.fields + [T.StructField(c, T.LongType(), False) for c in columns])
     cells = [tuple(r[k] for k in keys) + (-1,) * len(axes) for r in large]
     levels: list[tuple[int, int, DataFrame]] = []
-    count = 0
+    found: list = []
     for axis, (low, high) in enumerate(zip(lows, highs)):
         # The first axis always gets a level: its slice column tells which keys are cut.
         shift = max((high - low).bit_length(), 0 if levels else 1)
@@ -203,7 +215,10 @@ def find_slices(
             levels.append((axis, shift, df.sparkSession.createDataFrame(cells, schema)))
             tagged = Slices(keys, tuple(axes), tuple(lows), tuple(levels))._refine(rows)
             sizes = tagged.groupBy(*keys, *columns).count()
-            oversized = F.when(F.col("count") > limit, F.struct(*keys, *columns))
-            found = sizes.agg(F.count(F.lit(1)).alias("slices"), F.collect_list(oversized).alias("oversized")).first()
-            count, cells = found["slices"], [tuple(r) for r in found["oversized"]]
-    return Slices(keys, tuple(axes), tuple(lows), tuple(levels), count, fine_enough=not cells)
+            # The largest first: there are fewer oversized cells than rows taken.
+            found = sizes.orderBy(F.desc("count")).limit(max(MAX_LISTED_SLICES, MAX_CELLS) + 1).collect()
+            cells = [tuple(r)[:-1] for r in found if r["count"] > limit]
+    listed = None
+    if len(found) <= MAX_LISTED_SLICES:
+        listed = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], schema)
+    return Slices(keys, tuple(axes), tuple(lows), tuple(levels), listed, fine_enough=not cells)

@@ -38,12 +38,16 @@ def asof_join(
     columns: Mapping[str, str] | None = None,
     tie_break: Sequence[str] = (),
     max_rows: int | None = MAX_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Every left row with the latest right row of its key at or before its time, or nulls.
 
     ``columns`` maps right columns to output names (default: all but the keys, unrenamed). Right rows
     must be unique per (keys, ``right_time``), or be put in order by ``tie_break`` columns of the right
     side, the largest winning. Both inputs go through one shuffle; there is no join.
+
+    Left columns nobody uses are not read; of the right side, name only what is needed. ``counted`` may
+    stand in for ``left`` when rows per key are counted, if it has the same keys and times at less cost.
     """
     if columns is None:
         columns = {c: c for c in right.columns if c not in keys}
@@ -56,7 +60,12 @@ def asof_join(
     def look_up(left: DataFrame, right: DataFrame, time: str) -> DataFrame | None:
         # Side 0 sorts first, so a right row of the same time matches.
         rows = _interleave(left, right, keys, (time,), right_time, 1, 0, {"_found": found, **ties})
-        ordered = _order(rows, keys, ["_time", "_side", *ties], max_rows)
+        order = ["_time", "_side", *ties]
+        if counted is not None and time != _PROBE_TIME:
+            sized = _interleave(counted.select(*keys, time), right, keys, (time,), right_time, 1, 0, ties)
+        else:
+            sized = rows
+        ordered = OrderedRows.of(rows, [*keys, "_spread"], order, max_rows, _matchable(sized))
         if not ordered.slices.fine_enough and time != _PROBE_TIME:
             return None
         latest = ordered.running_last("_found", "_latest").df.where(F.col("_side") == 1)
@@ -97,7 +106,7 @@ def overlap_flag(
         rows = _interleave(
             left, periods, keys, times, period_start, 0, 1, {"_period_end": F.col(period_end)}
         )
-        ordered = _order(rows, keys, ["_time", "_side"], max_rows)
+        ordered = OrderedRows.of(rows, [*keys, "_spread"], ["_time", "_side"], max_rows, _matchable(rows))
         if not ordered.slices.fine_enough and times != (_PROBE_TIME,):
             return None
         latest = ordered.running_max("_period_end", "_latest_end").df.where(F.col("_side") == 0)
@@ -156,9 +165,8 @@ def _left_columns(left: DataFrame, time: str) -> list[Column]:
     return [F.col("_time").alias(c) if c == time else F.col(c) for c in left.columns]
 
 
-def _order(rows: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None) -> OrderedRows:
-    matchable = rows.where(F.col("_spread") == 0)
-    return OrderedRows.of(rows, [*keys, "_spread"], order, max_rows, counted=matchable)
+def _matchable(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("_spread") == 0)
 
 
 def _by_distinct_time(left: DataFrame, keys: Sequence[str], time: str, look_up) -> DataFrame:

@@ -80,6 +80,7 @@ def build_mart(tables: Mapping[str, DataFrame], max_rows: int | None = MAX_ROWS)
         "date",
         {"date": "weather_time", **{c: c for c in WEATHER_COLUMNS}},
         max_rows=max_rows,
+        counted=laps,
     )
     mart = lookup_join(mart, tables["drivers"], LAP_KEY[:2], DRIVER_COLUMNS)
     mart = range_join(mart, tables["stints"], LAP_KEY[:2], "lap_number", "lap_start", "lap_end", STINT_COLUMNS)
