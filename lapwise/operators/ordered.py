@@ -29,22 +29,20 @@ class OrderedRows:
 
     @classmethod
     def of(
-        cls,
-        df: DataFrame,
-        keys: Sequence[str],
-        order: Sequence[str],
-        max_rows: int | None = MAX_ROWS,
-        counted: DataFrame | None = None,
+        cls, df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = MAX_ROWS
     ) -> OrderedRows:
         """``order`` must decide between any two rows of a key that differ in what is looked up.
 
         Rows are cut along the order columns up to the first of a type that can not be cut, such as a
-        double. ``counted`` are the rows that count towards the size of a key, all by default. For one
-        sequence over a whole table, use a constant column as key.
+        double. For one sequence over a whole table, use a constant column as key.
         """
         if not keys:
             raise ValueError("at least one key column is needed")
-        slices = find_slices(df if counted is None else counted, keys, order, max_rows)
+        return cls.cut(df, keys, order, find_slices(df, keys, order, max_rows))
+
+    @classmethod
+    def cut(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: Slices) -> OrderedRows:
+        """With slices that were found before, for these or for more rows."""
         return cls(slices.tag(df), tuple(keys), tuple(order), slices)
 
     def with_df(self, df: DataFrame) -> OrderedRows:

@@ -208,17 +208,26 @@ def find_slices(
     levels: list[tuple[int, int, DataFrame]] = []
     found: list = []
     for axis, (low, high) in enumerate(zip(lows, highs)):
-        # The first axis always gets a level: its slice column tells which keys are cut.
-        shift = max((high - low).bit_length(), 0 if levels else 1)
-        while cells and shift > 0:
-            shift = max(shift - SPLIT_BITS, 0)
-            levels.append((axis, shift, df.sparkSession.createDataFrame(cells, schema)))
+        # Cells of one value can only be split along the next axis. The first axis always gets a level:
+        # its slice column tells which keys are cut.
+        splittable, single, width = cells, [], high - low
+        while splittable and (width or not levels):
+            shift = max(width.bit_length() - SPLIT_BITS, 0)
+            levels.append((axis, shift, df.sparkSession.createDataFrame(splittable, schema)))
             tagged = Slices(keys, tuple(axes), tuple(lows), tuple(levels))._refine(rows)
-            sizes = tagged.groupBy(*keys, *columns).count()
+            # Rows with a null sort first, where zero is.
+            values = F.coalesce(F.col(f"_axis_{axis}"), F.lit(0))
+            sizes = tagged.groupBy(*keys, *columns).agg(
+                F.count(F.lit(1)).alias("_rows"), (F.max(values) - F.min(values)).alias("_width")
+            )
             # The largest first: there are fewer oversized cells than rows taken.
-            found = sizes.orderBy(F.desc("count")).limit(max(MAX_LISTED_SLICES, MAX_CELLS) + 1).collect()
-            cells = [tuple(r)[:-1] for r in found if r["count"] > limit]
+            found = sizes.orderBy(F.desc("_rows")).limit(max(MAX_LISTED_SLICES, MAX_CELLS) + 1).collect()
+            oversized = {tuple(r)[:-2]: r["_width"] for r in found if r["_rows"] > limit}
+            splittable = [cell for cell, cell_width in oversized.items() if cell_width]
+            single = [cell for cell, cell_width in oversized.items() if not cell_width]
+            width = max(oversized.values(), default=0)
+        cells = splittable + single
     listed = None
     if len(found) <= MAX_LISTED_SLICES:
-        listed = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], schema)
+        listed = df.sparkSession.createDataFrame([tuple(r)[:-2] for r in found], schema)
     return Slices(keys, tuple(axes), tuple(lows), tuple(levels), listed, fine_enough=not cells)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapwise.operators.ordered import OrderedRows
-from lapwise.operators.slices import MAX_ROWS
+from lapwise.operators.slices import MAX_ROWS, find_slices
 
 
 def _spread(keys: Sequence[str], *times: str) -> Column:
@@ -57,30 +57,28 @@ def asof_join(
     ties = {f"_tie_{i}": F.col(c) for i, c in enumerate(tie_break)}
     found = F.struct(*[F.col(c).alias(name) for c, name in columns.items()])
 
-    def look_up(left: DataFrame, right: DataFrame, time: str) -> DataFrame | None:
+    group, order = [*keys, "_spread"], ["_time", "_side", *ties]
+
+    def interleave(left: DataFrame, right: DataFrame, time: str) -> DataFrame:
         # Side 0 sorts first, so a right row of the same time matches.
-        rows = _interleave(left, right, keys, (time,), right_time, 1, 0, {"_found": found, **ties})
-        order = ["_time", "_side", *ties]
-        if counted is not None and time != _PROBE_TIME:
-            sized = _interleave(counted.select(*keys, time), right, keys, (time,), right_time, 1, 0, ties)
-        else:
-            sized = rows
-        ordered = OrderedRows.of(rows, [*keys, "_spread"], order, max_rows, _matchable(sized))
-        if not ordered.slices.fine_enough and time != _PROBE_TIME:
-            return None
+        return _interleave(left, right, keys, (time,), right_time, 1, 0, {"_found": found, **ties})
+
+    def look_up(left: DataFrame, right: DataFrame, time: str) -> DataFrame:
+        ordered = OrderedRows.cut(interleave(left, right, time), group, order, slices)
         latest = ordered.running_last("_found", "_latest").df.where(F.col("_side") == 1)
         return latest.select(
             *_left_columns(left, time), *[F.col("_latest")[name].alias(name) for name in columns.values()]
         )
 
     right = _known(right, *keys, right_time)
-    result = look_up(left, right, left_time)
-    if result is None:
-        if tie_break:
-            best = F.max_by(F.struct(*right.columns), F.struct(*tie_break)).alias("_best")
-            right = right.groupBy(*keys, right_time).agg(best).select("_best.*")
-        result = _by_distinct_time(left, keys, left_time, lambda probes: look_up(probes, right, _PROBE_TIME))
-    return result
+    sized = (left if counted is None else counted).select(*keys, left_time)
+    slices = find_slices(_matchable(interleave(sized, right, left_time)), group, order, max_rows)
+    if slices.fine_enough:
+        return look_up(left, right, left_time)
+    if tie_break:
+        best = F.max_by(F.struct(*right.columns), F.struct(*tie_break)).alias("_best")
+        right = right.groupBy(*keys, right_time).agg(best).select("_best.*")
+    return _by_distinct_time(left, keys, left_time, lambda probes: look_up(probes, right, _PROBE_TIME))
 
 
 def overlap_flag(
@@ -101,20 +99,24 @@ def overlap_flag(
     takes a running maximum over one sorted sequence; pairs of rows are never formed.
     """
 
-    def look_up(left: DataFrame, periods: DataFrame, times: tuple[str, ...]) -> DataFrame | None:
+    group, order = [*keys, "_spread"], ["_time", "_side"]
+
+    def interleave(left: DataFrame, periods: DataFrame, times: tuple[str, ...]) -> DataFrame:
         # Side 0 sorts first: a period has to start strictly before the end.
-        rows = _interleave(
+        return _interleave(
             left, periods, keys, times, period_start, 0, 1, {"_period_end": F.col(period_end)}
         )
-        ordered = OrderedRows.of(rows, [*keys, "_spread"], ["_time", "_side"], max_rows, _matchable(rows))
-        if not ordered.slices.fine_enough and times != (_PROBE_TIME,):
-            return None
+
+    def look_up(left: DataFrame, periods: DataFrame, times: tuple[str, ...]) -> DataFrame:
+        ordered = OrderedRows.cut(interleave(left, periods, times), group, order, slices)
         latest = ordered.running_max("_period_end", "_latest_end").df.where(F.col("_side") == 0)
         return latest.select(*_left_columns(left, times[0]), "_latest_end")
 
     periods = _known(periods, *keys, period_start, period_end)
-    found = look_up(left, periods, (end, start))
-    if found is None:
+    slices = find_slices(_matchable(interleave(left, periods, (end, start))), group, order, max_rows)
+    if slices.fine_enough:
+        found = look_up(left, periods, (end, start))
+    else:
         longest = periods.groupBy(*keys, period_start).agg(F.max(period_end).alias(period_end))
         found = _by_distinct_time(left, keys, end, lambda probes: look_up(probes, longest, (_PROBE_TIME,)))
     overlaps = F.coalesce(F.col("_latest_end") > F.col(start), F.lit(False))
