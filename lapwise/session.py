@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split skewed partitions even where the next join then has to shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows shuffled by (session, driver) need no second shuffle to be joined by (session, driver, lap).
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Rewriting one session must not delete the others.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

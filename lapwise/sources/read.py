@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,6 +58,16 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
     return spark.read.schema(schema).options(**TIME_FORMATS).option("header", True).csv(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Processed Parquet; columns and filters are pushed into the scan."""
     return spark.read.parquet(*([path] if isinstance(path, str) else path))

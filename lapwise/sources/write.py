@@ -9,12 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapwise.functions import interval_seconds
-from lapwise.sources.read import TIME_FORMATS, read_csv
+from lapwise.sources.read import TIME_FORMATS, path_exists, read_csv
 
 
-def land_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write raw records as JSON unless the path already exists, in which case nothing is read either."""
-    df.write.mode("ignore").options(**TIME_FORMATS).partitionBy(*partition_by).json(path)
+def land_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> bool:
+    """Write raw records as JSON unless the path already exists; whether they were written.
+
+    If it exists nothing is computed either. What a job left behind that was lost while landing is not
+    taken for landed data, but raises.
+    """
+    if path_exists(df.sparkSession, path):
+        if path_exists(df.sparkSession, f"{path}/_temporary"):
+            raise RuntimeError(f"{path} holds an unfinished landing; land elsewhere or clear it")
+        return False
+    df.write.mode("error").options(**TIME_FORMATS).partitionBy(*partition_by).json(path)
+    return True
 
 
 def write_processed(

@@ -62,11 +62,22 @@ def test_parallel_arrays_of_unequal_length_raise(spark, tmp_path):
 
 def test_landing_happens_once(spark, tmp_path):
     path = str(tmp_path / "raw")
-    write.land_once(spark.range(3), path)
-    write.land_once(spark.range(10), path)
+    assert write.land_once(spark.range(3), path)
+    assert not write.land_once(spark.range(10), path)
     assert spark.read.json(path).count() == 3
 
 
+def test_landing_does_not_trust_what_a_lost_job_left(spark, tmp_path):
+    (tmp_path / "raw" / "_temporary" / "0").mkdir(parents=True)
+    with pytest.raises(RuntimeError, match="unfinished"):
+        write.land_once(spark.range(3), str(tmp_path / "raw"))
+
+
+def test_landed_files_of_others_are_left_alone(spark, tmp_path):
+    path = landed(tmp_path, "raw.json", [{"id": 1}])
+    assert not write.land_once(spark.range(3), path)
+
+
 def test_processed_files_are_replaced(spark, tmp_path):
     path = str(tmp_path / "t")
     write.write_processed(spark.range(3), path)
