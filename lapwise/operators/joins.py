@@ -105,7 +105,9 @@ def _blocks(low: Column, high: Column) -> Column:
             F.when((first < stop) & odd(stop), F.struct(level.alias("level"), (stop - 1).alias("number"))),
         )
 
-    per_level = F.transform(F.sequence(F.lit(0), F.lit(MAX_LEVEL)), at_level)
+    # No block inside the range is longer than the range.
+    highest = F.least(F.lit(MAX_LEVEL), F.ceil(F.log2(high - low + 2)).cast("int"))
+    per_level = F.transform(F.sequence(F.lit(0), highest), at_level)
     return F.filter(F.flatten(per_level), lambda block: block.isNotNull())
 
 

@@ -22,10 +22,10 @@ from lapwise.functions import interval_micros
 
 # Rows of one key that a task sorts without trouble, spilling if it has to.
 MAX_ROWS = 10_000_000
-MAX_CELLS = 4096
+MAX_CELLS = 16_384
 SPLIT_BITS = 8
 # Up to this many slices are listed, and their summaries broadcast if of bounded width.
-MAX_LISTED_SLICES = 10_000
+MAX_LISTED_SLICES = 20_000
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,11 @@ def spark():
     session = get_spark(
         "lapwise-tests",
         master="local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"},
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "6g",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lapwise-warehouse-"),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

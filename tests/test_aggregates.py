@@ -10,8 +10,9 @@ from lapwise.operators import aggregates, quality
 from lapwise.operators.quality import QualityError
 
 
-@pytest.mark.parametrize("max_rows", [None, 10**6, 50])
-def test_median_against_python(spark, max_rows):
+@pytest.mark.parametrize("max_rows, broadcast", [(None, 10), (10**6, 10), (50, 10), (50, 0)])
+def test_median_against_python(spark, monkeypatch, max_rows, broadcast):
+    monkeypatch.setattr(aggregates, "MAX_BROADCAST_GROUPS", broadcast)
     generator = random.Random(11)
     groups = {"odd": 2001, "even": 4000, "tiny": 3, "one": 1, None: 1500}
     rows = [(k, generator.gauss(80, 5)) for k, n in groups.items() for _ in range(n)]
@@ -33,6 +34,26 @@ def test_large_group_shuffles_little(spark):
     assert aggregates.grouped_median(df, ["k"], "v", "m", max_rows=1000).first()["m"] == pytest.approx(exact, rel=1e-12)
 
 
+def test_median_of_a_wide_bracket_is_narrowed(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "BRACKET", (0.2, 0.9))
+    generator = random.Random(13)
+    groups = {"odd": 9001, "even": 20_000, "steps": 5000}
+    rows = [(k, float(generator.randint(0, 9)) if k == "steps" else generator.expovariate(1)) for k, n in groups.items() for _ in range(n)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(8)
+    got = {r["k"]: r["m"] for r in aggregates.grouped_median(df, ["k"], "v", "m", max_rows=1000).collect()}
+    for key in groups:
+        assert got[key] == pytest.approx(statistics.median(v for k, v in rows if k == key), rel=1e-12)
+
+
+@pytest.mark.parametrize("max_rows", [10**6, 20])
+def test_median_of_infinite_values(spark, max_rows):
+    infinity = float("inf")
+    rows = [("a", infinity)] * 30 + [("a", 1.0)] * 10 + [("b", -infinity)] * 3 + [("c", 2.0), ("c", infinity)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    summary = aggregates.grouped_summary(df, ["k"], {}, {"m": "v"}, max_rows)
+    assert {r["k"]: r["m"] for r in summary.collect()} == {"a": infinity, "b": -infinity, "c": infinity}
+
+
 def test_distinct_keys_skip_unknown_parts(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, None), (2, 1)], "a int, b int")
     assert df.agg(aggregates.distinct_keys("a", "b")).first()[0] == 2

@@ -98,6 +98,9 @@ def test_registered_names_are_replaced(spark, tmp_path):
         write.write_processed(spark.range(n), str(tmp_path / str(n)))
         read.register_tables(spark, {"numbers": str(tmp_path / str(n))})
     assert spark.sql("SELECT count(*) FROM numbers").first()[0] == 4
+    for n in (2, 4):
+        read.register_tables(spark, {"saved_numbers": str(tmp_path / str(n))}, save=True)
+    assert spark.table("saved_numbers").count() == 4
 
 
 def test_exports_keep_microseconds_and_turn_intervals_into_seconds(spark, tmp_path):

@@ -210,6 +210,24 @@ def test_cutting_is_even_and_keeps_order(spark):
     assert found.listed.count() == len(set(marks))
 
 
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("timestamp_ntz", ["0001-01-01 00:00:00.000001", "1969-12-31 23:59:59.4", "1969-12-31 23:59:59.5", "9999-12-31 23:59:59.999999"]),
+        ("timestamp", ["1969-12-31 23:59:59.4", "1970-01-01 00:00:00", "2024-03-10 02:30:00.123456", "2024-03-10 02:30:00.123457"]),
+        ("date", ["1900-01-01", "1970-01-01", "2024-02-29"]),
+        ("bigint", [-(2**62), -1, 0, 5, 2**62]),
+        ("boolean", [False, True]),
+        ("string", ["", "A", "Aa", "a", "ab", "abcdefg", "b", "é", "日本"]),
+    ],
+)
+def test_positions_keep_the_order(spark, kind, values):
+    df = spark.createDataFrame([(i, str(v)) for i, v in enumerate(values)], "i int, v string").withColumn("v", F.col("v").cast(kind))
+    assert slices.can_cut(df, "v")
+    got = [r[0] for r in df.orderBy("v").select(slices.position(df, "v")).collect()]
+    assert got == sorted(got) and len(set(got)) == len(values)
+
+
 def test_small_keys_are_not_cut(spark):
     df = frame(spark, [("a", at(1)), ("b", at(2))], "key string, t timestamp_ntz")
     found = slices.find_slices(df, ["key"], ["t"])
