@@ -42,12 +42,13 @@ def within_seconds(later: Column | str, earlier: Column | str, seconds: float) -
 
 
 def parse_utc(text: Column | str, strict: bool = True) -> Column:
-    """ISO-8601 text to a timestamp; a time without an offset is UTC, whatever the session time zone.
+    """ISO-8601 text to a timestamp; what has no offset is UTC, whatever the session time zone.
 
     Malformed text raises, or becomes null with ``strict=False``.
     """
     text = _col(text)
-    full = F.regexp_replace(text, r"([T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
+    full = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00")
+    full = F.regexp_replace(full, r"([T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00")
     full = F.regexp_replace(full, r"([T ]\d{2}:\d{2}:\d{2}([.]\d+)?)$", "$1Z")
     parsed = F.try_to_timestamp(full)
     if not strict:

@@ -11,10 +11,12 @@ so there are never more than MAX_CELLS of them, whatever the size of the table.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,6 +73,18 @@ def same_keys(pairs: Sequence[tuple[str, str]]) -> Column:
     return condition
 
 
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """Collected rows as a DataFrame that is part of the plan and needs no Python on the executors."""
+    arrays = []
+    for i, field in enumerate(schema.fields):
+        values = [row[i] for row in rows]
+        if isinstance(field.dataType, T.TimestampType):
+            # Spark hands out times in the zone of this process, without saying so.
+            values = [value and value.astimezone(datetime.UTC) for value in values]
+        arrays.append(pa.array(values))
+    return spark.createDataFrame(pa.table(arrays, names=schema.fieldNames()), schema)
+
+
 def large_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     """Keys with more than ``max_rows`` rows, at most MAX_CELLS of them.
 
@@ -191,7 +205,7 @@ def find_slices(
 
     limit = large[0]["_limit"]
     key_schema = T.StructType([T.StructField(k, df.schema[k].dataType, True) for k in keys])
-    large_keys = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in large], key_schema)
+    large_keys = local_rows(df.sparkSession, [tuple(r[k] for k in keys) for r in large], key_schema)
     pairs = [(k, f"_large_{k}") for k in keys]
     large_keys = large_keys.withColumnsRenamed(dict(pairs))
     rows = df.select(*keys, *[position(df, axis).alias(f"_axis_{i}") for i, axis in enumerate(axes)])
@@ -213,7 +227,7 @@ def find_slices(
         splittable, single, width = cells, [], high - low
         while splittable and (width or not levels):
             shift = max(width.bit_length() - SPLIT_BITS, 0)
-            levels.append((axis, shift, df.sparkSession.createDataFrame(splittable, schema)))
+            levels.append((axis, shift, local_rows(df.sparkSession, splittable, schema)))
             tagged = Slices(keys, tuple(axes), tuple(lows), tuple(levels))._refine(rows)
             # Rows with a null sort first, where zero is.
             values = F.coalesce(F.col(f"_axis_{axis}"), F.lit(0))
@@ -229,5 +243,5 @@ def find_slices(
         cells = splittable + single
     listed = None
     if len(found) <= MAX_LISTED_SLICES:
-        listed = df.sparkSession.createDataFrame([tuple(r)[:-2] for r in found], schema)
+        listed = local_rows(df.sparkSession, [tuple(r)[:-2] for r in found], schema)
     return Slices(keys, tuple(axes), tuple(lows), tuple(levels), listed, fine_enough=not cells)

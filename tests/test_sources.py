@@ -149,6 +149,7 @@ def test_times_without_offset_are_utc(spark, zone):
             "2024-11-03T16:24:31.5+02:00",
             "2024-11-03 16:24+02:00",
             "2024-11-03T16:24Z",
+            "2024-11-03",
             None,
         )
         got = [r[0] for r in df.select(utc_wall_clock(parse_utc("text"))).collect()]
@@ -163,6 +164,7 @@ def test_times_without_offset_are_utc(spark, zone):
         day.replace(hour=14, minute=24, second=31, microsecond=500000),
         day.replace(hour=14, minute=24),
         day.replace(hour=16, minute=24),
+        day,
         None,
     ]
 

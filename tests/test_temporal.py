@@ -228,6 +228,24 @@ def test_positions_keep_the_order(spark, kind, values):
     assert got == sorted(got) and len(set(got)) == len(values)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_keys_of_any_type_are_cut(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql(
+            """SELECT timestamp'2024-01-01 02:30:00.123456' AS a, timestamp_ntz'2024-03-10 02:30:00' AS b,
+                      date'2024-01-01' AS c, 'x' AS d, CAST(NULL AS STRING) AS e, CAST(1.25 AS DECIMAL(10, 2)) AS f,
+                      CAST(id % 2 AS SMALLINT) AS g, TRUE AS h, 0.5D AS i, id FROM range(100)"""
+        )
+        keys = ["a", "b", "c", "d", "e", "f", "g", "h", "i"]
+        found = slices.find_slices(df, keys, ["id"], max_rows=10)
+        sizes = found.tag(df).groupBy(*keys, *found.columns).count().collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found.fine_enough and max(r["count"] for r in sizes) <= 10
+
+
 def test_small_keys_are_not_cut(spark):
     df = frame(spark, [("a", at(1)), ("b", at(2))], "key string, t timestamp_ntz")
     found = slices.find_slices(df, ["key"], ["t"])
