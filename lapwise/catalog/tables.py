@@ -530,8 +530,10 @@ def asof_tolerance_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def purchases_by_view_recency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices of purchases that followed a view within the hour, against all others."""
-    matched = asof_left_join(spark, sf_dir)
-    matched = matched.withColumn("is_recent", within_seconds("bought_at", "viewed_at", 3600))
+    is_recent = within_seconds("bought_at", "viewed_at", 3600).alias("is_recent")
+    matched = asof_left_join(spark, sf_dir).select(is_recent, "price")
+    # Read more than once below, so that the join is better done only once.
+    matched = write.materialise(matched, new_table_path(spark, "matched_purchases"))
     summary = aggregates.grouped_summary(
         matched,
         ["is_recent"],

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwise.operators.slices import same_keys
+from lapwise.operators.slices import group_sizes, same_keys
 
 # Values of one group that a task keeps in memory without trouble.
 MAX_VALUES = 1_000_000
@@ -30,7 +30,8 @@ def grouped_summary(
     """One row per group: the named aggregates, and exact interpolated medians of the named columns.
 
     ``medians`` maps output names to columns. The built-in median keeps all distinct values of a group
-    in the memory of one task, so it is used only if no group has more than ``max_rows`` rows.
+    in the memory of one task, so it is used only if no group has more than ``max_rows`` rows. With
+    medians ``df`` is read more than once: materialise it first if it is costly.
     """
     medians = dict(medians or {})
     plain = [column.alias(name) for name, column in aggregates.items()]
@@ -89,7 +90,7 @@ def grouped_median(
 
 
 def _larger_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_rows)
+    return group_sizes(df, keys).where(F.col("_rows") > max_rows)
 
 
 def _brackets(rows: DataFrame, keys: Sequence[str], large: DataFrame, pairs, spread) -> DataFrame:

@@ -85,12 +85,16 @@ def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType)
     return spark.createDataFrame(pa.table(arrays, names=schema.fieldNames()), schema)
 
 
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def large_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     """Keys with more than ``max_rows`` rows, at most MAX_CELLS of them.
 
     ``_limit`` is the limit applied: ``max_rows``, or 1/MAX_CELLS of all rows if that is more.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = group_sizes(df, keys)
     total = sizes.agg(F.sum("_rows")).scalar()
     limit = F.greatest(F.lit(max_rows), F.ceil(total / MAX_CELLS)).cast("long")
     return sizes.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit"))
@@ -199,6 +203,8 @@ def find_slices(
         return Slices(keys)
 
     # Nothing but the keys is read, unless some key turns out to be too large.
+    if group_sizes(df, keys).where(F.col("_rows") > max_rows).isEmpty():
+        return Slices(keys)
     large = large_groups(df, keys, max_rows).collect()
     if not large:
         return Slices(keys)
