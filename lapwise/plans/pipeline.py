@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lapwise.plans import clean, mart
+from lapwise.session import together
 from lapwise.sources import schemas
 from lapwise.sources.read import read_parquet, read_records, register_tables
 from lapwise.sources.write import export_counts, export_csv, export_parquet, materialise, write_processed
@@ -36,13 +38,15 @@ def process(
     ``raw`` maps datasets to their landed files. ``keep_extra`` keeps unknown circuit-weather columns.
     A dataset that fails its gate raises before anything written earlier is replaced.
     """
-    paths = {}
-    for dataset, source in raw.items():
+
+    def job(dataset: str) -> str:
         schema, cleaned = DATASETS[dataset]
         if keep_extra and dataset == "circuit_weather":
             schema = None
-        records = read_records(spark, source, schema, multi_line)
-        paths[dataset] = _write(dataset, cleaned(records), folder, partition_by)
+        records = read_records(spark, raw[dataset], schema, multi_line)
+        return _write(dataset, cleaned(records), folder, partition_by)
+
+    paths = together({dataset: partial(job, dataset) for dataset in raw})
     if "race_control" in paths:
         status = clean.race_status(read_parquet(spark, paths["race_control"]))
         paths["race_status"] = _write("race_status", status, folder, partition_by)

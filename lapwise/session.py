@@ -5,9 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 SETTINGS = {
     # Timestamps without an offset are UTC throughout.
     "spark.sql.session.timeZone": "UTC",
@@ -73,3 +78,13 @@ def shared_folder(spark: SparkSession) -> str:
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else writes to."""
     return f"{shared_folder(spark)}/lapwise/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def together(jobs: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Run independent jobs at the same time, so that small ones fill the cores large ones leave idle.
+
+    All run to their end; then the error of the first that failed is raised, if any did.
+    """
+    with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: job.result() for name, job in running.items()}
