@@ -100,13 +100,21 @@ def large_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame
     return sizes.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit"))
 
 
+def _distance(position: Column, low: int, ignored_bits: int) -> Column:
+    """Distance from the lowest position; null where it does not fit, which it does for all that is cut."""
+    if ignored_bits:
+        position, low = F.shiftright(position, ignored_bits), low >> ignored_bits
+    return F.try_subtract(position, F.lit(low))
+
+
 @dataclass(frozen=True)
 class Slices:
     """How the rows of each key are cut; without levels nothing is cut."""
 
     keys: tuple[str, ...]
     axes: tuple[str, ...] = ()
-    origins: tuple[int, ...] = ()
+    # Per axis: the lowest position, and the low bits left out of account.
+    origins: tuple[tuple[int, int], ...] = ()
     levels: tuple[tuple[int, int, DataFrame], ...] = ()
     # All slices, if they are few enough to be listed.
     listed: DataFrame | None = None
@@ -121,11 +129,8 @@ class Slices:
         """Add the slice columns; rows of keys that are not cut get -1."""
         if not self.levels:
             return df
-        positions = {
-            f"_axis_{i}": position(df, axis) - F.lit(origin)
-            for i, (axis, origin) in enumerate(zip(self.axes, self.origins))
-        }
-        return self._refine(df.withColumns(positions)).drop(*positions)
+        distances = {f"_axis_{i}": _distance(position(df, a), *self.origins[i]) for i, a in enumerate(self.axes)}
+        return self._refine(df.withColumns(distances)).drop(*distances)
 
     def _refine(self, df: DataFrame) -> DataFrame:
         df = df.withColumns({c: F.lit(-1).cast("long") for c in self.columns})
@@ -219,22 +224,24 @@ def find_slices(
 
     ends = [f(f"_axis_{i}") for i in range(len(axes)) for f in (F.min, F.max)]
     ends = [end or 0 for end in rows.agg(*ends).first()]
-    lows, highs = ends[::2], ends[1::2]
-    rows = rows.withColumns({f"_axis_{i}": F.col(f"_axis_{i}") - F.lit(low) for i, low in enumerate(lows)})
+    # Distances have to fit into 64 bits: values that span more lose their two lowest bits.
+    origins = tuple((low, 0 if high - low < 2**62 else 2) for low, high in zip(ends[::2], ends[1::2]))
+    widths = [(high >> bits) - (low >> bits) for (low, bits), high in zip(origins, ends[1::2])]
+    rows = rows.withColumns({f"_axis_{i}": _distance(F.col(f"_axis_{i}"), *o) for i, o in enumerate(origins)})
 
     columns = [f"_slice_{i}" for i in range(len(axes))]
     schema = T.StructType(key_schema.fields + [T.StructField(c, T.LongType(), False) for c in columns])
     cells = [tuple(r[k] for k in keys) + (-1,) * len(axes) for r in large]
     levels: list[tuple[int, int, DataFrame]] = []
     found: list = []
-    for axis, (low, high) in enumerate(zip(lows, highs)):
+    for axis, width in enumerate(widths):
         # Cells of one value can only be split along the next axis. The first axis always gets a level:
         # its slice column tells which keys are cut.
-        splittable, single, width = cells, [], high - low
+        splittable, single = cells, []
         while splittable and (width or not levels):
             shift = max(width.bit_length() - SPLIT_BITS, 0)
             levels.append((axis, shift, local_rows(df.sparkSession, splittable, schema)))
-            tagged = Slices(keys, tuple(axes), tuple(lows), tuple(levels))._refine(rows)
+            tagged = Slices(keys, tuple(axes), origins, tuple(levels))._refine(rows)
             # Rows with a null sort first, where zero is.
             values = F.coalesce(F.col(f"_axis_{axis}"), F.lit(0))
             sizes = tagged.groupBy(*keys, *columns).agg(
@@ -250,4 +257,4 @@ def find_slices(
     listed = None
     if len(found) <= MAX_LISTED_SLICES:
         listed = local_rows(df.sparkSession, [tuple(r)[:-2] for r in found], schema)
-    return Slices(keys, tuple(axes), tuple(lows), tuple(levels), listed, fine_enough=not cells)
+    return Slices(keys, tuple(axes), origins, tuple(levels), listed, fine_enough=not cells)

@@ -246,6 +246,17 @@ def test_keys_of_any_type_are_cut(spark, zone):
     assert found.fine_enough and max(r["count"] for r in sizes) <= 10
 
 
+@pytest.mark.parametrize("reach", [2**63 - 1, 2**62, 2**61, 1000])
+def test_numbers_of_any_reach_are_cut(spark, reach):
+    generator = random.Random(reach)
+    numbers = sorted({generator.randint(-reach, reach) for _ in range(300)} | {-reach, reach})
+    rows = [("hot", n) for n in numbers] + [("cold", -(2**63)), ("cold", 2**63 - 1), ("hot", None)]
+    df = frame(spark, rows, "key string, n long")
+    changes = OrderedRows.of(df, ["key"], ["n"], max_rows=20).previous("n", "before").result()
+    got = {r["n"]: r["before"] for r in changes.where("key = 'hot'").collect()}
+    assert got == dict(zip([None, *numbers], [None, None, *numbers]))
+
+
 def test_small_keys_are_not_cut(spark):
     df = frame(spark, [("a", at(1)), ("b", at(2))], "key string, t timestamp_ntz")
     found = slices.find_slices(df, ["key"], ["t"])
