@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapwise.llm.chat import chat_events, format_chats
+from lapwise.llm.licenses import license_scan
 from lapwise.llm.ngram_jaccard import ngram_jaccard
+from lapwise.llm.topk import exact_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +59,64 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_ngram_jaccard(spark, sf_dir):
     found = ngram_jaccard(table(spark, sf_dir, "documents"), width=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op3_license_scan(spark, sf_dir):
+    found = license_scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query(
+    r"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    sized AS (
+        SELECT *, length(role) + length(text) + len(regexp_extract_all(role || chr(0) || text, '\\'))
+            + len(regexp_extract_all(role || chr(0) || text,
+                '<\|im_start\|>|<\|im_sep\|>|<\|im_end\|>|<\|endoftext\|>|<\|system\|>|<\|user\|>|<\|assistant\|>'
+                || '|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS escaped
+        FROM rows)
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        (sum(escaped + length('<|im_start|><|im_sep|><|im_end|>')) + count(*) - 1)::BIGINT AS formatted_chars
+    FROM sized GROUP BY conv_id
+    """
+)
+def op4_chat_format(spark, sf_dir):
+    """Every row is a message of its own, streamed in two deltas; rows that tie on turn go by role and text."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    ok = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", ok), (-1, 1, "assistant", ok)], "conv_id long, turn long, role string, text string")
+    found = format_chats(chat_events(rows.unionByName(own)))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    return found.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query(
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+    SELECT query_id, rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+    WHERE rank <= 10
+    """
+)
+def op10_exact_top_k(spark, sf_dir):
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
