@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapwise.llm.chat import chat_events, format_chats
+from lapwise.llm.langid import fit_language_model, identify_language
 from lapwise.llm.licenses import license_scan
 from lapwise.llm.ngram_jaccard import ngram_jaccard
+from lapwise.llm.samples import remainder
 from lapwise.llm.topk import exact_top_k
+from lapwise.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +123,31 @@ def op4_chat_format(spark, sf_dir):
 )
 def op10_exact_top_k(spark, sf_dir):
     return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query()
+def op5_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    third = remainder("doc_id", 3)
+    model = fit_language_model(docs.where(~third.eqNullSafe(F.lit(1))))
+    found = identify_language(docs, model)
+    return found.select("doc_id", third.eqNullSafe(F.lit(1)).alias("held_out"), "lang_pred", "score")
+
+
+def training_labels(spark, sf_dir, docs, label):
+    """Texts with their label, but for documents whose crc32 modulo 4 is 2."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", label).where(~remainder("doc_id", 4).eqNullSafe(F.lit(2)))
+    return docs.select("doc_id", "text").join(labels, "doc_id")
+
+
+def judged(found, threshold):
+    held_out = remainder("doc_id", 4).eqNullSafe(F.lit(2))
+    predicted = F.when(F.col("score") >= threshold, 1).otherwise(0)
+    return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query()
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, training_labels(spark, sf_dir, docs, "toxic"))
+    return judged(score_toxicity(docs, model), 0.3)
