@@ -11,9 +11,11 @@ from lapwise.llm.chat import chat_events, format_chats
 from lapwise.llm.langid import fit_language_model, identify_language
 from lapwise.llm.licenses import license_scan
 from lapwise.llm.ngram_jaccard import ngram_jaccard
+from lapwise.llm.packing import Capacity, pack
 from lapwise.llm.samples import remainder
 from lapwise.llm.topk import exact_top_k
 from lapwise.llm.toxicity import fit_toxicity, score_toxicity
+from lapwise.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,3 +153,33 @@ def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, training_labels(spark, sf_dir, docs, "toxic"))
     return judged(score_toxicity(docs, model), 0.3)
+
+
+def tokenizer_path():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op6_best_fit_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(), Capacity(tokens=2048))
+
+
+@query(
+    r"""
+    WITH p AS (
+        SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS hex FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_page FROM p)
+    SELECT page_id, octet_length(payload) AS payload_bytes,
+        list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::INT >> (15 - 5 * (i % 4))) & 31)::INT, 1)),
+            'string_agg', '') AS payload_digest,
+        CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+    FROM f
+    """
+)
+def op7_warc(spark, sf_dir):
+    found = archive_pages(table(spark, sf_dir, "pages"), least_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
