@@ -12,6 +12,7 @@ from lapwise.llm.langid import fit_language_model, identify_language
 from lapwise.llm.licenses import license_scan
 from lapwise.llm.ngram_jaccard import ngram_jaccard
 from lapwise.llm.packing import Capacity, pack
+from lapwise.llm.quality import fit_quality, score_quality
 from lapwise.llm.samples import remainder
 from lapwise.llm.topk import exact_top_k
 from lapwise.llm.toxicity import fit_toxicity, score_toxicity
@@ -183,3 +184,10 @@ def op6_best_fit_packing(spark, sf_dir):
 def op7_warc(spark, sf_dir):
     found = archive_pages(table(spark, sf_dir, "pages"), least_bytes=0)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op8_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(training_labels(spark, sf_dir, docs, "quality"))
+    return judged(score_quality(docs, model), 0.7)
