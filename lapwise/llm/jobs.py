@@ -6,6 +6,7 @@ import os
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,10 +69,8 @@ def id_filter(ids: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarra
     return bitmap
 
 
-def passing(df: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
-    """Rows whose id passes the bitmap; the columns stay as they are."""
-    import pyarrow as pa
-
+def passing(df: DataFrame, column: str, bitmap: np.ndarray, inside: bool = True) -> DataFrame:
+    """Rows whose id passes the bitmap, or (not ``inside``) those that surely are not in it."""
     spark = df.sparkSession
     bits = len(bitmap) * 64
     shared = spark.sparkContext.broadcast(bitmap)
@@ -80,8 +79,35 @@ def passing(df: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
         for batch in batches:
             place = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)
             hit = (shared.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)
-            kept = batch.filter(pa.array(hit.astype(bool)))
+            kept = batch.filter(pa.array(hit.astype(bool) == inside))
             yield kept.select(list(range(batch.num_columns - 1)))
 
     placed = df.withColumn("_place", F.pmod(F.xxhash64(column), F.lit(bits)))
     return placed.mapInArrow(keep, df.schema)
+
+
+def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose id is not in ``ids``; rows without id stay. Only rows that may go are shuffled."""
+    ids = written(ids.select(column).where(F.col(column).isNotNull()).distinct(), "ids")
+    bitmap = id_filter(ids, column)
+    unsure = passing(df, column, bitmap).join(ids, column, "left_anti").select(*df.columns)
+    return passing(df, column, bitmap, inside=False).unionAll(unsure)
+
+
+def scored_rows(docs: DataFrame, score, schema: str, id_column: str, text_column: str, keep=()) -> DataFrame:
+    """Run ``score`` over batches of (id, text, kept columns); the result has the id, ``schema`` and the kept columns.
+
+    Columns travel under names of this package, so that those of ``docs`` may be called anything.
+    """
+    kept = [F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)]
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), *kept)
+    kind = docs.schema[id_column].dataType.simpleString()
+    extra = "".join(f", _keep{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
+    names = {"id": id_column} | {f"_keep{i}": c for i, c in enumerate(keep)}
+    return rows.mapInArrow(score, f"id {kind}, {schema}{extra}").withColumnsRenamed(names)
+
+
+def with_kept(batch: pa.RecordBatch, found: dict[str, pa.Array]) -> pa.RecordBatch:
+    """The id of each row of a batch, what was found for it, and its kept columns."""
+    kept = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if n.startswith("_keep")}
+    return pa.RecordBatch.from_pydict({"id": batch.column(0), **found, **kept})

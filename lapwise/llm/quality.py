@@ -7,6 +7,7 @@ branch); the weighted sum of the encoded passages gives the score. All of it is
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwise.llm.jobs import prepare
-from lapwise.llm.samples import bounded_sample
+from lapwise.llm.jobs import prepare, scored_rows, with_kept
+from lapwise.llm.samples import labelled_sample
 from lapwise.llm.texts import NOT_SPACE, Texts, byte_table, mix, slices, words_of
 
 PASSAGE_WORDS = 64
@@ -173,19 +174,19 @@ def _gradient(model: QualityModel, features: np.ndarray, bounds: np.ndarray, lab
 
 
 def fit_quality(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
+    id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "quality",
-    order_column: str = "doc_id",
     sample_rows: int = SAMPLE_ROWS,
 ) -> QualityModel | None:
-    """Fit on at most about ``sample_rows`` rows per label, by all passages of whole texts.
+    """Fit on at most about ``sample_rows`` documents per label, by all passages of whole texts.
 
-    Other labels than 0 and 1, null texts and null labels are left out. None without any labelled row.
+    ``labels`` has ids and labels 0 or 1; see ``labelled_sample``. None without any labelled text.
     """
-    prepare(labelled.sparkSession)
-    rows = labelled.select(F.col(text_column).alias("text"), F.col(label_column).cast("int").alias("label"), F.col(order_column).alias("id"))
-    rows = bounded_sample(rows.where("text IS NOT NULL AND label IN (0, 1)"), "label", sample_rows, "id")
+    prepare(docs.sparkSession)
+    rows = labelled_sample(docs, labels, id_column, text_column, label_column, sample_rows)
 
     def describe(batches):
         for batch, texts in slices(batches, "text"):
@@ -193,18 +194,28 @@ def fit_quality(
             flat = pa.ListArray.from_arrays(
                 pa.array(bounds * FEATURES, pa.int32()), pa.array(features.astype(np.float32).ravel())
             )
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), flat], names=["label", "id", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), flat], names=["label", "id", "features"])
 
-    sample = rows.mapInArrow(describe, "label int, id long, features array<float>").orderBy("id", "label").toPandas()
+    kind = docs.schema[id_column].dataType.simpleString()
+    sample = rows.mapInArrow(describe, f"label int, id {kind}, features array<float>").toPandas()
     if not len(sample):
         return None
+    # The same order whatever the partitioning, as the steps of the fit depend on it.
+    sample = sample.assign(size=sample["features"].map(len)).sort_values(["id", "label", "size"], kind="stable")
     sizes = np.array([len(f) // FEATURES for f in sample["features"]])
     features = np.concatenate([np.asarray(f, dtype=float) for f in sample["features"]]).reshape(-1, FEATURES)
     return fit_bags(features, np.concatenate([[0], np.cumsum(sizes)]), sample["label"].to_numpy(dtype=float))
 
 
-def score_quality(docs: DataFrame, model: QualityModel | None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row: its id, ``score`` (0 to 1, from all passages), ``passages`` and ``attended`` (the passage with most weight).
+def score_quality(
+    docs: DataFrame,
+    model: QualityModel | None,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Per row: its id, ``score`` (0 to 1, from all passages), ``passages``, ``attended`` (the passage with most
+    weight), and the columns named in ``keep``.
 
     Null, empty and blank texts are one empty passage. Without a model every score is 0.5. Ids may be null or
     repeat; other columns are ignored; an empty table gives an empty result.
@@ -212,7 +223,6 @@ def score_quality(docs: DataFrame, model: QualityModel | None, id_column: str =
     spark = docs.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(model)
-    kind = docs.schema[id_column].dataType.simpleString()
 
     def score(batches):
         m = shared.value
@@ -223,11 +233,7 @@ def score_quality(docs: DataFrame, model: QualityModel | None, id_column: str =
             else:
                 value, attention = m.score(features, bounds)
             most = [int(np.argmax(attention[a:b])) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(value), pa.array(np.diff(bounds)), pa.array(most, pa.int64())],
-                names=["id", "score", "passages", "attended"],
-            )
+            found = {"score": value, "passages": np.diff(bounds), "attended": np.array(most, dtype=np.int64)}
+            yield with_kept(batch, {k: pa.array(v) for k, v in found.items()})
 
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    schema = f"id {kind}, score double, passages long, attended long"
-    return rows.mapInArrow(score, schema).withColumnRenamed("id", id_column)
+    return scored_rows(docs, score, "score double, passages long, attended long", id_column, text_column, keep)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapwise.llm.chat import chat_events, format_chats
+from lapwise.llm.decontaminate import find_leaks
 from lapwise.llm.langid import fit_language_model, identify_language
 from lapwise.llm.licenses import license_scan
 from lapwise.llm.ngram_jaccard import ngram_jaccard
@@ -137,10 +138,9 @@ def op5_language_id(spark, sf_dir):
     return found.select("doc_id", third.eqNullSafe(F.lit(1)).alias("held_out"), "lang_pred", "score")
 
 
-def training_labels(spark, sf_dir, docs, label):
-    """Texts with their label, but for documents whose crc32 modulo 4 is 2."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", label).where(~remainder("doc_id", 4).eqNullSafe(F.lit(2)))
-    return docs.select("doc_id", "text").join(labels, "doc_id")
+def training_labels(spark, sf_dir):
+    """Labels but for documents whose crc32 modulo 4 is 2."""
+    return table(spark, sf_dir, "labels").where(~remainder("doc_id", 4).eqNullSafe(F.lit(2)))
 
 
 def judged(found, threshold):
@@ -152,7 +152,7 @@ def judged(found, threshold):
 @query()
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    model = fit_toxicity(docs, training_labels(spark, sf_dir, docs, "toxic"))
+    model = fit_toxicity(docs, training_labels(spark, sf_dir))
     return judged(score_toxicity(docs, model), 0.3)
 
 
@@ -189,5 +189,10 @@ def op7_warc(spark, sf_dir):
 @query()
 def op8_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    model = fit_quality(training_labels(spark, sf_dir, docs, "quality"))
+    model = fit_quality(docs, training_labels(spark, sf_dir))
     return judged(score_quality(docs, model), 0.7)
+
+
+@query()
+def op2_decontamination(spark, sf_dir):
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

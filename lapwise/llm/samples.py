@@ -23,3 +23,17 @@ def bounded_sample(rows: DataFrame, label: str, bound: int, order: str) -> DataF
         share = min(1.0, bound / size["n"])
         keep = keep | (F.col(label).eqNullSafe(F.lit(size[label])) & (place < F.lit(int(share * 1_000_003) + 1)))
     return rows.where(keep)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, label: str, bound: int) -> DataFrame:
+    """(id, label, text) of about ``bound`` documents of each label 0 and 1.
+
+    Chosen from the labels alone, so that no more than the sample is ever joined with texts; a table of that size
+    is broadcast. An id that is labelled several times counts with its highest label; other labels, rows
+    without id or label, and null texts are left out.
+    """
+    wanted = labels.select(F.col(id_column).alias("id"), F.col(label).cast("int").alias("label"))
+    wanted = wanted.where("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
+    chosen = F.broadcast(bounded_sample(wanted, "label", bound, "id"))
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where("text IS NOT NULL")
+    return texts.join(chosen, "id").select("id", "label", "text")

@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwise.llm.jobs import prepare, written
-from lapwise.llm.samples import bounded_sample
+from lapwise.llm.jobs import prepare, scored_rows, with_kept, written
+from lapwise.llm.samples import labelled_sample
 from lapwise.llm.texts import ALPHANUMERIC, LOWER, SPACE, Texts, byte_table, mix, powers, slices, texts_of, to_signed, words_of
 
 #: What a digit or mark may stand for.
@@ -33,7 +33,9 @@ FILLERS = "._-*~^`'"
 VOWELS = "aeiou"
 
 #: Costs of the channel, as negative log probabilities.
-COST_LEET, COST_DROP, COST_STAR, COST_REPEAT = 0.7, 0.5, 2.0, 0.3
+COST_LEET, COST_STAR, COST_REPEAT, COST_JOIN = 0.7, 2.0, 0.3, 0.5
+#: Of leaving out a filler, another mark, a digit: a letter left out saves about as much under the character model.
+COST_DROP, COST_DROP_MARK, COST_DROP_DIGIT = 0.5, 4.0, 6.0
 
 SYMBOLS = 28
 OTHER = 27
@@ -101,23 +103,26 @@ def _options(token: str) -> list[list[tuple[str, float]]]:
             else:
                 positions += [[(c, 0.0)]] * run
         elif c in LEET or c in FILLERS:
-            options = [("", COST_DROP * run)]
+            drop = COST_DROP if c in FILLERS else COST_DROP_DIGIT if c.isdigit() else COST_DROP_MARK
+            options = [("", drop + COST_DROP * (run - 1))]
             options += [(x * min(run, 2), COST_LEET) for x in LEET.get(c, "")]
             if c == "*":
                 options += [(x, COST_STAR) for x in VOWELS]
             positions.append(options)
-        elif c != " ":
+        elif c.isspace():
+            positions.append([("", COST_JOIN), (" ", 0.0)])
+        else:
             positions.append([("", COST_DROP * run)])
         i += run
     return positions
 
 
 def _symbol(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else OTHER
+    return ord(c) - 96 if "a" <= c <= "z" else 0 if c == " " else OTHER
 
 
 def restore(token: str, costs: np.ndarray) -> str:
-    """Most likely word behind a token in lower case; ties go to the word first by alphabet."""
+    """Most likely word behind a token in lower case (or words, behind letters set apart); ties: first by alphabet."""
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     for options in [*_options(token), None]:
         following: dict[tuple[int, int], tuple[float, str]] = {}
@@ -175,9 +180,10 @@ def disguised(texts: Texts) -> list[tuple[int, int]]:
     if len(places):
         which = np.unique(np.searchsorted(starts, places, side="right") - 1)
         ranges = {(int(starts[w]), int(ends[w])) for w in which}
-    # Single letters set apart: runs of three or more one-letter tokens in one row.
-    single = (ends - starts == 1) & letter[np.minimum(starts, n - 1)] if len(starts) else np.zeros(0, dtype=bool)
-    joined = single[1:] & single[:-1] & (starts[1:] - ends[:-1] == 1)
+    # Single letters set apart: runs of three or more one-letter tokens in one row, each maybe with a mark after it.
+    size = ends - starts
+    single = letter[starts] & ((size == 1) | (size == 2) & ~letter[ends - 1])
+    joined = single[1:] & single[:-1] & (size[:-1] == 1) & (starts[1:] - ends[:-1] == 1)
     row = np.searchsorted(texts.offsets, starts, side="right")
     joined &= row[1:] == row[:-1]
     change = np.flatnonzero(np.diff(np.concatenate([[0], joined.astype(np.int8), [0]])))
@@ -265,22 +271,21 @@ class ToxicityModel:
 
 def fit_toxicity(
     docs: DataFrame,
-    labelled: DataFrame,
+    labels: DataFrame,
+    id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
-    order_column: str = "doc_id",
     sample_rows: int = SAMPLE_ROWS,
 ) -> ToxicityModel:
-    """Character model from all of ``docs``, classifier from at most about ``sample_rows`` rows per label.
+    """Character model from all of ``docs``, classifier from at most about ``sample_rows`` documents per label.
 
-    ``labelled`` has the text and the label 0 or 1; other labels, null texts and null labels are left out, and
-    equal texts count once. Without rows of both labels the score is the share of label 1 (0 without any).
+    ``labels`` has ids and labels 0 or 1; see ``labelled_sample``. Equal texts count once. Without documents of
+    both labels the score is 1 or 0, whichever label there is (0 without any).
     """
     spark = docs.sparkSession
     prepare(spark)
     costs = fit_characters(docs, text_column)
-    rows = labelled.select(F.col(text_column).alias("text"), F.col(label_column).cast("int").alias("label"), F.col(order_column).alias("id"))
-    rows = bounded_sample(rows.where("text IS NOT NULL AND label IN (0, 1)"), "label", sample_rows, "id")
+    rows = labelled_sample(docs, labels, id_column, text_column, label_column, sample_rows)
     rows = rows.groupBy(F.xxhash64("text").alias("same"), F.sha1("text").alias("digest")).agg(
         F.first("text").alias("text"), F.max("label").alias("label")
     )
@@ -393,8 +398,11 @@ def fit_logistic(
     return weights, float(bias)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row: its id, ``score`` (0 to 1) of the whole restored text, and ``restored`` (array of token and word).
+def score_toxicity(
+    docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text_column: str = "text", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Per row: its id, ``score`` (0 to 1) of the whole restored text, ``restored`` (array of token and word), and
+    the columns named in ``keep``.
 
     Null and empty texts have no words and get the score of a text without any telling word. Ids may be null or
     repeat; other columns are ignored; an empty table gives an empty result.
@@ -402,7 +410,6 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_
     spark = docs.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(model)
-    kind = docs.schema[id_column].dataType.simpleString()
     pair = pa.list_(pa.struct([("token", pa.string()), ("word", pa.string())]))
 
     def score(batches):
@@ -413,8 +420,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_
             found: list[list] = [[] for _ in range(len(texts))]
             for row, token, word in spans:
                 found[row].append({"token": token, "word": word})
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value), pa.array(found, pair)], names=["id", "score", "restored"])
+            yield with_kept(batch, {"score": pa.array(value), "restored": pa.array(found, pair)})
 
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    schema = f"id {kind}, score double, restored array<struct<token string, word string>>"
-    return rows.mapInArrow(score, schema).withColumnRenamed("id", id_column)
+    schema = "score double, restored array<struct<token string, word string>>"
+    return scored_rows(docs, score, schema, id_column, text_column, keep)
