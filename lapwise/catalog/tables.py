@@ -39,18 +39,53 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", parsed["k"].alias("k"))
 
 
-@query("SELECT event_id, user_id, ts, event_type, value FROM events")
+@query("SELECT event_id, user_id, ts, event_type, value, props FROM events")
 def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land events as JSON once, try to land an empty set over it, and read the records back."""
     path = new_table_path(spark, "landed_events")
     events = table(spark, sf_dir, "events")
-    raw = events.select("event_id", "user_id", F.col("ts").cast("string").alias("ts"), "event_type", "value")
+    raw = events.select("event_id", "user_id", F.col("ts").cast("string").alias("ts"), "event_type", "value", "props")
     write.land_once(raw, path)
     write.land_once(raw.where(F.lit(False)), path)
     records = read.read_records(spark, path, raw.schema, multi_line=False)
     return records.withColumn("ts", utc_wall_clock(parse_utc("ts")))
 
 
+# Records of one landed file.
+FILE_RECORDS = 5_000
+
+
+def _one_document_per_file(documents: DataFrame, path: str) -> None:
+    """Write rows (file, text) as one file each."""
+    documents.write.partitionBy("file").text(path)
+
+
+@query("SELECT event_id, user_id, ts, event_type, value, props FROM events")
+def json_array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that hold one array of records each."""
+    path = new_table_path(spark, "array_files")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("string"))
+    record = F.struct("event_id", "user_id", "ts", "event_type", "value", "props")
+    file = F.floor(F.col("event_id") / FILE_RECORDS).alias("file")
+    _one_document_per_file(events.groupBy(file).agg(F.to_json(F.collect_list(record)).alias("text")), path)
+    records = read.read_records(spark, path, events.schema).select(events.columns)
+    return records.withColumn("ts", utc_wall_clock(parse_utc("ts")))
+
+
+@query("SELECT event_id, value, event_type FROM events")
+def parallel_array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that hold one struct of parallel arrays each."""
+    path = new_table_path(spark, "parallel_array_files")
+    events = table(spark, sf_dir, "events")
+    file = F.floor(F.col("event_id") / FILE_RECORDS).alias("file")
+    rows = events.groupBy(file).agg(F.collect_list(F.struct("event_id", "value", "event_type")).alias("r"))
+    arrays = F.struct("r.event_id", "r.value", "r.event_type")
+    _one_document_per_file(rows.select("file", F.to_json(F.struct(arrays.alias("hourly"))).alias("text")), path)
+    fields = [T.StructField(f.name, T.ArrayType(f.dataType)) for f in events.select("event_id", "value", "event_type").schema]
+    schema = T.StructType([T.StructField("hourly", T.StructType(fields))])
+    return read.read_parallel_arrays(spark, path, schema, "hourly")
+
+
 @query(
     """
     SELECT vec_id, label, unnest(generate_series(0, len(embedding) - 1)) AS position,
@@ -69,13 +104,11 @@ def parallel_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.inline_arrays(vectors, "position", "component", keep=("vec_id", "label"))
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+@query("SELECT * FROM orders")
 def processed_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write processed Parquet twice, so that the second write replaces the first, and read it."""
     path = new_table_path(spark, "processed_orders")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
-    )
+    orders = table(spark, sf_dir, "orders")
     write.write_processed(orders.where(F.lit(False)), path)
     write.write_processed(orders, path, cluster_by=["o_custkey"])
     return read.read_parquet(spark, path)
@@ -100,6 +133,24 @@ def registered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT c_mktsegment, count(*) AS orders, count(DISTINCT c_custkey) AS customers
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment
+    """
+)
+def saved_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables created from Parquet files."""
+    files = {f"saved_{name}": f"{sf_dir}/{name}.parquet" for name in ("customer", "orders")}
+    read.register_tables(spark, files, save=True, folder=new_table_path(spark, "saved"))
+    return spark.sql(
+        """
+        SELECT c_mktsegment, count(*) AS orders, count(DISTINCT c_custkey) AS customers
+        FROM saved_orders JOIN saved_customer ON o_custkey = c_custkey GROUP BY c_mktsegment
+        """
+    )
+
+
 @query("SELECT count(*) AS table_rows, count(*) AS parquet_rows, count(*) AS csv_rows FROM events")
 def export_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export events with an interval column to Parquet and CSV and count what was written."""
@@ -113,22 +164,36 @@ def export_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT event_id, ts, user_id, event_type, value,
+    SELECT event_id, ts, user_id, event_type, value, props,
            (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 1000000.0 AS since_start
     FROM events
     """
 )
 def exported_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with an interval column, written as CSV and read back."""
+    """Events with JSON text and an interval column, written as CSV and read back."""
     first = F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00'")
-    events = (
-        table(spark, sf_dir, "events").drop("props").withColumn("since_start", F.col("ts") - first)
-    )
+    events = table(spark, sf_dir, "events").withColumn("since_start", F.col("ts") - first)
     path = new_table_path(spark, "exported_events")
     write.export_csv(events, path)
     return read.read_csv(spark, path, write.exportable(events).schema)
 
 
+@query(
+    """
+    SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE '"' || text || '",' || chr(10) END AS text, source
+    FROM documents
+    """
+)
+def exported_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, quotes and commas, empty ones and nulls, written as CSV and read back."""
+    quoted = F.concat(F.lit('"'), "text", F.lit('",\n'))
+    text = F.when(F.col("doc_id") % 5 == 0, "").when(F.col("doc_id") % 5 > 1, quoted)
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), "source")
+    path = new_table_path(spark, "exported_texts")
+    write.export_csv(docs, path)
+    return read.read_csv(spark, path, docs.schema)
+
+
 # --- projections --------------------------------------------------------------------------------
 
 
@@ -430,6 +495,29 @@ def range_join_few_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.range_join(events, ranges, ["user_id"], "event_id", "first_id", "last_id", ["range_number"])
 
 
+@query(
+    """
+    SELECT v.event_id, p.event_id AS click_id
+    FROM (SELECT event_id, event_id // 1000 AS stretch FROM events WHERE event_type = 'view') v
+    LEFT JOIN (SELECT event_id, event_id // 1000 AS stretch,
+                      CASE event_id % 4 WHEN 0 THEN event_id WHEN 1 THEN -9223372036854775808 ELSE event_id - 40 END AS low,
+                      CASE event_id % 4 WHEN 0 THEN 9223372036854775807 WHEN 1 THEN event_id - 900
+                                        WHEN 2 THEN event_id + 40 END AS high
+               FROM events WHERE event_type = 'click') p
+        ON v.stretch = p.stretch AND v.event_id BETWEEN p.low AND p.high
+    """
+)
+def range_join_open_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About 200 ranges per key: without an end, without a start, short, and without a known end."""
+    events = table(spark, sf_dir, "events").withColumn("stretch", F.floor(F.col("event_id") / 1000))
+    kind, at = F.col("event_id") % 4, F.col("event_id")
+    low = F.when(kind == 0, at).when(kind == 1, F.lit(-(2**63))).otherwise(at - 40)
+    high = F.when(kind == 0, F.lit(2**63 - 1)).when(kind == 1, at - 900).when(kind == 2, at + 40)
+    ranges = events.where("event_type = 'click'").select("stretch", at.alias("click_id"), low.alias("low"), high.alias("high"))
+    views = events.where(VIEWS).select("event_id", "stretch")
+    return joins.range_join(views, ranges, ["stretch"], "event_id", "low", "high", ["click_id"]).drop("stretch")
+
+
 @query(
     """
     SELECT v.event_id, v.stretch, p.event_id AS purchase_id
@@ -645,6 +733,22 @@ def median_of_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_columns(medians, {"median_price": 6})
 
 
+@query(
+    """
+    WITH one AS (SELECT l_suppkey, median(l_extendedprice) AS built_in FROM lineitem GROUP BY l_suppkey)
+    SELECT l_suppkey, round(built_in, 6) AS median_price, TRUE AS same_bits FROM one
+    """
+)
+def medians_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The median for small and the one for large groups over the same rows, which agree to the last bit."""
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice")
+    small = aggregates.grouped_summary(lines, ["l_suppkey"], {}, {"median_price": "l_extendedprice"}, max_rows=None)
+    large = aggregates.grouped_median(lines, ["l_suppkey"], "l_extendedprice", "large_price", max_rows=50)
+    both = joins.lookup_join(small, large, ["l_suppkey"], ["large_price"])
+    same = F.col("median_price").eqNullSafe(F.col("large_price")).alias("same_bits")
+    return both.select("l_suppkey", F.round("median_price", 6).alias("median_price"), same)
+
+
 @query(
     _FLAGGED_SQL
     + """
@@ -997,8 +1101,7 @@ def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def key_report_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gate of a table that meets it: raises if not, and reports."""
     events = table(spark, sf_dir, "events")
-    quality.require_key(events, ["event_id"], "events")
-    return quality.key_report(events, ["event_id"])
+    return quality.checked_report(events, ["event_id"], "events")
 
 
 @query(
@@ -1008,7 +1111,7 @@ def key_report_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
     per_key AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM corrupted GROUP BY ALL)
     SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows,
-           CAST(0 AS BIGINT) AS null_l_orderkey,
+           CAST(coalesce(sum(n) FILTER (WHERE l_orderkey IS NULL), 0) AS BIGINT) AS null_l_orderkey,
            CAST(coalesce(sum(n) FILTER (WHERE l_linenumber IS NULL), 0) AS BIGINT) AS null_l_linenumber,
            CAST(coalesce(sum(n) FILTER (WHERE l_linenumber < 3), 0) AS BIGINT) AS line_below_3
     FROM per_key
@@ -1055,7 +1158,12 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT CAST(c.position AS INTEGER) AS position, c.name AS "column", c.kind AS type,
-           (SELECT count(*) FROM events) AS rows, CAST(0 AS BIGINT) AS nulls
+           (SELECT count(*) FROM events) AS rows,
+           (SELECT CASE c.name WHEN 'event_id' THEN count(*) - count(event_id) WHEN 'ts' THEN count(*) - count(ts)
+                               WHEN 'user_id' THEN count(*) - count(user_id)
+                               WHEN 'event_type' THEN count(*) - count(event_type)
+                               WHEN 'value' THEN count(*) - count(value) ELSE count(*) - count(props) END
+            FROM events) AS nulls
     FROM (VALUES (0, 'event_id', 'bigint'), (1, 'ts', 'timestamp_ntz'), (2, 'user_id', 'bigint'),
                  (3, 'event_type', 'string'), (4, 'value', 'double'), (5, 'props', 'string')
          ) AS c(position, name, kind)

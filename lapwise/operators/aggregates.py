@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapwise.operators.slices import group_sizes, same_keys
 
@@ -30,10 +31,12 @@ def grouped_summary(
     """One row per group: the named aggregates, and exact interpolated medians of the named columns.
 
     ``medians`` maps output names to columns. The built-in median keeps all distinct values of a group
-    in the memory of one task, so it is used only if no group has more than ``max_rows`` rows. With
-    medians ``df`` is read more than once: materialise it first if it is costly.
+    in the memory of one task, so it is used only if no group has more than ``max_rows`` rows; both ways give
+    the same doubles, bit for bit. With medians ``df`` is read more than once: materialise it first if it is
+    costly.
     """
     medians = dict(medians or {})
+    _require_numbers(df, medians.values())
     plain = [column.alias(name) for name, column in aggregates.items()]
     if not medians or max_rows is None or _larger_groups(df, keys, max_rows).isEmpty():
         return df.groupBy(*keys).agg(*plain, *[F.median(c).alias(name) for name, c in medians.items()])
@@ -56,6 +59,7 @@ def grouped_median(
     not be the median and are only counted before anything is shuffled. What is left are the distinct
     values of a narrow band, which are ranked by their running count.
     """
+    _require_numbers(df, [value])
     rows = df.select(*keys, F.col(value).cast("double").alias("_value")).where(F.col("_value").isNotNull())
     large = _larger_groups(rows, keys, max_rows)
     number, largest = large.agg(F.count(F.lit(1)), F.max("_rows")).first()
@@ -82,13 +86,20 @@ def grouped_median(
     found = middle.groupBy(*keys).agg(
         F.min("_value").alias("_low"), F.max("_value").alias("_high"), F.max(F.abs("_zone")).alias("_missed")
     )
+    # Halfway as the built-in median puts it.
     median = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
-        F.col("_low") + (F.col("_high") - F.col("_low")) / 2
+        F.lit(0.5) * F.col("_low") + F.lit(0.5) * F.col("_high")
     )
     missed = F.raise_error(F.lit("the median lies outside its bracket")).cast("double")
     return found.select(*keys, F.when(F.col("_missed") > 0, missed).otherwise(median).alias(out))
 
 
+def _require_numbers(df: DataFrame, columns: Iterable[str]) -> None:
+    for column in columns:
+        if not isinstance(df.schema[column].dataType, T.NumericType):
+            raise TypeError(f"the median of {column} needs numbers")
+
+
 def _larger_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     return group_sizes(df, keys).where(F.col("_rows") > max_rows)
 

@@ -6,9 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_RANGES_PER_KEY = 64
-MAX_LEVEL = 61
+# A block of this level holds half of all 64-bit numbers.
+TOP_LEVEL = 63
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def lookup_join(
@@ -39,10 +43,14 @@ def range_join(
 ) -> DataFrame:
     """Every left row with each range of its key that contains its ordinal, both ends included, or nulls.
 
-    Null bounds contain nothing; overlapping ranges repeat the left row. Ordinals are whole numbers.
+    Null bounds contain nothing; overlapping ranges repeat the left row. Ordinals and bounds have to be of an
+    integral type, over all of which ranges may extend; a range without end ends at the type's largest value.
     If no key has more than ``max_ranges_per_key`` ranges, comparing a row with all ranges of its key is
     cheap, and a plain join does it. Otherwise ranges are looked up by the blocks they consist of.
     """
+    for df, column in ((left, ordinal), (ranges, low), (ranges, high)):
+        if not isinstance(df.schema[column].dataType, _INTEGRAL):
+            raise TypeError(f"{column} has to be of an integral type")
     ranges = ranges.select(*keys, low, high, *columns).where(F.col(low) <= F.col(high))
     most = ranges.groupBy(*keys).count().agg(F.max("count")).first()[0]
     if (most or 0) <= max_ranges_per_key:
@@ -92,22 +100,25 @@ def _range_join_by_blocks(left, ranges, keys, ordinal, low, high, columns) -> Da
 def _blocks(low: Column, high: Column) -> Column:
     """The blocks a range consists of, as array<struct<level, number>>, largest blocks in the middle.
 
-    At level k the remaining middle spans the blocks from ceil(low / 2**k) up to floor((high+1) / 2**k).
-    An odd first block has no partner to merge with, nor has an even last one; those stay at this level.
+    At level k the blocks that are whole within the range run from ``first`` to ``last``. An odd first block has
+    no partner to merge with, nor has an even last one; those stay at this level. At the top level the only
+    blocks are -1 and 0, which have none either. Nothing here leaves 64 bits.
     """
+    right = lambda n, by: F.call_function("shiftright", n, by)
 
     def at_level(level: Column) -> Column:
-        first = -F.call_function("shiftright", -low, level)
-        stop = F.call_function("shiftright", high + 1, level)
-        odd = lambda n: F.pmod(n, F.lit(2)) == 1
+        # The bits of an ordinal that tell its place within a block.
+        places = F.when(level > 0, F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), 64 - level))
+        places = F.coalesce(places, F.lit(0).cast("long"))
+        first = right(low, level) + F.when(low.bitwiseAND(places) != 0, 1).otherwise(0)
+        last = right(high, level) - F.when(high.bitwiseAND(places) != places, 1).otherwise(0)
+        odd = lambda n: n.bitwiseAND(F.lit(1)) == 1
         return F.array(
-            F.when((first < stop) & odd(first), F.struct(level.alias("level"), first.alias("number"))),
-            F.when((first < stop) & odd(stop), F.struct(level.alias("level"), (stop - 1).alias("number"))),
+            F.when((first <= last) & odd(first), F.struct(level.alias("level"), first.alias("number"))),
+            F.when((first <= last) & ~odd(last), F.struct(level.alias("level"), last.alias("number"))),
         )
 
-    # No block inside the range is longer than the range.
-    highest = F.least(F.lit(MAX_LEVEL), F.ceil(F.log2(high - low + 2)).cast("int"))
-    per_level = F.transform(F.sequence(F.lit(0), highest), at_level)
+    per_level = F.transform(F.sequence(F.lit(0), F.lit(TOP_LEVEL)), at_level)
     return F.filter(F.flatten(per_level), lambda block: block.isNotNull())
 
 

@@ -40,7 +40,21 @@ def require_key(
     df: DataFrame, key: Sequence[str], name: str, violations: Mapping[str, Column] | None = None
 ) -> dict[str, int]:
     """Raise unless the key is unique and complete and nothing violates a rule; return the report."""
-    report = key_report(df, key, violations).first().asDict()
+    report = _passed(key_report(df, key, violations), name)
+    return report
+
+
+def checked_report(
+    df: DataFrame, key: Sequence[str], name: str, violations: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """The report of ``require_key`` as a table of one row, computed once."""
+    report = key_report(df, key, violations)
+    found = _passed(report, name)
+    return df.sparkSession.createDataFrame([tuple(found.values())], report.schema)
+
+
+def _passed(report: DataFrame, name: str) -> dict[str, int]:
+    report = report.first().asDict()
     broken = {check: count for check, count in report.items() if check != "rows" and count}
     if broken:
         raise QualityError(f"{name}: " + ", ".join(f"{check} = {count}" for check, count in broken.items()))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,10 +22,13 @@ def read_records(
 
 
 def read_parallel_arrays(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, field: str
+    spark: SparkSession, path: str | list[str], schema: T.StructType, field: str, multi_line: bool = True
 ) -> DataFrame:
-    """JSON documents holding a struct of equally long arrays, as one row per array index."""
-    documents = read_records(spark, path, schema)
+    """JSON documents holding a struct of equally long arrays, as one row per array index.
+
+    One document per file or, with ``multi_line=False``, per line.
+    """
+    documents = read_records(spark, path, schema, multi_line)
     return inline_arrays(documents.select(f"{field}.*"), *schema[field].dataType.fieldNames())
 
 
@@ -53,19 +55,47 @@ TIME_FORMATS = {
 }
 
 
+# CSV as RFC 4180 and most readers have it, with null told apart from empty text.
+CSV_FORMAT = {
+    "header": "true",
+    "sep": ",",
+    "quote": '"',
+    "escape": '"',
+    "lineSep": "\n",
+    "emptyValue": '""',
+    "nullValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """CSV with header lines as ``write.export_csv`` makes it."""
-    return spark.read.schema(schema).options(**TIME_FORMATS).option("header", True).csv(path)
+    """CSV with header lines as ``write.export_csv`` makes it.
+
+    Where the schema has text, which may hold line breaks, a file is read by one task; other files are split.
+    """
+    text = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
+    options = {k: v for k, v in CSV_FORMAT.items() if not (text and k == "lineSep")} | {"emptyValue": "", "multiLine": str(text)}
+    return spark.read.schema(schema).options(**TIME_FORMATS, **options).option("mode", "FAILFAST").csv(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+def landing_state(spark: SparkSession, path: str) -> str:
+    """``missing``, ``empty`` (nothing in it), ``unfinished`` (left by a lost job) or ``landed``.
+
+    Looks at what lies directly in the folder, however many files there are below.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(where):
+        return "missing"
+    if system.getFileStatus(where).isFile():
+        return "landed"
+    names = {entry.getPath().getName() for entry in system.listStatus(where)}
+    if "_SUCCESS" in names:
+        return "landed"
+    if "_temporary" in names:
+        return "unfinished"
+    return "landed" if any(not n.startswith((".", "_")) for n in names) else "empty"
 
 
 def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -73,14 +103,17 @@ def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
-def register_tables(spark: SparkSession, files: Mapping[str, str], save: bool = False) -> None:
+def register_tables(
+    spark: SparkSession, files: Mapping[str, str], save: bool = False, folder: str | None = None
+) -> None:
     """Make each Parquet path available to SQL by name, replacing what had the name before.
 
-    Views by default; ``save`` copies the data into managed tables.
+    Views by default; ``save`` copies the data into tables, in ``folder`` if given, else in the warehouse.
     """
     for name, path in files.items():
         df = read_parquet(spark, path)
         if save:
-            df.write.mode("overwrite").saveAsTable(name)
+            writer = df.write.mode("overwrite")
+            (writer.option("path", f"{folder}/{name}") if folder else writer).saveAsTable(name)
         else:
             df.createOrReplaceTempView(name)

@@ -9,21 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapwise.functions import interval_seconds
-from lapwise.sources.read import TIME_FORMATS, path_exists, read_csv
+from lapwise.sources.read import CSV_FORMAT, TIME_FORMATS, landing_state, read_csv
 
 
 def land_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> bool:
-    """Write raw records as JSON unless the path already exists; whether they were written.
+    """Write raw records as JSON unless the path already holds landed data; whether they were written.
 
-    If it exists nothing is computed either. What a job left behind that was lost while landing is not
-    taken for landed data, but raises.
+    Landed is what a finished job marked, and a file or a folder of files that others put there. If it is landed
+    nothing is computed. An empty folder, which a failed job leaves, is written to; what a job left behind that
+    was lost while landing is not taken for landed data, but raises.
     """
-    if path_exists(df.sparkSession, path):
-        if path_exists(df.sparkSession, f"{path}/_temporary"):
-            raise RuntimeError(f"{path} holds an unfinished landing; land elsewhere or clear it")
-        return False
-    df.write.mode("error").options(**TIME_FORMATS).partitionBy(*partition_by).json(path)
-    return True
+    writer = df.write.options(**TIME_FORMATS).partitionBy(*partition_by)
+    state = landing_state(df.sparkSession, path)
+    if state == "unfinished":
+        raise RuntimeError(f"{path} holds an unfinished landing; land elsewhere or clear it")
+    if state in ("missing", "empty"):
+        # The empty folder is there already.
+        writer.mode("error" if state == "missing" else "append").json(path)
+    return state in ("missing", "empty")
 
 
 def write_processed(
@@ -59,8 +62,11 @@ def export_parquet(df: DataFrame, path: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Comma-separated with a header line per file."""
-    exportable(df).write.mode("overwrite").options(**TIME_FORMATS).option("header", True).option("sep", ",").csv(path)
+    """Comma-separated with a header line per file, as RFC 4180 has it.
+
+    Quotes are doubled, text with commas, quotes or line breaks is quoted, an empty text is ``""`` and null nothing.
+    """
+    exportable(df).write.mode("overwrite").options(**TIME_FORMATS, **CSV_FORMAT).csv(path)
 
 
 def export_counts(spark: SparkSession, df: DataFrame, parquet_path: str, csv_path: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 import random
 import statistics
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 
 from lapwise.operators import aggregates, quality
+from lapwise.operators.aggregates import grouped_median, grouped_summary
 from lapwise.operators.quality import QualityError
 
 
@@ -54,6 +56,22 @@ def test_median_of_infinite_values(spark, max_rows):
     assert {r["k"]: r["m"] for r in summary.collect()} == {"a": infinity, "b": -infinity, "c": infinity}
 
 
+def test_both_medians_agree_bit_for_bit(spark):
+    rng = random.Random(9)
+    rows = [(k, rng.choice([rng.uniform(-1e9, 1e9), rng.random(), float(rng.randrange(9))])) for k in range(300) for _ in range(rng.randrange(1, 40))]
+    df = spark.createDataFrame(rows, "k int, v double")
+    small = {r.k: struct.pack("d", r.m) for r in grouped_summary(df, ["k"], {}, {"m": "v"}, max_rows=None).collect()}
+    large = {r.k: struct.pack("d", r.m) for r in grouped_median(df, ["k"], "v", "m", max_rows=1).collect()}
+    assert small == large
+
+
+@pytest.mark.parametrize("max_rows", [None, 0])
+def test_medians_of_other_types_are_refused_either_way(spark, max_rows):
+    df = spark.sql("SELECT 1 AS k, INTERVAL '1' DAY AS v")
+    with pytest.raises(TypeError, match="numbers"):
+        grouped_summary(df, ["k"], {}, {"m": "v"}, max_rows=max_rows)
+
+
 def test_distinct_keys_skip_unknown_parts(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, None), (2, 1)], "a int, b int")
     assert df.agg(aggregates.distinct_keys("a", "b")).first()[0] == 2

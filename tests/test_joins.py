@@ -56,6 +56,36 @@ def test_range_join_against_brute_force(spark, max_ranges):
     assert sorted(map(tuple, joined.collect()), key=str) == sorted(expected, key=str)
 
 
+LOWEST, HIGHEST = -(2**63), 2**63 - 1
+
+
+@pytest.mark.parametrize("more", [0, 100])
+def test_range_join_over_all_numbers(spark, more):
+    """With one range or with a hundred on the key, whichever way they are looked up."""
+    wide = [(0, 2**62), (0, 2**62 - 1), (LOWEST, HIGHEST), (LOWEST, LOWEST), (HIGHEST, HIGHEST), (5, HIGHEST), (LOWEST, -3)]
+    points = [LOWEST, LOWEST + 1, -4, -3, -2, -1, 0, 1, 5, 7, 2**62 - 1, 2**62, HIGHEST - 1, HIGHEST]
+    laps = spark.createDataFrame([("d", n) for n in points], "k string, n long")
+    for low, high in wide:
+        ranges = [("d", low, high, -1)] + [("d", 10**6 + 10 * i, 10**6 + 10 * i + 3, i) for i in range(more)]
+        joined = range_join(
+            laps, spark.createDataFrame(ranges, "k string, low long, high long, id int"), ["k"], "n", "low", "high", ["id"]
+        )
+        expected = {(n, -1 if low <= n <= high else None) for n in points}
+        assert {(r.n, r.id) for r in joined.collect()} == expected
+
+
+@pytest.mark.parametrize("max_ranges", [64, 0])
+def test_range_join_refuses_what_is_not_whole(spark, max_ranges):
+    whole = spark.createDataFrame([("d", 3, 3, 1)], "k string, low long, high long, id int")
+    half = spark.createDataFrame([("d", 3.5)], "k string, n double")
+    with pytest.raises(TypeError, match="integral"):
+        range_join(half, whole, ["k"], "n", "low", "high", ["id"], max_ranges)
+    with pytest.raises(TypeError, match="integral"):
+        range_join(
+            half.withColumn("n", F.lit(3)), whole.withColumn("high", F.lit(3.5)), ["k"], "n", "low", "high", ["id"], max_ranges
+        )
+
+
 def test_range_join_without_ranges(spark):
     laps = spark.createDataFrame([("d", 1)], "k string, n long")
     none = spark.createDataFrame([], "k string, low long, high long, name string")
