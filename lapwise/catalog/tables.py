@@ -79,7 +79,7 @@ def parallel_array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     file = F.floor(F.col("event_id") / FILE_RECORDS).alias("file")
     rows = events.groupBy(file).agg(F.collect_list(F.struct("event_id", "value", "event_type")).alias("r"))
-    arrays = F.struct("r.event_id", "r.value", "r.event_type")
+    arrays = F.struct(*[F.col(f"r.{c}").alias(c) for c in ("event_id", "value", "event_type")])
     _one_document_per_file(rows.select("file", F.to_json(F.struct(arrays.alias("hourly"))).alias("text")), path)
     fields = [T.StructField(f.name, T.ArrayType(f.dataType)) for f in events.select("event_id", "value", "event_type").schema]
     schema = T.StructType([T.StructField("hourly", T.StructType(fields))])

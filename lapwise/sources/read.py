@@ -75,7 +75,9 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
     Where the schema has text, which may hold line breaks, a file is read by one task; other files are split.
     """
     text = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
-    options = {k: v for k, v in CSV_FORMAT.items() if not (text and k == "lineSep")} | {"emptyValue": "", "multiLine": str(text)}
+    options = {k: v for k, v in CSV_FORMAT.items() if not (text and k == "lineSep")}
+    # Fields without quotes or content are read as this mark of null, so that "" stays an empty text.
+    options |= {"emptyValue": "", "nullValue": "\0null", "multiLine": str(text)}
     return spark.read.schema(schema).options(**TIME_FORMATS, **options).option("mode", "FAILFAST").csv(path)
 
 
