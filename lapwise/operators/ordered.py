@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from lapwise.operators.slices import MAX_ROWS, Slices, find_slices
+from lapwise.operators.slices import MAX_ROWS, HotKeyError, Slices, find_slices
 
 
 def _latest(column: Column) -> Column:
@@ -29,16 +29,28 @@ class OrderedRows:
 
     @classmethod
     def of(
-        cls, df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = MAX_ROWS
+        cls,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str],
+        max_rows: int | None = MAX_ROWS,
+        uncut: bool = False,
     ) -> OrderedRows:
         """``order`` must decide between any two rows of a key that differ in what is looked up.
 
-        Rows are cut along the order columns up to the first of a type that can not be cut, such as a
-        double. For one sequence over a whole table, use a constant column as key.
+        Keys with more than ``max_rows`` rows are cut along the order columns. Where that leaves too many rows that
+        the order can not tell apart, HotKeyError is raised, unless ``uncut`` is set or ``max_rows`` is None. For
+        one sequence over a whole table, use a constant column as key.
         """
         if not keys:
             raise ValueError("at least one key column is needed")
-        return cls.cut(df, keys, order, find_slices(df, keys, order, max_rows))
+        slices = find_slices(df, keys, order, max_rows)
+        if not (slices.fine_enough or uncut):
+            raise HotKeyError(
+                f"more than {max_rows} rows of one key in {list(keys)} can not be cut along {list(order)}; "
+                "add order columns that tell them apart, or pass max_rows=None to sort them in one task"
+            )
+        return cls.cut(df, keys, order, slices)
 
     @classmethod
     def cut(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: Slices) -> OrderedRows:

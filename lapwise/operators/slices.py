@@ -29,20 +29,46 @@ SPLIT_BITS = 8
 # Up to this many slices are listed, and their summaries broadcast if of bounded width.
 MAX_LISTED_SLICES = 20_000
 
+# Bytes of text that one axis looks at, and the axes a text column gets.
+TEXT_BYTES, TEXT_AXES = 7, 8
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def can_cut(df: DataFrame, column: str) -> bool:
-    """Whether the column maps onto whole numbers that keep its order."""
-    kind = df.schema[column].dataType
-    return kind == T.StringType() or isinstance(
-        kind, (T.TimestampType, T.TimestampNTZType, T.DateType, *_INTEGRAL)
-    )
+class HotKeyError(ValueError):
+    """A key has more rows than a task should sort, and its order does not allow to cut it."""
+
 
+def axes_of(df: DataFrame, order: Sequence[str]) -> list[tuple[str, int]]:
+    """(column, part) by which rows may be cut, in order.
 
-def position(df: DataFrame, column: str) -> Column:
-    """The column as a whole number that never decreases where the column increases."""
+    Whole numbers and times are followed by the next order column where they tie. Text has an axis for every few
+    bytes, and fractions one whose numbers may tie where the values differ; both end the list, as rows that are
+    alike to the axes need not be alike to the order.
+    """
+    axes = []
+    for column in order:
+        kind = df.schema[column].dataType
+        if kind == T.StringType():
+            return axes + [(column, part) for part in range(TEXT_AXES)]
+        if isinstance(kind, _FRACTIONAL):
+            return [*axes, (column, 0)]
+        if not isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType, *_INTEGRAL)):
+            break
+        axes.append((column, 0))
+    return axes
+
+
+def position(df: DataFrame, column: str, part: int = 0) -> Column:
+    """The column, or a part of a text, as a whole number that never decreases where the column increases."""
     kind = df.schema[column].dataType
+    if isinstance(kind, _FRACTIONAL):
+        # By logarithm, so that all magnitudes are told apart; what is not a number sorts last, as in Spark.
+        value = F.col(column).cast("double")
+        size = F.least((F.log2(F.abs(value)) + 1075) * float(2**50), F.lit(float(2**62))).cast("long")
+        size = F.when(value == 0, F.lit(0).cast("long")).otherwise(size)
+        return F.when(F.isnan(value), F.lit(2**62 + 1)).when(value < 0, -size).otherwise(size)
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(column)
     if isinstance(kind, T.TimestampNTZType):
@@ -51,8 +77,9 @@ def position(df: DataFrame, column: str) -> Column:
     if isinstance(kind, T.DateType):
         return F.unix_date(column).cast("long")
     if isinstance(kind, T.StringType):
-        # The first seven bytes as one number; text is ordered by its bytes.
-        return F.conv(F.rpad(F.substring(F.hex(column), 1, 14), 14, "0"), 16, 10).cast("long")
+        # A few bytes as one number; text is ordered by its bytes.
+        digits = F.substring(F.hex(column), 1 + 2 * TEXT_BYTES * part, 2 * TEXT_BYTES)
+        return F.conv(F.rpad(digits, 2 * TEXT_BYTES, "0"), 16, 10).cast("long")
     return F.col(column).cast("long")
 
 
@@ -112,7 +139,7 @@ class Slices:
     """How the rows of each key are cut; without levels nothing is cut."""
 
     keys: tuple[str, ...]
-    axes: tuple[str, ...] = ()
+    axes: tuple[tuple[str, int], ...] = ()
     # Per axis: the lowest position, and the low bits left out of account.
     origins: tuple[tuple[int, int], ...] = ()
     levels: tuple[tuple[int, int, DataFrame], ...] = ()
@@ -129,7 +156,7 @@ class Slices:
         """Add the slice columns; rows of keys that are not cut get -1."""
         if not self.levels:
             return df
-        distances = {f"_axis_{i}": _distance(position(df, a), *self.origins[i]) for i, a in enumerate(self.axes)}
+        distances = {f"_axis_{i}": _distance(position(df, *a), *self.origins[i]) for i, a in enumerate(self.axes)}
         return self._refine(df.withColumns(distances)).drop(*distances)
 
     def _refine(self, df: DataFrame) -> DataFrame:
@@ -199,17 +226,15 @@ def find_slices(
     ``order[0]`` and, where rows tie, along the next order column.
     """
     keys = tuple(keys)
-    axes = []
-    for column in order:
-        if not can_cut(df, column):
-            break
-        axes.append(column)
-    if max_rows is None or not axes:
+    axes = axes_of(df, order)
+    if max_rows is None:
         return Slices(keys)
 
     # Nothing but the keys is read, unless some key turns out to be too large.
     if group_sizes(df, keys).where(F.col("_rows") > max_rows).isEmpty():
         return Slices(keys)
+    if not axes:
+        return Slices(keys, fine_enough=False)
     large = large_groups(df, keys, max_rows).collect()
     if not large:
         return Slices(keys)
@@ -219,7 +244,7 @@ def find_slices(
     large_keys = local_rows(df.sparkSession, [tuple(r[k] for k in keys) for r in large], key_schema)
     pairs = [(k, f"_large_{k}") for k in keys]
     large_keys = large_keys.withColumnsRenamed(dict(pairs))
-    rows = df.select(*keys, *[position(df, axis).alias(f"_axis_{i}") for i, axis in enumerate(axes)])
+    rows = df.select(*keys, *[position(df, *axis).alias(f"_axis_{i}") for i, axis in enumerate(axes)])
     rows = rows.join(F.broadcast(large_keys), same_keys(pairs)).drop(*[d for _, d in pairs])
 
     ends = [f(f"_axis_{i}") for i in range(len(axes)) for f in (F.min, F.max)]
@@ -235,6 +260,8 @@ def find_slices(
     levels: list[tuple[int, int, DataFrame]] = []
     found: list = []
     for axis, width in enumerate(widths):
+        if any(bits for _, bits in origins[:axis]):
+            break  # rows alike to an axis that leaves out bits need not be alike to the order
         # Cells of one value can only be split along the next axis. The first axis always gets a level:
         # its slice column tells which keys are cut.
         splittable, single = cells, []

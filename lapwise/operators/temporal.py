@@ -266,7 +266,7 @@ def state_timeline(
     ``order[0]`` is the time of the events; see ``state_changes`` for the rules.
     """
     rules = (signal, set_rules, conditional_rules or {}, initial, state, max_rows)
-    rows = _state_changes(events, keys, order, *rules)
+    rows = _state_changes(events, keys, order, *rules, uncut=True)
     if not rows.slices.fine_enough:
         # Too many events share one instant. Copies of an event change nothing, so one of each will do.
         rows = _state_changes(events.select(*keys, *order, signal).distinct(), keys, order, *rules)
@@ -282,7 +282,7 @@ def state_timeline(
 
 
 def _state_changes(
-    events, keys, order, signal, set_rules, conditional_rules, initial, state, max_rows
+    events, keys, order, signal, set_rules, conditional_rules, initial, state, max_rows, uncut=False
 ) -> OrderedRows:
     """The fold written as running values.
 
@@ -300,7 +300,7 @@ def _state_changes(
     target = F.lit(None).cast("string")
     for name, new_state in set_rules.items():
         target = F.when(F.col(signal) == name, new_state).otherwise(target)
-    rows = OrderedRows.of(relevant.withColumn("_target", target), keys, order, max_rows)
+    rows = OrderedRows.of(relevant.withColumn("_target", target), keys, order, max_rows, uncut)
     # The states are those of the rules, so what is carried between slices is small.
     rows = rows.running_last("_target", "_base", bounded=True)
 

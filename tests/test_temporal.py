@@ -198,12 +198,15 @@ def test_neighbours_against_brute_force(spark, monkeypatch, max_rows, listed):
 def test_cutting_is_even_and_keeps_order(spark):
     rows = [("hot", at(i % 7), f"a name {i:04d}") for i in range(700)]
     df = frame(spark, rows, "key string, t timestamp_ntz, name string")
-    found = slices.find_slices(df, ["key"], ["t", "name"], max_rows=20)
-    assert found.fine_enough is False  # names agree in the bytes that are looked at
+    assert_cut_in_order(df, ["t", "name"])
     df = df.withColumn("n", F.substring("name", 8, 4).cast("int")).drop("name")
-    found = slices.find_slices(df, ["key"], ["t", "n"], max_rows=20)
+    assert_cut_in_order(df, ["t", "n"])
+
+
+def assert_cut_in_order(df, order):
+    found = slices.find_slices(df, ["key"], order, max_rows=20)
     assert found.fine_enough
-    tagged = found.tag(df).orderBy("t", "n").collect()
+    tagged = found.tag(df).orderBy(*order).collect()
     marks = [tuple(r[c] for c in found.columns) for r in tagged]
     assert marks == sorted(marks)
     assert max(marks.count(m) for m in set(marks)) <= 20
@@ -223,11 +226,37 @@ def test_cutting_is_even_and_keeps_order(spark):
 )
 def test_positions_keep_the_order(spark, kind, values):
     df = spark.createDataFrame([(i, str(v)) for i, v in enumerate(values)], "i int, v string").withColumn("v", F.col("v").cast(kind))
-    assert slices.can_cut(df, "v")
+    assert slices.axes_of(df, ["v"])
     got = [r[0] for r in df.orderBy("v").select(slices.position(df, "v")).collect()]
     assert got == sorted(got) and len(set(got)) == len(values)
 
 
+def test_text_of_one_beginning_and_fractions_are_cut_in_order(spark):
+    generator = random.Random(8)
+    values = [generator.uniform(-1, 1) * 10.0 ** generator.randint(-30, 30) for _ in range(300)]
+    values += [0.0, -0.0, float("inf"), float("-inf"), float("nan"), 1.0, 1.0000000000000002]
+    assert_cut_in_order(spark.createDataFrame([("hot", v) for v in values], "key string, v double"), ["v"])
+    df = spark.createDataFrame([("hot", f"session-{i:03d}") for i in range(700)], "key string, v string")
+    assert_cut_in_order(df, ["v"])
+    cents = spark.range(500).select(F.lit("hot").alias("key"), (F.col("id") / 7).cast("decimal(12, 4)").alias("v"))
+    assert_cut_in_order(cents, ["v"])
+
+
+def test_a_key_that_can_not_be_cut_is_refused(spark):
+    ties = spark.createDataFrame([("hot", at(1), i) for i in range(50)], "key string, t timestamp_ntz, value int")
+    for look in (
+        lambda df, rows: change_points(df, ["key"], ["t"], "value", max_rows=rows),
+        lambda df, rows: close_periods(df, ["key"], ["t"], "t", "end", max_rows=rows),
+    ):
+        with pytest.raises(slices.HotKeyError, match="max_rows=None"):
+            look(ties, 10)
+        look(ties, None).collect()
+        look(ties, 100).collect()
+    unordered = ties.select("key", F.struct("t").alias("t"), "value")
+    with pytest.raises(slices.HotKeyError):
+        change_points(unordered, ["key"], ["t"], "value", max_rows=10)
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_keys_of_any_type_are_cut(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
