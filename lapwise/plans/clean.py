@@ -1,6 +1,7 @@
 """Cleaning of each dataset: parse times, flag incomplete records instead of dropping them, project.
 
-Each ``clean_*`` takes landed records and returns a DataFrame; ``check`` applies the dataset's gate.
+Each ``clean_*`` takes landed records and returns a DataFrame; ``check`` applies the dataset's gate. The names of
+columns are fixed values: those of the landed records and of the processed tables.
 """
 
 from __future__ import annotations

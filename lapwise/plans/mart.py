@@ -14,6 +14,7 @@ from lapwise.operators.quality import require_grain
 from lapwise.operators.slices import MAX_ROWS
 from lapwise.operators.temporal import asof_join, overlap_flag
 
+# Columns of the mart, and how old weather may be to count.
 LAP_KEY = ("session_key", "driver_number", "lap_number")
 WEATHER_TOLERANCE_SECONDS = 60
 

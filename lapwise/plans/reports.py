@@ -17,6 +17,7 @@ from lapwise.operators.joins import next_ordinal_join
 from lapwise.operators.temporal import change_points
 
 SESSION = "session_key"
+# The laps that some reports look at.
 LAP_RANGES = ((24, 35), (37, 45))
 
 

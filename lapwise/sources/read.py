@@ -100,6 +100,17 @@ def landing_state(spark: SparkSession, path: str) -> str:
     return "landed" if any(not n.startswith((".", "_")) for n in names) else "empty"
 
 
+def fingerprint(spark: SparkSession, path: str) -> int:
+    """Number that changes when files of a table do: from their names, sizes and times, on the driver."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, files = [], system.listFiles(where, True)
+    while files.hasNext():
+        file = files.next()
+        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return hash(tuple(sorted(found)))
+
+
 def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Processed Parquet; columns and filters are pushed into the scan."""
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
