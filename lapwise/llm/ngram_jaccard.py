@@ -6,14 +6,16 @@ Exact: no link between different sets is lost.
 1. Equal sets are one class; from here on a class is one node, the smallest id of its documents.
 2. Blocks. All shingles have one global order: by hash, those frequent anywhere last. Two sets that are similar
    enough share one of their first ``n - ceil(t n) + 1`` shingles, so every class goes to the block of each of
-   its first shingles, and only classes within one block need to be compared. A block is further cut by size,
-   as linked sets differ little in size; each class stands in the block of its own size and in the next one.
+   its first shingles, and only classes within one block need to be compared. A large block is further cut by
+   size, as linked sets differ little in size: each class stands in the part of its own size and in the next one.
 3. Most copies link to the smallest node of a block; those links are verified first, and what they connect
    counts as one group in what follows.
 4. Each block becomes a signature tree: leaves hold classes of similar size, every node the OR of the bitmaps
-   below and the range of sizes. A dual traversal compares nodes with nodes and skips a pair of them if it is
-   wholly of one group, if the sizes are too far apart, or if the bits in common can not make up the overlap that
-   the threshold asks for. What is left are candidate pairs, which are verified on the texts.
+   below and the range of sizes. Bitmaps are small, so that they can travel: those of short texts show all
+   shingles, those of long ones the shingles in as small a part of all hashes as still tells unlike sets apart. A
+   dual traversal compares nodes with nodes and skips a pair of them if it is wholly of one group, if the sizes
+   are too far apart, or if the bits in common, with all that the bitmaps do not show, can not make up the
+   overlap that the threshold asks for. What is left are candidate pairs, which are verified on the texts.
 5. Groups of links are connected components.
 
 Nothing is dropped: the frequent list, the tree and the id filters only decide how much work is done.
@@ -21,12 +23,13 @@ Nothing is dropped: the frequent list, the tree and the id filters only decide h
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwise.llm.components import components
@@ -38,7 +41,13 @@ FREQUENT_SHARE = 0.001
 FREQUENT_ROWS = 20
 #: Classes of one link test that share a copy of the other side's text.
 CHUNK = 64
-LEAF = 4
+#: Places of a bitmap of the first classes, and shingles it shows at most.
+BITS = 1024
+SHOWN = 170
+#: Members of a leaf, and children of an inner node.
+LEAF, FAN = 32, 4
+#: Members from which a block is cut by size.
+LARGE_BLOCK = 1_000
 
 
 @dataclass(frozen=True)
@@ -63,6 +72,13 @@ class Shingling:
         """How many first shingles of a set of ``n`` any linked set must share one of."""
         return n - -(-n * self.percent // 100) + 1
 
+    @property
+    def last_part(self) -> int:
+        """Bitmaps show the shingles in the lowest 2**-k of all hashes, with k up to this: there, unlike sets still
+        differ in more bits than linked sets may differ in all."""
+        t = self.percent / 100
+        return max(0, int(math.log2(1.3 * (1 + t) / (2 * max(1 - t, 1e-3)))))
+
     def linked(self, common: int, a: int, b: int) -> bool:
         return 100 * common >= self.percent * (a + b - common)
 
@@ -152,7 +168,7 @@ def _fingerprints(docs: DataFrame, rule: Shingling) -> DataFrame:
         late = frequent.value
         for batch, texts in slices(batches, rule.text):
             rows = [_describe(found, late, rule) for found in rule.sets(texts)]
-            n, high, low, keys, bitmap = zip(*rows, strict=True)
+            n, high, low, keys, shown, following, bitmap = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(batch.schema.get_field_index("id")),
@@ -160,18 +176,21 @@ def _fingerprints(docs: DataFrame, rule: Shingling) -> DataFrame:
                     pa.array(high, pa.int64()),
                     pa.array(low, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(shown, pa.int32()),
+                    pa.array(following, pa.int32()),
                     pa.array(bitmap, pa.binary()),
                 ],
-                names=["id", "n", "high", "low", "keys", "bitmap"],
+                names=["id", "n", "high", "low", "keys", "shown", "following", "bitmap"],
             )
 
-    return docs.mapInArrow(fingerprint, "id long, n long, high long, low long, keys array<long>, bitmap binary")
+    schema = "id long, n long, high long, low long, keys array<long>, shown int, following int, bitmap binary"
+    return docs.mapInArrow(fingerprint, schema)
 
 
 def _describe(found: np.ndarray, late: np.ndarray, rule: Shingling):
     n = len(found)
     if n == 0:
-        return 0, 0, 0, [], b""
+        return 0, 0, 0, [], 0, 0, b""
     high, low = to_signed(np.array([found.sum(dtype=np.uint64) + np.uint64(n), np.bitwise_xor.reduce(mix(found))]))
     ordered = found
     if len(late):
@@ -180,61 +199,74 @@ def _describe(found: np.ndarray, late: np.ndarray, rule: Shingling):
         if is_late.any():
             ordered = np.concatenate([found[~is_late], found[is_late]])
     keys = to_signed(ordered[: rule.prefix(n)])
-    return n, high, low, keys, _bitmap(found, n)
+    return n, high, low, keys, *signature(found, rule)
+
+
+def size_class(n: int) -> int:
+    """Doublings of SHOWN that a set of ``n`` needs."""
+    return max(0, -(-n // SHOWN) - 1).bit_length()
+
 
+def signature(found: np.ndarray, rule: Shingling) -> tuple[int, int, bytes]:
+    """Of sorted hashes: how many the bitmap shows, how many that of the next class would, and the bitmap.
 
-def _bitmap(found: np.ndarray, n: int) -> bytes:
-    """One bit per shingle, in a power of two of at least ``2 n`` places."""
-    bits = max(64, 1 << (2 * n - 1).bit_length())
+    Up to class ``last_part`` the part of all hashes that is shown halves from class to class. The first half of
+    the bitmap then has what the next class shows too, so that the two can be compared. From that class on the part
+    stays and the bitmap doubles; its halves laid over each other are the bitmap of the class before.
+    """
+    kind = size_class(len(found))
+    k = min(kind, rule.last_part)
+    shown = len(found) if k == 0 else int(np.searchsorted(found, np.uint64(1) << np.uint64(64 - k)))
+    if kind < rule.last_part:
+        following = int(np.searchsorted(found, np.uint64(1) << np.uint64(63 - k)))
+        place = (found[:shown] & np.uint64(BITS // 2 - 1)).astype(np.int64)
+        place[following:] += BITS // 2
+        bits = BITS
+    else:
+        following = shown
+        bits = BITS << (kind - k)
+        place = (found[:shown] & np.uint64(bits - 1)).astype(np.int64)
     marks = np.zeros(bits, dtype=np.uint8)
-    marks[(found & np.uint64(bits - 1)).astype(np.int64)] = 1
-    return np.packbits(marks, bitorder="little").tobytes()
+    marks[place] = 1
+    return shown, following, np.packbits(marks, bitorder="little").tobytes()
 
 
 def _links(docs: DataFrame, staged: DataFrame, classes: DataFrame, rule: Shingling) -> DataFrame:
     """Verified links (a, b) between nodes that connect everything that is linked."""
-    described = staged.select("high", "low", F.col("id").alias("node"), "n", "keys", "bitmap").join(
+    described = staged.select("high", "low", F.col("id").alias("node"), "n", "keys", "shown", "following", "bitmap").join(
         classes.select("high", "low", "node"), ["high", "low", "node"]
     )
     # A set of n <= 100 / (100 - percent) shingles is only linked with sets equal to it.
     singles = F.size("keys") > 1 if rule.percent > 50 else F.lit(True)
     rows = described.where(singles).select("node", "n", F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
-    same_key = _over("key")
-    live = rows.select(
-        "*", F.count(F.lit(1)).over(same_key).alias("members"), F.min("node").over(same_key).alias("hub")
-    ).where("members > 1")
-    live = written(live.select("key", "node", "n", "n_keys", "hub"), "shingle-blocks")
+    same_key = Window.partitionBy("key")
+    by_size = same_key.orderBy("n")
+    live = (
+        rows.withColumns({"smaller": F.lag("n").over(by_size), "larger": F.lead("n").over(by_size)})
+        # Without another set of a size that fits, a set has nothing to be compared with in this block.
+        .where((100 * F.col("smaller") >= rule.percent * F.col("n")) | (100 * F.col("n") >= rule.percent * F.col("larger")))
+        .withColumns({"members": F.count(F.lit(1)).over(same_key), "hub": F.min("node").over(same_key)})
+    )
+    live = written(live.select("key", "node", "n", "n_keys", "hub", "members"), "shingle-blocks")
 
     # Most of what is linked is linked with the first of its block and shares much with it.
     near = live.where("hub <> node").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(
         F.count(F.lit(1)).alias("shared"), F.first("n_keys").alias("n_keys")
     )
-    first = written(_verify(docs, near.where("4 * shared >= n_keys").select("a", "b"), rule), "links-first")
-    groups = components(first, "a", "b").select(F.col("v").alias("node"), F.col("root").alias("grp"))
+    stars = components(_verify(docs, near.where("4 * shared >= n_keys").select("a", "b"), rule), "a", "b")
+    groups = stars.select(F.col("v").alias("node"), F.col("root").alias("grp"))
 
+    signatures = described.select("node", "shown", "following", "bitmap").join(groups, "node", "left")
+    signatures = signatures.withColumn("grp", F.coalesce("grp", "node"))
     # Linked sizes differ by less than one band; a pair meets in the band of the larger set.
     step = -np.log(rule.percent / 100) * (1 + 1e-9) if rule.percent < 100 else 1e-9
-    own = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(step))).cast("long")
-    grouped = live.select("key", "node", "n").join(groups, "node", "left").withColumn("grp", F.coalesce("grp", "node"))
-    placed = grouped.select("*", F.explode(F.array(own, own + 1)).alias("band"), own.alias("own"))
-    mixed = (
-        placed.groupBy("key", "band")
-        .agg(F.min("grp").alias("low_group"), F.max("grp").alias("high_group"), F.max("own").alias("last"))
-        .where("low_group <> high_group AND last = band")
-        .select("key", "band")
-    )
-    placed = placed.join(mixed, ["key", "band"])
-    bitmaps = described.select("node", "bitmap")
-    blocks = placed.join(bitmaps, "node").select("key", "band", "own", "node", "n", "grp", "bitmap")
+    own = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(step))).cast("int")
+    bands = F.when(F.col("members") < LARGE_BLOCK, F.array(F.lit(-1))).otherwise(F.array(own, own + 1))
+    blocks = live.select("key", "node", F.col("n").cast("int").alias("n"), F.explode(bands).alias("band"))
+    blocks = blocks.join(signatures, "node")
     pairs = _candidates(blocks, rule).distinct()
-    second = _verify(docs, pairs, rule)
-    return written(first.unionAll(second), "links")
-
-
-def _over(*columns: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*columns)
+    # What the first links connect is linked by its stars already.
+    return _verify(docs, pairs, rule).unionAll(stars.select(F.col("root").alias("a"), F.col("v").alias("b")))
 
 
 def _verify(docs: DataFrame, pairs: DataFrame, rule: Shingling) -> DataFrame:
@@ -254,7 +286,7 @@ def _verify(docs: DataFrame, pairs: DataFrame, rule: Shingling) -> DataFrame:
     texts = passing(docs.where(F.col("id").isNotNull() & F.col("text").isNotNull()), "id", needed)
     gathered = members.join(texts, "id").repartition("a", "chunk").sortWithinPartitions("a", "chunk", "side", "id")
     ordered = gathered.select("a", "chunk", "side", "id", "text")
-    return ordered.mapInArrow(lambda batches: _compare(batches, rule), "a long, b long").distinct()
+    return ordered.mapInArrow(lambda batches: _compare(batches, rule), "a long, b long")
 
 
 def _compare(batches, rule: Shingling):
@@ -277,118 +309,194 @@ def _candidates(blocks: DataFrame, rule: Shingling) -> DataFrame:
     """Pairs of nodes of different groups that the signature trees of their blocks can not rule out."""
 
     def search(batches):
-        current, members = None, []
+        held = None
         for batch in batches:
-            names = batch.schema.names
-            key, band, own, node, n, group, bitmap = (
-                batch.column(names.index(c)) for c in ("key", "band", "own", "node", "n", "grp", "bitmap")
-            )
-            key, band, own, node, n, group = (x.to_numpy() for x in (key, band, own, node, n, group))
-            out = []
-            for i in range(batch.num_rows):
-                block = (key[i], band[i])
-                if block != current:
-                    out += tree_pairs(members, rule)
-                    current, members = block, []
-                members.append((int(n[i]), int(node[i]), int(group[i]), own[i] == band[i], bitmap[i].as_py()))
-            yield from _pair_batches(out)
-        yield from _pair_batches(tree_pairs(members, rule))
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            # The last block may go on in the next batch.
+            key, band = table["key"].to_numpy(), table["band"].to_numpy()
+            last = np.flatnonzero((key != key[-1]) | (band != band[-1]))
+            cut = int(last[-1]) + 1 if len(last) else 0
+            yield from _pair_batches(_block_pairs(table.slice(0, cut), rule))
+            held = table.slice(cut)
+        if held is not None:
+            yield from _pair_batches(_block_pairs(held, rule))
 
     placed = blocks.repartition("key", "band").sortWithinPartitions("key", "band", "n", "node")
     return placed.mapInArrow(search, "a long, b long")
 
 
+def _block_pairs(table: pa.Table, rule: Shingling) -> list[tuple[int, int]]:
+    """Candidate pairs of a run of whole blocks."""
+    if not table.num_rows:
+        return []
+    names = ("key", "band", "n", "node", "shown", "following", "grp")
+    key, band, n, node, shown, following, group = (table[c].to_numpy() for c in names)
+    start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (band[1:] != band[:-1])]))
+    mixed = np.minimum.reduceat(group, start) != np.maximum.reduceat(group, start)
+    stop = np.append(start[1:], len(key))
+    bitmaps = table["bitmap"].combine_chunks()
+    out = []
+    for a, b in zip(start[mixed].tolist(), stop[mixed].tolist(), strict=True):
+        rows = (x[a:b] for x in (n, node, group, shown, following))
+        out += tree_pairs(Members(*rows, bitmaps.slice(a, b - a).to_pylist()), rule)
+    return out
+
+
 def _pair_batches(pairs):
     if pairs:
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*pairs, strict=True)], names=["a", "b"])
 
 
 @dataclass(frozen=True)
-class Node:
-    """Part of a signature tree: OR of the bitmaps below it, range of sizes, and what else bounds an overlap.
+class Members:
+    """Sets of one block as arrays: size, id, group, and what ``signature`` gives."""
+
+    n: np.ndarray
+    node: np.ndarray
+    group: np.ndarray
+    shown: np.ndarray
+    following: np.ndarray
+    bitmaps: list[bytes]
 
-    ``surplus``: most shingles of a set below that share their bit with another of the same set. ``group``: the
-    one group below, or None. ``members``: (size, id, group, is of this band) below.
+
+@dataclass(frozen=True)
+class View:
+    """Members to be compared, by rising size, with bitmaps over one part of all hashes.
+
+    ``surplus``: shingles of a set that share their bit with another of the same set. ``unseen``: shingles that no
+    bitmap shows. ``kind``: only sets of different kinds are compared, or all if it is None.
     """
 
-    bits: int
+    n: np.ndarray
+    node: np.ndarray
+    group: np.ndarray
+    surplus: np.ndarray
+    unseen: np.ndarray
+    bits: np.ndarray
+    kind: np.ndarray | None
+
+    def pairs(self, a: slice, b: slice, rule: Shingling) -> Iterator[tuple[int, int]]:
+        """Candidates of two runs of members."""
+        n, m = self.n[a][:, None], self.n[b][None, :]
+        common = np.bitwise_count(self.bits[a][:, None, :] & self.bits[b][None, :, :]).sum(axis=2, dtype=np.int64)
+        most = common + np.minimum(self.surplus[a][:, None], self.surplus[b][None, :])
+        most += np.minimum(self.unseen[a][:, None], self.unseen[b][None, :])
+        most = np.minimum(most, np.minimum(n, m))
+        good = (100 + rule.percent) * most >= rule.percent * (n + m)
+        good &= self.group[a][:, None] != self.group[b][None, :]
+        if self.kind is not None:
+            good &= self.kind[a][:, None] != self.kind[b][None, :]
+        for i, j in zip(*np.nonzero(good), strict=True):
+            x, y = int(self.node[a][i]), int(self.node[b][j])
+            if x != y:
+                yield min(x, y), max(x, y)
+
+
+def views(members: Members, rule: Shingling) -> Iterator[View]:
+    """Ways to look at the members so that every pair that may link is compared in one of them."""
+    n = members.n.astype(np.int64)
+    order = np.argsort(n, kind="stable")
+    kind = np.array([size_class(int(x)) for x in n])
+
+    def view(chosen, bits, seen, kinds=None):
+        surplus = seen - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+        return View(n[chosen], members.node[chosen], members.group[chosen], surplus, n[chosen] - seen, bits, kinds)
+
+    if rule.percent <= 50:
+        # Classes further apart may link; they have no part of all hashes in common that is worth a look.
+        yield view(order, np.zeros((len(n), 1), dtype=np.uint64), np.zeros(len(n), dtype=np.int64))
+        return
+    by_kind = {k: order[kind[order] == k] for k in np.unique(kind).tolist()}
+    bits = {k: np.frombuffer(b"".join(members.bitmaps[i] for i in own), dtype=np.uint64).reshape(len(own), -1) for k, own in by_kind.items()}
+    shown, following = members.shown.astype(np.int64), members.following.astype(np.int64)
+    for k, own in by_kind.items():
+        if len(own) > 1:
+            yield view(own, bits[k], shown[own])
+        upper = by_kind.get(k + 1)
+        if upper is not None and rule.sizes_fit(int(n[own[-1]]), int(n[upper[0]])):
+            half = bits[k + 1].shape[1] // 2
+            folded = bits[k + 1][:, :half] | bits[k + 1][:, half:]
+            lower = bits[k][:, :half]
+            seen = np.concatenate([following[own], shown[upper]])
+            kinds = np.repeat([k, k + 1], [len(own), len(upper)])
+            yield view(np.concatenate([own, upper]), np.concatenate([lower, folded]), seen, kinds)
+
+
+@dataclass(frozen=True)
+class Node:
+    """Part of a signature tree: a run of members, the OR of their bitmaps, the range of their sizes, the largest
+    ``surplus`` and ``unseen`` among them, and their group and kind, or None where they have several."""
+
+    run: slice
+    bits: np.ndarray
     least: int
     most: int
     surplus: int
+    unseen: int
     group: int | None
-    has_own: bool
+    kind: int | None
     children: tuple[Node, ...]
-    member: tuple | None
 
 
-def _leaf(member, bits: int) -> Node:
-    n, node, group, own, raw = member
-    width = len(raw) * 8
-    marks = int.from_bytes(raw, "little")
-    while width > bits:
-        width //= 2
-        marks = (marks >> width) | (marks & ((1 << width) - 1))
-    return Node(marks, n, n, n - marks.bit_count(), group, own, (), member)
+def _one(values: np.ndarray | None) -> int | None:
+    return None if values is None or values.min() != values.max() else int(values[0])
 
 
-def _join_nodes(nodes) -> Node:
-    bits = 0
-    for node in nodes:
-        bits |= node.bits
-    group = nodes[0].group if all(x.group == nodes[0].group for x in nodes) else None
+def signature_tree(view: View, first: int = 0, stop: int | None = None) -> Node:
+    """Tree over the members from ``first`` to ``stop``; neighbours in size share a node."""
+    stop = len(view.n) if stop is None else stop
+    run = slice(first, stop)
+    step = LEAF
+    while step * FAN < stop - first:
+        step *= FAN
+    children = ()
+    if stop - first > LEAF:
+        children = tuple(signature_tree(view, i, min(i + step, stop)) for i in range(first, stop, step))
     return Node(
-        bits,
-        min(x.least for x in nodes),
-        max(x.most for x in nodes),
-        max(x.surplus for x in nodes),
-        group,
-        any(x.has_own for x in nodes),
-        tuple(nodes),
-        None,
+        run,
+        np.bitwise_or.reduce(view.bits[run], axis=0),
+        int(view.n[first]),
+        int(view.n[stop - 1]),
+        int(view.surplus[run].max()),
+        int(view.unseen[run].max()),
+        _one(view.group[run]),
+        None if view.kind is None else _one(view.kind[run]),
+        children,
     )
 
 
-def signature_tree(members) -> Node:
-    """Tree over (size, id, group, of this band, bitmap); neighbours in size share a node."""
-    bits = 8 * min(len(m[4]) for m in members)
-    level = [_leaf(m, bits) for m in sorted(members, key=lambda m: (m[0], m[4], m[1]))]
-    while len(level) > 1:
-        level = [_join_nodes(level[i : i + LEAF]) for i in range(0, len(level), LEAF)]
-    return level[0]
-
-
-def tree_pairs(members, rule: Shingling) -> list[tuple[int, int]]:
-    """Candidate pairs (smaller id first) of one block by dual traversal of its signature tree with itself."""
-    if len(members) < 2:
-        return []
-    root = signature_tree(members)
-    out: list[tuple[int, int]] = []
-    todo = [(root, root)]
-    while todo:
-        u, v = todo.pop()
-        if u is v:
-            children = u.children
-            todo += [(a, b) for i, a in enumerate(children) for b in children[i:] if a.children or a is not b]
-            continue
-        if _may_link(u, v, rule):
-            if u.member and v.member:
-                a, b = u.member[1], v.member[1]
-                if a != b:
-                    out.append((min(a, b), max(a, b)))
+def tree_pairs(members: Members, rule: Shingling) -> list[tuple[int, int]]:
+    """Candidate pairs (smaller id first) of one block by dual traversal of signature trees with themselves."""
+    out: set[tuple[int, int]] = set()
+    for view in views(members, rule):
+        root = signature_tree(view)
+        todo = [(root, root)]
+        while todo:
+            u, v = todo.pop()
+            if not _may_link(u, v, rule):
+                continue
+            if not u.children and not v.children:
+                out.update(view.pairs(u.run, v.run, rule))
+            elif u is v:
+                todo += [(a, b) for i, a in enumerate(u.children) for b in u.children[i:]]
             elif u.children and (not v.children or u.most - u.least >= v.most - v.least):
                 todo += [(x, v) for x in u.children]
             else:
                 todo += [(u, x) for x in v.children]
-    return out
+    return sorted(out)
 
 
 def _may_link(u: Node, v: Node, rule: Shingling) -> bool:
-    """Whether any set below one can be linked with one below the other, of another group."""
-    if u.group is not None and u.group == v.group or not (u.has_own or v.has_own):
+    """Whether any set below one can be linked with one below the other, of another group and kind."""
+    if u.group is not None and u.group == v.group or u.kind is not None and u.kind == v.kind:
         return False
     small, large = (u, v) if u.least <= v.least else (v, u)
     if small.most < large.least and not rule.sizes_fit(small.most, large.least):
         return False
-    # Shingles in common lie on common bits; at most ``surplus`` of a set lie on a bit of another of its own.
-    most = min((u.bits & v.bits).bit_count() + min(u.surplus, v.surplus), u.most, v.most)
+    if u is v:
+        return True
+    # Shingles in common either lie on common bits, where at most ``surplus`` of a set share a bit with another
+    # of its own, or are not shown.
+    shown = int(np.bitwise_count(u.bits & v.bits).sum()) + min(u.surplus, v.surplus)
+    most = min(shown + min(u.unseen, v.unseen), u.most, v.most)
     return most >= rule.common_needed(u.least, v.least)

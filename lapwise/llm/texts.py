@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -117,34 +118,50 @@ class Words:
 
 def words_of(texts: Texts, is_word: np.ndarray, lower: bool = True) -> Words:
     """Maximal runs of bytes for which ``is_word`` holds; a word never goes on in the next row."""
-    data = LOWER[texts.data] if lower else texts.data
-    inside = is_word[data]
-    begins = inside.copy()
+    data = texts.data
+    inside = (is_word[LOWER] if lower else is_word)[data]
+    begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
     firsts = texts.offsets[:-1]
     firsts = firsts[firsts < len(data)]
     begins[firsts] = inside[firsts]
+    lasts = firsts[firsts > 0] - 1
+    ends[lasts] = inside[lasts]
     start = np.flatnonzero(begins)
-    at = np.flatnonzero(inside)
-    rank = np.searchsorted(at, start)
-    length = np.diff(np.append(rank, len(at)))
+    length = np.flatnonzero(ends) + 1 - start
     bounds = np.searchsorted(start, texts.offsets)
-    return Words(start, length, _hash_runs(data[at], rank, length), bounds)
+    return Words(start, length, hash_runs(data, start, length, lower), bounds)
 
 
-def _hash_runs(data: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Hash of each of the consecutive runs that make up ``data``."""
-    if len(first) == 0:
+_INVERSE = np.uint64(pow(int(_ODD), -1, 2**64))
+_LOWER_VALUES = _BYTE_VALUES[LOWER]
+
+
+@lru_cache(1)
+def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    return powers(size), powers(size, _INVERSE)
+
+
+def hash_runs(data: np.ndarray, start: np.ndarray, length: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hash of each run of bytes: the sum of a value per byte times a power of its place, mixed with the length.
+
+    Sums come from one running sum over all bytes; what the place in ``data`` adds is divided out.
+    """
+    if len(start) == 0:
         return np.zeros(0, dtype=np.uint64)
-    place = np.arange(len(data)) - np.repeat(first, length)
-    weighted = _BYTE_VALUES[data] * powers(int(length.max()))[place]
-    return mix(np.add.reduceat(weighted, first) + length.astype(np.uint64) * _ODD)
+    up, down = _power_tables(max(SLICE_BYTES, len(data)))
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.multiply((_LOWER_VALUES if lower else _BYTE_VALUES)[data], up[: len(data)], out=sums[1:])
+    np.cumsum(sums, out=sums)
+    found = (sums[start + length] - sums[start]) * down[start]
+    return mix(found + length.astype(np.uint64) * _ODD)
 
 
 def hash_text(word: str) -> int:
     """The hash that ``words_of`` gives to the same bytes."""
     data = np.frombuffer(word.encode(), dtype=np.uint8)
-    return int(_hash_runs(data, np.array([0]), np.array([len(data)]))[0])
+    return int(hash_runs(data, np.array([0]), np.array([len(data)]))[0])
 
 
 def shingle_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:

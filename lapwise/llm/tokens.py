@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from lapwise.llm.texts import SPACE, Texts, _hash_runs, byte_table
+from lapwise.llm.texts import SPACE, Texts, byte_table, hash_runs
 
 #: Distinct words remembered per worker.
 REMEMBERED = 2_000_000
@@ -95,7 +95,7 @@ class Encoder:
         begins[firsts[firsts < n]] = True
         start = np.flatnonzero(begins)
         length = np.diff(np.append(start, n))
-        hashes = _hash_runs(texts.data, start, length)
+        hashes = hash_runs(texts.data, start, length)
         distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)
         place = self._places(distinct, example, start, length, raw)
         first, count = self.first[place][which], self.count[place][which]
