@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwise.llm.jobs import written
+from lapwise.llm.jobs import discard, written
 
 #: Links a task contracts at once; fewer links in all than this are a single task's work.
 TASK_LINKS = 100_000
@@ -27,9 +27,9 @@ def components(links: DataFrame, left: str, right: str, task_links: int = TASK_L
     tasks = -(-before[0] // task_links)
     if not before[0]:
         return edges
-    edges = written(_contracted(edges, tasks), "links")
+    edges = _replaced(edges, _contracted(edges, tasks))
     while tasks > 1:
-        edges = written(_contracted(_small_star(_large_star(edges)), tasks), "links")
+        edges = _replaced(edges, _contracted(_small_star(_large_star(edges)), tasks))
         after = _digest(edges)
         if after == before:
             break
@@ -37,6 +37,12 @@ def components(links: DataFrame, left: str, right: str, task_links: int = TASK_L
     return edges
 
 
+def _replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+    new = written(new, "links")
+    discard(old)
+    return new
+
+
 def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("v", "root")), F.sum(F.hash("root", "v"))).first())
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwise.llm.components import components
-from lapwise.llm.jobs import id_filter, passing, prepare, written
+from lapwise.llm.jobs import discard, id_filter, passing, prepare, written
 from lapwise.llm.texts import NOT_SPACE, mix, shingle_hashes, slices, to_signed, words_of
 
 #: A shingle is frequent if it is in this share of the documents of some run of rows.
@@ -108,8 +108,7 @@ def ngram_jaccard(
     staged = written(_fingerprints(docs, rule), "shingle-sets")
     nodes = _classes(staged)
     classes = written(nodes, "shingle-classes")
-    edges = _links(docs, staged, classes, rule)
-    roots = components(edges, "a", "b").select(F.col("v").alias("node"), "root")
+    roots = _connected(docs, staged, classes, rule).select(F.col("v").alias("node"), "root")
     return (
         staged.select("id", F.col("n").alias("n_shingles"), "high", "low")
         .join(classes.select("high", "low", "node"), ["high", "low"], "left")
@@ -231,8 +230,8 @@ def signature(found: np.ndarray, rule: Shingling) -> tuple[int, int, bytes]:
     return shown, following, np.packbits(marks, bitorder="little").tobytes()
 
 
-def _links(docs: DataFrame, staged: DataFrame, classes: DataFrame, rule: Shingling) -> DataFrame:
-    """Verified links (a, b) between nodes that connect everything that is linked."""
+def _connected(docs: DataFrame, staged: DataFrame, classes: DataFrame, rule: Shingling) -> DataFrame:
+    """(v, root) of every node that is not the smallest of what it is linked with."""
     described = staged.select("high", "low", F.col("id").alias("node"), "n", "keys", "shown", "following", "bitmap").join(
         classes.select("high", "low", "node"), ["high", "low", "node"]
     )
@@ -253,7 +252,9 @@ def _links(docs: DataFrame, staged: DataFrame, classes: DataFrame, rule: Shingli
     near = live.where("hub <> node").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(
         F.count(F.lit(1)).alias("shared"), F.first("n_keys").alias("n_keys")
     )
-    stars = components(_verify(docs, near.where("4 * shared >= n_keys").select("a", "b"), rule), "a", "b")
+    pairs = written(near.where("4 * shared >= n_keys").select("a", "b"), "pairs")
+    stars = components(_verify(docs, pairs, rule), "a", "b")
+    discard(pairs)
     groups = stars.select(F.col("v").alias("node"), F.col("root").alias("grp"))
 
     signatures = described.select("node", "shown", "following", "bitmap").join(groups, "node", "left")
@@ -264,18 +265,21 @@ def _links(docs: DataFrame, staged: DataFrame, classes: DataFrame, rule: Shingli
     bands = F.when(F.col("members") < LARGE_BLOCK, F.array(F.lit(-1))).otherwise(F.array(own, own + 1))
     blocks = live.select("key", "node", F.col("n").cast("int").alias("n"), F.explode(bands).alias("band"))
     blocks = blocks.join(signatures, "node")
-    pairs = _candidates(blocks, rule).distinct()
+    pairs = written(_candidates(blocks, rule).distinct(), "pairs")
+    discard(live)
     # What the first links connect is linked by its stars already.
-    return _verify(docs, pairs, rule).unionAll(stars.select(F.col("root").alias("a"), F.col("v").alias("b")))
+    links = _verify(docs, pairs, rule).unionAll(stars.select(F.col("root").alias("a"), F.col("v").alias("b")))
+    roots = components(links, "a", "b")
+    discard(pairs, stars)
+    return roots
 
 
 def _verify(docs: DataFrame, pairs: DataFrame, rule: Shingling) -> DataFrame:
-    """The pairs (a, b) whose sets are linked, from their texts.
+    """The pairs (a, b), of a written table, whose sets are linked, from their texts.
 
     Pairs are gathered by ``a`` in chunks, so that a text goes to a task once per chunk and no ``a`` is too
     much for one. Only texts that occur in a pair are shuffled.
     """
-    pairs = written(pairs, "pairs")
     sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("size"))
     chunk = F.pmod(F.xxhash64("b"), F.ceil(F.col("size") / CHUNK).cast("long"))
     placed = pairs.join(sizes, "a").select("a", chunk.alias("chunk"), "b")
