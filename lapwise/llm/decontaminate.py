@@ -8,8 +8,9 @@ places of an embedding; windows and items that agree in all places of one of the
 number of walks and samples sets the recall. Candidates are verified by exact edit distance.
 
 Items of more than ``PART_WORDS`` words are cut into equal parts, each embedded on its own: of all edits allowed, some
-part has at most its share. Windows with more words foreign to all items than edits are allowed can not match and are not embedded, which loses
-nothing. The items are held in blocks of a fixed size; a document is read once per block and never shuffled.
+part has at most its share. An edit breaks up two pairs of neighbouring words at most, so windows with fewer pairs
+known from items than the edits allowed must leave can not match and are not embedded, which loses nothing. The items
+are held in blocks of a fixed size; a document is read once per block and never shuffled.
 """
 
 from __future__ import annotations
@@ -76,15 +77,27 @@ class Walks:
 
 
 def window_width(n: int) -> int:
-    """Size of the windows for items of ``n`` words: up to 20 words the item's own, then the next lower of a grid."""
-    width = 20
-    if n <= width:
-        return n
-    while (following := width + max(1, width // 20)) <= n:
+    """Size of the windows for parts of ``n`` words: the next lower of a grid by quarters."""
+    width = 1
+    while (following := width + max(1, width // 4)) <= n:
         width = following
     return width
 
 
+#: Places of the table that tells most pairs of words from those of items.
+TABLE = 1 << 20
+
+
+def _pairs(words: np.ndarray) -> np.ndarray:
+    """Hash of each word with the one after it."""
+    return mix(words[:-1] * np.uint64(0xD1342543DE82EF95) + words[1:])
+
+
+def _fresh(words: np.ndarray) -> np.ndarray:
+    """Which pairs of neighbouring words are not two of the same word."""
+    return words[:-1] != words[1:]
+
+
 @dataclass
 class Items:
     """A block of items, by size of window, with the signatures of their first words."""
@@ -92,11 +105,17 @@ class Items:
     ids: list
     words: list[np.ndarray]
     walks: Walks
-    vocabulary: np.ndarray = field(init=False)
-    classes: dict[int, tuple[int, list]] = field(init=False)
+    pairs: np.ndarray = field(init=False)
+    single: np.ndarray = field(init=False)
+    table: np.ndarray = field(init=False)
+    classes: dict[int, tuple[int, int, list]] = field(init=False)
 
     def __post_init__(self) -> None:
-        self.vocabulary = np.unique(np.concatenate(self.words)) if self.words else np.zeros(0, dtype=np.uint64)
+        none = np.zeros(0, dtype=np.uint64)
+        self.pairs = np.unique(np.concatenate([none, *(_pairs(w) for w in self.words)]))
+        self.single = np.concatenate([none, *(w for w in self.words if len(w) == 1)])
+        self.table = np.zeros(TABLE, dtype=bool)
+        self.table[self.pairs & np.uint64(TABLE - 1)] = True
         by_width: dict[int, list[tuple[int, int, int]]] = {}
         for i, words in enumerate(self.words):
             parts = -(-len(words) // PART_WORDS)
@@ -112,49 +131,57 @@ class Items:
             for column in found.T:
                 order = np.argsort(column, kind="stable")
                 tables.append((column[order], item[order], offset[order]))
-            self.classes[width] = (self.walks.edits(int(size.max())), tables)
+            edits = self.walks.edits(int(size.max()))
+            # Runs of one word have few fresh pairs; an edit breaks up two and may make two more repeat.
+            least = min(int(_fresh(part).sum()) for part in joined.reshape(len(members), width)) - 4 * edits
+            self.classes[width] = (edits, least, tables)
+
+    def _known(self, pairs: np.ndarray) -> np.ndarray:
+        """Which pairs of words are in some item: a table rules most out, the rest are looked up."""
+        known = self.table[pairs & np.uint64(TABLE - 1)]
+        maybe = np.flatnonzero(known)
+        if len(maybe):
+            place = np.minimum(np.searchsorted(self.pairs, pairs[maybe]), len(self.pairs) - 1)
+            known[maybe] = self.pairs[place] == pairs[maybe]
+        return known
 
     def candidates(self, words: np.ndarray, bounds: np.ndarray):
         """(first word, item): where an item may begin, by windows that agree with a part of it in some sample."""
-        if not len(words) or not len(self.vocabulary):
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        place = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
-        foreign = np.concatenate([[0], np.cumsum(self.vocabulary[place] != words)])
-        ends = np.repeat(bounds[1:], np.diff(bounds))
+        none = np.zeros(0, dtype=np.int64)
+        if not len(words):
+            return none, none
+        # What follows the end of all rows is in no item.
+        widest = max(self.classes, default=1)
+        padded = np.concatenate([words, np.full(widest, _PAD, dtype=np.uint64)])
+        known = self._known(_pairs(padded))
+        inside, fresh = (np.zeros(len(padded), dtype=np.int32) for _ in range(2))
+        np.cumsum(known, out=inside[1:])
+        np.cumsum(known & _fresh(padded), out=fresh[1:])
         starts, items = [], []
-        for width, (edits, tables) in self.classes.items():
-            # A copy that lost words may end before its window does, with its row.
-            last = np.minimum(np.arange(len(words)) + width, ends)
-            short = width - (last - np.arange(len(words)))
-            hopeful = np.flatnonzero(foreign[last] - foreign[:-1] + short <= edits)
+        for width, (edits, least, tables) in self.classes.items():
+            if width == 1:
+                hopeful = np.flatnonzero(np.isin(words, self.single))
+            else:
+                kept = inside[width - 1 : width - 1 + len(words)] - inside[: len(words)]
+                new = fresh[width - 1 : width - 1 + len(words)] - fresh[: len(words)]
+                hopeful = np.flatnonzero((kept >= width - 1 - 2 * edits) & (new >= least))
             for first in range(0, len(hopeful), 65_536):
-                self._look_up(words, bounds, hopeful[first : first + 65_536], last, width, tables, starts, items)
+                self._look_up(padded, bounds, hopeful[first : first + 65_536], width, tables, starts, items)
         if not starts:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+            return none, none
         pairs = np.unique(np.stack([np.concatenate(items), np.concatenate(starts)], axis=1), axis=0)
         return pairs[:, 1], pairs[:, 0]
 
-    def _look_up(self, words, bounds, start, last, width, tables, starts, items) -> None:
-        # Windows cut short by the end of their row are read with padding.
-        cut = last[start] - start < width
-        groups = [(start[~cut], words)]
-        if cut.any():
-            rows = np.full((int(cut.sum()), width), _PAD, dtype=np.uint64)
-            for k, s in enumerate(start[cut]):
-                rows[k, : last[s] - s] = words[s : last[s]]
-            groups.append((np.arange(len(rows)) * width, rows.ravel()))
-        found = np.concatenate([self.walks.signatures(w, s, width) for s, w in groups if len(s)]) if len(start) else None
-        if found is None:
-            return
-        order = np.concatenate([start[~cut], start[cut]])
-        row_start = bounds[np.searchsorted(bounds, order, side="right") - 1]
+    def _look_up(self, words, bounds, start, width, tables, starts, items) -> None:
+        found = self.walks.signatures(words, start, width)
+        row_start = bounds[np.searchsorted(bounds, start, side="right") - 1]
         for column, (known, item, offset) in zip(found.T, tables, strict=True):
             low, high = np.searchsorted(known, column, side="left"), np.searchsorted(known, column, side="right")
             times = high - low
             if times.any():
                 which = np.repeat(np.arange(len(column)), times)
                 entry = low[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-                starts.append(np.maximum(order[which] - offset[entry], row_start[which]))
+                starts.append(np.maximum(start[which] - offset[entry], row_start[which]))
                 items.append(item[entry])
 
 
@@ -276,6 +303,9 @@ def passages(items: Items, words: np.ndarray, bounds: np.ndarray):
             low, high = parts.pop()
             if high - low < len(own) - edits:
                 continue
+            # Words of the item that are not there each cost an edit.
+            if np.isin(own, words[low:high]).sum() < len(own) - edits:
+                continue
             distance, first, stop = best_alignment(own, words[low:high])
             if distance <= edits and stop > first:
                 yield int(row[k]), int(item[k]), (low + first - base, stop - first, len(own), distance)

@@ -97,8 +97,9 @@ def op3_license_scan(spark, sf_dir):
 def op4_chat_format(spark, sf_dir):
     """Every row is a message of its own, streamed in two deltas; rows that tie on turn go by role and text."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    ok = "</s>[INST] ok [/INST]"
-    own = spark.createDataFrame([(-1, 0, "user", ok), (-1, 1, "assistant", ok)], "conv_id long, turn long, role string, text string")
+    own = spark.sql(
+        "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+    )
     found = format_chats(chat_events(rows.unionByName(own)))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
     return found.select(
