@@ -235,9 +235,9 @@ def _connected(docs: DataFrame, staged: DataFrame, classes: DataFrame, rule: Shi
     described = staged.select("high", "low", F.col("id").alias("node"), "n", "keys", "shown", "following", "bitmap").join(
         classes.select("high", "low", "node"), ["high", "low", "node"]
     )
-    # A set of n <= 100 / (100 - percent) shingles is only linked with sets equal to it.
-    singles = F.size("keys") > 1 if rule.percent > 50 else F.lit(True)
-    rows = described.where(singles).select("node", "n", F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
+    # A set too small to be linked with one a shingle larger is only linked with sets equal to it.
+    growing = 100 * F.col("n") >= rule.percent * (F.col("n") + 1)
+    rows = described.where(growing).select("node", "n", F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
     same_key = Window.partitionBy("key")
     by_size = same_key.orderBy("n")
     live = (

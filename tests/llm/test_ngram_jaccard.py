@@ -76,6 +76,20 @@ def test_agrees_with_all_pairs(spark, width, percent, seed):
     assert found(spark, rows, width, percent) == brute(rows, width, percent)
 
 
+@pytest.mark.parametrize(("width", "percent", "n"), [(3, 90, 9), (5, 80, 4), (2, 75, 3), (2, 70, 3)])
+def test_sets_with_one_key_link_with_larger_ones(spark, width, percent, n):
+    assert Shingling(width, percent).prefix(n) == 1
+    rows = []
+    for k in range(6):
+        words = [f"f{k}w{i}" for i in range(n + width - 1)]
+        # Any shingle may come first in the order of hashes: one more at the end, or at the beginning.
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join([*words, "end"])), (10 * k + 2, " ".join(["begin", *words]))]
+        rows.append((10 * k + 3, " ".join(words[:-1])))
+    expected = brute(rows, width, percent)
+    assert all(component == i - i % 10 for i, _, component in expected if i % 10 < 3)
+    assert found(spark, rows, width, percent) == expected
+
+
 def test_large_blocks_cut_by_size_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(module, "LARGE_BLOCK", 2)
     monkeypatch.setattr(module, "FREQUENT_ROWS", 3)
