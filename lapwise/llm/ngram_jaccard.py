@@ -8,6 +8,7 @@ Exact: no link between different sets is lost.
    enough share one of their first ``n - ceil(t n) + 1`` shingles, so every class goes to the block of each of
    its first shingles, and only classes within one block need to be compared. A large block is further cut by
    size, as linked sets differ little in size: each class stands in the part of its own size and in the next one.
+   What is still too much for a task is dealt out in chunks, and each task compares one pair of chunks.
 3. Most copies link to the smallest node of a block; those links are verified first, and what they connect
    counts as one group in what follows.
 4. Each block becomes a signature tree: leaves hold classes of similar size, every node the OR of the bitmaps
@@ -26,6 +27,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,11 @@ SHOWN = 170
 LEAF, FAN = 32, 4
 #: Members from which a block is cut by size.
 LARGE_BLOCK = 1_000
+#: Members that one task holds of each side; larger blocks are dealt out in chunks of about so many.
+BLOCK_MEMBERS = 8_192
+#: Keys counted, and pairs handed on, at once.
+KEYS_AT_ONCE = 4_000_000
+PAIRS_AT_ONCE = 10_000
 
 
 @dataclass(frozen=True)
@@ -230,6 +237,40 @@ def signature(found: np.ndarray, rule: Shingling) -> tuple[int, int, bytes]:
     return shown, following, np.packbits(marks, bitorder="little").tobytes()
 
 
+def _hot_keys(staged: DataFrame, rule: Shingling) -> DataFrame | None:
+    """(key, members, hub) of keys with more documents than ``BLOCK_MEMBERS``: how many, and the smallest id.
+
+    A key in that share of all rows is in that share of some run of rows; only keys that some run names are counted.
+    """
+    rows = staged.count()
+    if rows <= BLOCK_MEMBERS:
+        return None
+    share = BLOCK_MEMBERS / rows
+
+    def often(batches):
+        held, seen, size = [], 0, 0
+        for batch in batches:
+            held.append(batch.column(0).flatten().to_numpy(zero_copy_only=False))
+            seen, size = seen + batch.num_rows, size + len(held[-1])
+            if size >= KEYS_AT_ONCE:
+                yield named(held, seen)
+                held, seen, size = [], 0, 0
+        if size:
+            yield named(held, seen)
+
+    def named(held, seen):
+        keys, times = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys[times >= share * seen], pa.int64())], names=["key"])
+
+    candidates = written(staged.select("keys").mapInArrow(often, "key long").distinct(), "shingle-keys")
+    growing = 100 * F.col("n") >= rule.percent * (F.col("n") + 1)
+    counted = staged.where(F.col("id").isNotNull() & growing).select("id", F.explode("keys").alias("key")).join(candidates, "key")
+    hot = counted.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("hub"))
+    hot = written(hot.where(F.col("members") > BLOCK_MEMBERS), "shingle-hot-keys")
+    discard(candidates)
+    return hot
+
+
 def _connected(docs: DataFrame, staged: DataFrame, classes: DataFrame, rule: Shingling) -> DataFrame:
     """(v, root) of every node that is not the smallest of what it is linked with."""
     described = staged.select("high", "low", F.col("id").alias("node"), "n", "keys", "shown", "following", "bitmap").join(
@@ -238,13 +279,30 @@ def _connected(docs: DataFrame, staged: DataFrame, classes: DataFrame, rule: Shi
     # A set too small to be linked with one a shingle larger is only linked with sets equal to it.
     growing = 100 * F.col("n") >= rule.percent * (F.col("n") + 1)
     rows = described.where(growing).select("node", "n", F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
-    same_key = Window.partitionBy("key")
+    hot = _hot_keys(staged, rule)
+    if hot is None:
+        rows = rows.withColumns({"hot": F.lit(None).cast("long"), "least": F.lit(None).cast("long")})
+    else:
+        rows = rows.join(hot.select("key", F.col("members").alias("hot"), F.col("hub").alias("least")), "key", "left")
+    # Hot keys go to many tasks; what their windows would tell was counted before.
+    parts = F.ceil(F.col("hot") / BLOCK_MEMBERS)
+    rows = rows.withColumn("part", F.coalesce(F.pmod(F.xxhash64("node"), parts), F.lit(0)))
+    same_key = Window.partitionBy("key", "part")
     by_size = same_key.orderBy("n")
     live = (
         rows.withColumns({"smaller": F.lag("n").over(by_size), "larger": F.lead("n").over(by_size)})
         # Without another set of a size that fits, a set has nothing to be compared with in this block.
-        .where((100 * F.col("smaller") >= rule.percent * F.col("n")) | (100 * F.col("n") >= rule.percent * F.col("larger")))
-        .withColumns({"members": F.count(F.lit(1)).over(same_key), "hub": F.min("node").over(same_key)})
+        .where(
+            F.col("hot").isNotNull()
+            | (100 * F.col("smaller") >= rule.percent * F.col("n"))
+            | (100 * F.col("n") >= rule.percent * F.col("larger"))
+        )
+        .withColumns(
+            {
+                "members": F.coalesce("hot", F.count(F.lit(1)).over(same_key)),
+                "hub": F.coalesce("least", F.min("node").over(same_key)),
+            }
+        )
     )
     live = written(live.select("key", "node", "n", "n_keys", "hub", "members"), "shingle-blocks")
 
@@ -263,10 +321,9 @@ def _connected(docs: DataFrame, staged: DataFrame, classes: DataFrame, rule: Shi
     step = -np.log(rule.percent / 100) * (1 + 1e-9) if rule.percent < 100 else 1e-9
     own = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(step))).cast("int")
     bands = F.when(F.col("members") < LARGE_BLOCK, F.array(F.lit(-1))).otherwise(F.array(own, own + 1))
-    blocks = live.select("key", "node", F.col("n").cast("int").alias("n"), F.explode(bands).alias("band"))
-    blocks = blocks.join(signatures, "node")
-    pairs = written(_candidates(blocks, rule).distinct(), "pairs")
-    discard(live)
+    blocks = live.select("key", "node", F.col("n").cast("int").alias("n"), F.explode(bands).alias("band"), "members")
+    pairs = written(_candidates(_dealt(blocks, signatures, hot is not None), rule).distinct(), "pairs")
+    discard(live, *([] if hot is None else [hot]))
     # What the first links connect is linked by its stars already.
     links = _verify(docs, pairs, rule).unionAll(stars.select(F.col("root").alias("a"), F.col("v").alias("b")))
     roots = components(links, "a", "b")
@@ -309,6 +366,27 @@ def _compare(batches, rule: Shingling):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
 
 
+def _dealt(blocks: DataFrame, signatures: DataFrame, hot: bool) -> DataFrame:
+    """Blocks with the signatures of their members. Members of a (key, band) that is too much for a task are dealt to
+    chunks, and go to every pair (``low``, ``high``) of chunks that theirs is in; ``side`` tells the chunk of a pair."""
+    if not hot:
+        whole = blocks.drop("members").join(signatures, "node")
+        return whole.withColumns({name: F.lit(0) for name in ("low", "high", "side")})
+    own, other = F.col("own"), F.col("other")
+    sizes = blocks.where(F.col("members") > BLOCK_MEMBERS).groupBy("key", "band").agg(F.count(F.lit(1)).alias("size"))
+    large = written(sizes.where(F.col("size") > BLOCK_MEMBERS), "shingle-large-blocks")
+    blocks = blocks.join(large, ["key", "band"], "left")
+    chunks = F.coalesce(F.ceil(F.col("size") / BLOCK_MEMBERS), F.lit(1)).cast("int")
+    blocks = blocks.withColumn("chunks", chunks).drop("members", "size").join(signatures, "node")
+    placed = blocks.withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    side = F.when(own > other, 1).otherwise(0)
+    return placed.withColumns({"low": F.least(own, other), "high": F.greatest(own, other), "side": side}).drop("chunks", "own", "other")
+
+
+_PLACE = ("key", "band", "low", "high")
+
+
 def _candidates(blocks: DataFrame, rule: Shingling) -> DataFrame:
     """Pairs of nodes of different groups that the signature trees of their blocks can not rule out."""
 
@@ -317,43 +395,45 @@ def _candidates(blocks: DataFrame, rule: Shingling) -> DataFrame:
         for batch in batches:
             table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
             # The last block may go on in the next batch.
-            key, band = table["key"].to_numpy(), table["band"].to_numpy()
-            last = np.flatnonzero((key != key[-1]) | (band != band[-1]))
+            place = [table[c].to_numpy() for c in _PLACE]
+            last = np.flatnonzero(np.logical_or.reduce([x != x[-1] for x in place]))
             cut = int(last[-1]) + 1 if len(last) else 0
             yield from _pair_batches(_block_pairs(table.slice(0, cut), rule))
             held = table.slice(cut)
         if held is not None:
             yield from _pair_batches(_block_pairs(held, rule))
 
-    placed = blocks.repartition("key", "band").sortWithinPartitions("key", "band", "n", "node")
+    placed = blocks.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "n", "node")
     return placed.mapInArrow(search, "a long, b long")
 
 
-def _block_pairs(table: pa.Table, rule: Shingling) -> list[tuple[int, int]]:
-    """Candidate pairs of a run of whole blocks."""
+def _block_pairs(table: pa.Table, rule: Shingling) -> Iterator[tuple[int, int]]:
+    """Candidate pairs of a run of whole blocks, or pairs of chunks."""
     if not table.num_rows:
-        return []
-    names = ("key", "band", "n", "node", "shown", "following", "grp")
-    key, band, n, node, shown, following, group = (table[c].to_numpy() for c in names)
-    start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (band[1:] != band[:-1])]))
+        return
+    place = [table[c].to_numpy() for c in _PLACE]
+    n, node, shown, following, group, side = (table[c].to_numpy() for c in ("n", "node", "shown", "following", "grp", "side"))
+    changes = np.logical_or.reduce([x[1:] != x[:-1] for x in place])
+    start = np.flatnonzero(np.concatenate([[True], changes]))
     mixed = np.minimum.reduceat(group, start) != np.maximum.reduceat(group, start)
-    stop = np.append(start[1:], len(key))
+    stop = np.append(start[1:], len(n))
     bitmaps = table["bitmap"].combine_chunks()
-    out = []
+    low, high = place[2], place[3]
     for a, b in zip(start[mixed].tolist(), stop[mixed].tolist(), strict=True):
         rows = (x[a:b] for x in (n, node, group, shown, following))
-        out += tree_pairs(Members(*rows, bitmaps.slice(a, b - a).to_pylist()), rule)
-    return out
+        sides = side[a:b] if low[a] != high[a] else None
+        yield from tree_pairs(Members(*rows, bitmaps.slice(a, b - a).to_pylist(), sides), rule)
 
 
 def _pair_batches(pairs):
-    if pairs:
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*pairs, strict=True)], names=["a", "b"])
+    while some := list(islice(pairs, PAIRS_AT_ONCE)):
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*some, strict=True)], names=["a", "b"])
 
 
 @dataclass(frozen=True)
 class Members:
-    """Sets of one block as arrays: size, id, group, and what ``signature`` gives."""
+    """Sets of one block as arrays: size, id, group, and what ``signature`` gives. With ``side``, only sets of
+    different sides are compared."""
 
     n: np.ndarray
     node: np.ndarray
@@ -361,11 +441,13 @@ class Members:
     shown: np.ndarray
     following: np.ndarray
     bitmaps: list[bytes]
+    side: np.ndarray | None = None
 
 
 @dataclass(frozen=True)
 class View:
-    """Members to be compared, by rising size, with bitmaps over one part of all hashes.
+    """Members to be compared, by rising size (first all of one side, ``split`` of them, if there are two), with
+    bitmaps over one part of all hashes.
 
     ``surplus``: shingles of a set that share their bit with another of the same set. ``unseen``: shingles that no
     bitmap shows. ``kind``: only sets of different kinds are compared, or all if it is None.
@@ -378,6 +460,7 @@ class View:
     unseen: np.ndarray
     bits: np.ndarray
     kind: np.ndarray | None
+    split: int | None = None
 
     def pairs(self, a: slice, b: slice, rule: Shingling) -> Iterator[tuple[int, int]]:
         """Candidates of two runs of members."""
@@ -403,8 +486,14 @@ def views(members: Members, rule: Shingling) -> Iterator[View]:
     kind = np.array([size_class(int(x)) for x in n])
 
     def view(chosen, bits, seen, kinds=None):
+        split = None
+        if members.side is not None:
+            side = members.side[chosen]
+            placed = np.argsort(side, kind="stable")
+            chosen, bits, seen, kinds = chosen[placed], bits[placed], seen[placed], None if kinds is None else kinds[placed]
+            split = int((side == 0).sum())
         surplus = seen - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-        return View(n[chosen], members.node[chosen], members.group[chosen], surplus, n[chosen] - seen, bits, kinds)
+        return View(n[chosen], members.node[chosen], members.group[chosen], surplus, n[chosen] - seen, bits, kinds, split)
 
     if rule.percent <= 50:
         # Classes further apart may link; they have no part of all hashes in common that is worth a look.
@@ -469,25 +558,29 @@ def signature_tree(view: View, first: int = 0, stop: int | None = None) -> Node:
     )
 
 
-def tree_pairs(members: Members, rule: Shingling) -> list[tuple[int, int]]:
-    """Candidate pairs (smaller id first) of one block by dual traversal of signature trees with themselves."""
-    out: set[tuple[int, int]] = set()
+def tree_pairs(members: Members, rule: Shingling) -> Iterator[tuple[int, int]]:
+    """Candidate pairs (smaller id first) of one block by dual traversal of signature trees: of one with itself, or
+    of those of two sides."""
     for view in views(members, rule):
-        root = signature_tree(view)
-        todo = [(root, root)]
+        if view.split is None:
+            root = signature_tree(view)
+            todo = [(root, root)]
+        elif 0 < view.split < len(view.n):
+            todo = [(signature_tree(view, 0, view.split), signature_tree(view, view.split))]
+        else:
+            continue
         while todo:
             u, v = todo.pop()
             if not _may_link(u, v, rule):
                 continue
             if not u.children and not v.children:
-                out.update(view.pairs(u.run, v.run, rule))
+                yield from sorted(set(view.pairs(u.run, v.run, rule)))
             elif u is v:
                 todo += [(a, b) for i, a in enumerate(u.children) for b in u.children[i:]]
             elif u.children and (not v.children or u.most - u.least >= v.most - v.least):
                 todo += [(x, v) for x in u.children]
             else:
                 todo += [(u, x) for x in v.children]
-    return sorted(out)
 
 
 def _may_link(u: Node, v: Node, rule: Shingling) -> bool:

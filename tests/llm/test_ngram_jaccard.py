@@ -97,6 +97,42 @@ def test_large_blocks_cut_by_size_lose_nothing(spark, monkeypatch):
     assert found(spark, rows, 3, 90) == brute(rows, 3, 90)
 
 
+def unlinked_family(count):
+    """Copies of one text with a few edits each, mostly just below the threshold to each other."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    return [(k, edited(rng, base, rng.randrange(1, 5))) for k in range(count)]
+
+
+def test_large_blocks_are_dealt_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK_MEMBERS", 8)
+    most = []
+    whole = module._candidates
+
+    def watched(blocks, rule):
+        most.append(blocks.groupBy("key", "band", "low", "high").count().agg(F.max("count")).first()[0])
+        return whole(blocks, rule)
+
+    monkeypatch.setattr(module, "_candidates", watched)
+    rows = unlinked_family(60) + [(i + 1000, t) for i, t in corpus(6) if i is not None]
+    assert found(spark, rows, 3, 90) == brute(rows, 3, 90)
+    # Two chunks each; dealt by hash they differ in size.
+    assert 8 < most[0] <= 3 * 8
+
+
+def test_sides_are_compared_with_each_other_only():
+    rng = random.Random(9)
+    rule = Shingling(1, 80)
+    base = [rng.randrange(2**64) for _ in range(345)]
+    arrays = [np.array(sorted(base[: 300 + k % 45]), dtype=np.uint64) for k in range(100)]
+    shown, following, bitmaps = zip(*(module.signature(a, rule) for a in arrays), strict=True)
+    ids = np.arange(100)
+    members = Members(np.array([len(a) for a in arrays]), ids, ids, np.array(shown), np.array(following), list(bitmaps), ids % 2)
+    pairs = list(tree_pairs(members, rule))
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == {(a, b) for a, b in itertools.combinations(range(100), 2) if a % 2 != b % 2}
+
+
 def test_chains_are_one_component(spark):
     # Each is linked with the next only.
     words = [f"w{i}" for i in range(140)]
