@@ -1,7 +1,7 @@
 """Toxicity by a noisy channel: restore disguised words, then score the restored text.
 
-A character trigram model is counted over all texts. Tokens that may be disguised (digits or marks inside a word,
-a letter three or more times, single letters set apart) become lattices: each position offers the letters it may
+A character trigram model is counted over all texts. Tokens that may be disguised (a letter beside digits or marks,
+a letter several times in a row, single letters and digits set apart) become lattices: each position offers the letters it may
 stand for, or nothing. Viterbi decoding under the character model and the costs of the channel picks the most
 likely word. All other tokens have one path and stay as they are. The restored words are scored by a sparse
 logistic model over hashed words and word beginnings, fitted on labelled rows.
@@ -34,6 +34,8 @@ VOWELS = "aeiou"
 
 #: Costs of the channel, as negative log probabilities.
 COST_LEET, COST_STAR, COST_REPEAT, COST_JOIN = 0.7, 2.0, 0.3, 0.5
+#: Of a letter that is doubled without being meant: most doubled letters are.
+COST_TWICE = 8.0
 #: Of leaving out a filler, another mark, a digit: a letter left out saves about as much under the character model.
 COST_DROP, COST_DROP_MARK, COST_DROP_DIGIT = 0.5, 4.0, 6.0
 
@@ -49,8 +51,10 @@ PREFIXES = (4, 5)
 _LETTER = byte_table((0x61, 0x7A), (0x80, 0xFF))
 _STAND_IN = np.zeros(256, dtype=bool)
 _STAND_IN[[ord(c) for c in (*LEET, *FILLERS)]] = True
-_LEET = np.zeros(256, dtype=bool)
-_LEET[[ord(c) for c in LEET]] = True
+#: Marks that may stand before or after any word.
+AROUND = ".,;:?\"'#%&"
+_AROUND = np.zeros(256, dtype=bool)
+_AROUND[[ord(c) for c in AROUND]] = True
 _CODE = np.zeros(256, dtype=np.int64)
 _CODE[97:123] = np.arange(1, 27)
 _CODE[128:] = OTHER
@@ -100,16 +104,21 @@ def _options(token: str) -> list[list[tuple[str, float]]]:
         if c.isalpha():
             if run >= 3:
                 positions.append([(c, COST_REPEAT), (c * 2, 2 * COST_REPEAT)])
+            elif run == 2:
+                positions.append([(c, COST_TWICE), (c * 2, 0.0)])
             else:
-                positions += [[(c, 0.0)]] * run
+                positions.append([(c, 0.0)])
         elif c in LEET or c in FILLERS:
-            drop = COST_DROP if c in FILLERS else COST_DROP_DIGIT if c.isdigit() else COST_DROP_MARK
-            options = [("", drop + COST_DROP * (run - 1))]
+            # At the end a "!" mostly ends a sentence.
+            drop = COST_DROP if c in FILLERS or c == "!" and i + run == len(token) else COST_DROP_DIGIT if c.isdigit() else COST_DROP_MARK
+            options = [("", drop * run)]
             options += [(x * min(run, 2), COST_LEET) for x in LEET.get(c, "")]
             if c == "*":
                 options += [(x, COST_STAR) for x in VOWELS]
             positions.append(options)
         elif c.isspace():
+            while i + run < len(token) and token[i + run].isspace():
+                run += 1
             positions.append([("", COST_JOIN), (" ", 0.0)])
         else:
             positions.append([("", COST_DROP * run)])
@@ -152,47 +161,44 @@ def disguised(texts: Texts) -> list[tuple[int, int]]:
     if n < 2:
         return []
     letter, stand_in, space = _LETTER[data], _STAND_IN[data], SPACE[data]
-    leet = _LEET[data]
     row_start = np.zeros(n + 1, dtype=bool)
     row_start[texts.offsets] = True
-    edge = space.copy()
-    edge[1:] |= row_start[1:n]  # a token never goes on in the next row; its first byte may be a row's first
-    marks = []
-    # Up to three stand-ins between letters.
-    for width in (1, 2, 3):
-        if n > width + 1:
-            inside = letter[: n - width - 1] & letter[width + 1 :]
-            for k in range(1, width + 1):
-                inside &= stand_in[k : n - width - 1 + k]
-            marks.append(np.flatnonzero(inside) + 1)
-    # A stand-in that begins a word.
-    begins = leet[:-1] & letter[1:]
-    begins[1:] &= space[:-2] | row_start[1 : n - 1]
-    marks.append(np.flatnonzero(begins))
-    # A letter three times (of one byte each).
-    if n > 2:
-        same = letter[:-2] & (data[:-2] == data[1:-1]) & (data[1:-1] == data[2:]) & (data[:-2] < 128)
-        marks.append(np.flatnonzero(same))
-    places = np.unique(np.concatenate(marks))
     starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1] | row_start[1:n]]))
     ends = np.flatnonzero(~space & (np.append(space[1:], True) | row_start[1:])) + 1
-    ranges = set()
-    if len(places):
-        which = np.unique(np.searchsorted(starts, places, side="right") - 1)
-        ranges = {(int(starts[w]), int(ends[w])) for w in which}
-    # Single letters set apart: runs of three or more one-letter tokens in one row, each maybe with a mark after it.
+    if not len(starts):
+        return []
+    # A stand-in anywhere but among the marks that may stand around any word, in a token with a letter.
+    core = np.flatnonzero(~space & ~_AROUND[data])
+    first, last = np.searchsorted(core, starts), np.searchsorted(core, ends) - 1
+    filled = first <= last
+    low, high = starts.copy(), starts.copy()
+    low[filled], high[filled] = core[first[filled]], core[last[filled]] + 1
+    letters = _counts(letter)
+    marked = letters[ends] > letters[starts]
+    stand_ins = _counts(stand_in)
+    # A letter twice (of one byte each).
+    twice = np.zeros(n, dtype=bool)
+    twice[1:] = letter[1:] & (data[1:] == data[:-1]) & (data[1:] < 128) & ~row_start[1:n]
+    repeats = _counts(twice)
+    marked &= (stand_ins[high] > stand_ins[low]) | (repeats[ends] > repeats[starts])
+    ranges = {(int(starts[w]), int(ends[w])) for w in np.flatnonzero(marked)}
+    # Single letters or stand-ins set apart: runs of three or more such tokens in one row, the last maybe with a mark after it.
     size = ends - starts
-    single = letter[starts] & ((size == 1) | (size == 2) & ~letter[ends - 1])
-    joined = single[1:] & single[:-1] & (size[:-1] == 1) & (starts[1:] - ends[:-1] == 1)
+    single = (letter[starts] | stand_in[starts]) & ((size == 1) | (size == 2) & ~letter[ends - 1])
     row = np.searchsorted(texts.offsets, starts, side="right")
-    joined &= row[1:] == row[:-1]
+    joined = single[1:] & single[:-1] & (size[:-1] == 1) & (row[1:] == row[:-1])
     change = np.flatnonzero(np.diff(np.concatenate([[0], joined.astype(np.int8), [0]])))
     for first, last in zip(change[::2], change[1::2], strict=True):
-        if last - first >= 2:
+        if last - first >= 2 and letters[ends[last]] - letters[starts[first]] >= 2:
             ranges.add((int(starts[first]), int(ends[last])))
     return sorted(ranges)
 
 
+def _counts(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place."""
+    return np.concatenate([[0], np.cumsum(flags)])
+
+
 def _hash_rows(chars: np.ndarray, salt: int) -> np.ndarray:
     """Hash of each row of a byte matrix."""
     weighted = mix(chars.astype(np.uint64) + np.uint64(1)) * powers(chars.shape[1])[None, :]
@@ -225,13 +231,13 @@ class Restorer:
         out = []
         for start, end in disguised(texts):
             token = texts.data[start:end].tobytes().decode("utf-8", "replace").lower()
-            token = token.strip(".,;:?\"'#%&*!") if not token.startswith(("!", "*")) else token.rstrip(".,;:?\"'#%&")
+            token = token.strip(AROUND)
             if len(token) > 64:
                 parts = [token[i : i + 64] for i in range(0, len(token), 64)]
             else:
                 parts = [token]
             word = "".join(self.word(p) for p in parts)
-            if word and word != token:
+            if word and word not in (token, token.strip("*!")):
                 out.append((int(np.searchsorted(texts.offsets, start, side="right")) - 1, token, word))
         return out
 

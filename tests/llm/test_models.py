@@ -158,6 +158,33 @@ def test_restored_words(costs, token, word):
     assert {(row, got) for row, _, got in found if word in got.split()} == {(0, word), (1, word), (2, word)}
 
 
+@pytest.mark.parametrize(
+    ("token", "word"),
+    [
+        ("idi07", "idiot"), ("stup1d", "stupid"),
+        ("57upid", "stupid"), ("1d1ot", "idiot"),
+        ("st....upid", "stupid"), ("m-----oron", "moron"),
+        ("i d 1 o t", "idiot"), ("i  d  i  o  t", "idiot"), ("m \t 0 r\u000b0  n", "moron"),
+        ("iddiot", "idiot"), ("morron", "moron"), ("stuppid", "stupid"),
+    ],
+)
+def test_disguises_of_all_forms_are_decoded(costs, token, word):
+    rows = [f"say {token}", token, f"said\n{token.upper()} you", None]
+    found = toxicity.Restorer(costs).spans(texts_of(pa.array(rows)))
+    assert {(row, got) for row, _, got in found if word in got.split()} == {(0, word), (1, word), (2, word)}
+
+
+def test_stand_ins_at_the_end_of_a_word():
+    # Under a model that has seen the words.
+    texts = pa.array(["hate ass idiot see the kill all dogs " * 50])
+    counts = toxicity.character_counts(pa.RecordBatch.from_arrays([texts], names=["text"]), 0).reshape((28,) * 3) + 0.01
+    costs = -np.log(counts / counts.sum(axis=2, keepdims=True))
+    for token, word in (("a$$", "ass"), ("h473", "hate"), ("k....ill", "kill"), ("dogs!", "dogs"), ("455hate", "asshate")):
+        assert toxicity.restore(token, costs) == word
+    spans = toxicity.Restorer(costs).spans(texts_of(pa.array(["see all a$$ h473 dogs! 1 2 3 455", "k", "kill"])))
+    assert spans == [(0, "a$$", "ass"), (0, "h473", "hate")]
+
+
 def test_plain_words_stay(costs):
     rows = ["An idiot, said the dog. See you a b", "x", "", "i", "don't e.g. 12 3.5 -- !", "a\nb\nc"]
     texts = texts_of(pa.array(rows))
