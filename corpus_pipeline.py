@@ -22,15 +22,19 @@ ORACLE_SQL = None
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose restored text scores as toxic."""
+    """Rejects documents whose restored text scores as toxic; none without labelled documents of both kinds."""
     model = fit_toxicity(docs, training_labels(spark, sf_dir))
+    if not model.fitted:
+        return docs.select(*COLUMNS)
     scored = score_toxicity(docs, model, keep=COLUMNS[1:])
     return scored.where(F.col("score") < TOXIC_FROM).select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that score as of low quality."""
+    """Rejects documents that score as of low quality; none without labelled documents of both kinds."""
     model = fit_quality(docs, training_labels(spark, sf_dir))
+    if model is None or not model.fitted:
+        return docs.select(*COLUMNS)
     scored = score_quality(docs, model, keep=COLUMNS[1:])
     return scored.where(F.col("score") >= GOOD_FROM).select(*COLUMNS)
 

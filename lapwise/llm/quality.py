@@ -8,7 +8,7 @@ branch); the weighted sum of the encoded passages gives the score. All of it is
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -85,9 +85,10 @@ def passage_features(texts: Texts, width: int = PASSAGE_WORDS) -> tuple[np.ndarr
 
 @dataclass(frozen=True)
 class QualityModel:
-    """Weights by name; ``mean`` and ``scale`` of the features come first."""
+    """Weights by name; ``mean`` and ``scale`` of the features come first. Not ``fitted`` on one label only."""
 
     weights: dict[str, np.ndarray]
+    fitted: bool = True
 
     def encode(self, features: np.ndarray):
         w = self.weights
@@ -204,7 +205,8 @@ def fit_quality(
     sample = sample.assign(size=sample["features"].map(len)).sort_values(["id", "label", "size"], kind="stable")
     sizes = np.array([len(f) // FEATURES for f in sample["features"]])
     features = np.concatenate([np.asarray(f, dtype=float) for f in sample["features"]]).reshape(-1, FEATURES)
-    return fit_bags(features, np.concatenate([[0], np.cumsum(sizes)]), sample["label"].to_numpy(dtype=float))
+    model = fit_bags(features, np.concatenate([[0], np.cumsum(sizes)]), sample["label"].to_numpy(dtype=float))
+    return replace(model, fitted=sample["label"].nunique() > 1)
 
 
 def score_quality(

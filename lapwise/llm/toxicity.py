@@ -256,12 +256,14 @@ def features_of(texts: Texts, restorer: Restorer):
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Character costs, sorted features with their weights, and what is added to their sum."""
+    """Character costs, sorted features with their weights, and what is added to their sum. Not ``fitted`` without
+    documents of both labels."""
 
     costs: np.ndarray
     features: np.ndarray
     weights: np.ndarray
     bias: float
+    fitted: bool = True
 
     def score(self, texts: Texts, restorer: Restorer):
         n = len(texts)
@@ -316,7 +318,7 @@ def fit_toxicity(
     none = np.zeros(0, dtype=np.uint64)
     if not toxic or not clean:
         share = 1.0 if toxic else 0.0
-        return ToxicityModel(costs, none, np.zeros(0), 500.0 if share else -500.0)
+        return ToxicityModel(costs, none, np.zeros(0), 500.0 if share else -500.0, fitted=False)
     counted = sample.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(
         F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c")
     )

@@ -67,6 +67,15 @@ def test_run_applies_the_stages(spark, sf_dir):
     assert total[1] <= 1.02 * total[0] / 2048 + 1
 
 
+@pytest.mark.parametrize(("toxic", "quality"), [(None, None), (1, 0), (0, 1)])
+def test_stages_without_both_labels_keep_all(spark, tmp_path, toxic, quality):
+    docs = spark.createDataFrame([(i, f"a plain text number {i}", "en", "s", 20) for i in range(12)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, toxic, quality) for i in range(12 if toxic is not None else 0)], "doc_id long, toxic int, quality int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for stage in (corpus_pipeline.toxicity, corpus_pipeline.quality):
+        assert sorted(stage(spark, docs, str(tmp_path)).collect()) == sorted(docs.collect())
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, None, None, None), (1, None, "en", None, 3), (None, "a b", None, "s", 1), (2, "x " * 20_000, "en", "s", 1)]])
 def test_stages_take_odd_tables(spark, sf_dir, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
