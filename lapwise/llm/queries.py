@@ -11,6 +11,7 @@ from lapwise.llm.chat import chat_events, format_chats
 from lapwise.llm.decontaminate import find_leaks
 from lapwise.llm.langid import fit_language_model, identify_language
 from lapwise.llm.licenses import license_scan
+from lapwise.llm.merkle import fold, leaf, manifest, proofs, siblings
 from lapwise.llm.ngram_jaccard import ngram_jaccard
 from lapwise.llm.packing import Capacity, pack
 from lapwise.llm.quality import fit_quality, score_quality
@@ -197,3 +198,80 @@ def op8_quality(spark, sf_dir):
 @query()
 def op2_decontamination(spark, sf_dir):
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: crc32 of an ASCII text ``s`` in a table, bit by bit: each byte is followed by eight steps.
+_CRC32_SQL = """xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(range(1, length(s) + 1),
+            lambda i: [ascii(s[i])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+            lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+
+@query(
+    rf"""
+    WITH RECURSIVE fields AS (
+        SELECT doc_id, source, doc_id::VARCHAR AS s,
+            list_transform([doc_id::VARCHAR, source, lang, n_chars::VARCHAR, text],
+                lambda x: CASE WHEN x IS NULL THEN '-' ELSE octet_length(encode(x)) || ':' || x END) AS f,
+            replace(text, chr(10), '') AS flat
+        FROM documents),
+    tampering AS (SELECT *, {_CRC32_SQL} % 2 = 0 AS tampers FROM fields),
+    leaves AS (
+        SELECT doc_id, source, sha256(array_to_string(f, '')) AS leaf,
+            CASE WHEN tampers AND flat IS NOT NULL
+                THEN sha256(array_to_string(f[1:4], '') || octet_length(encode(flat)) || ':' || flat)
+                ELSE sha256(array_to_string(f, '')) END AS tampered
+        FROM tampering),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS i FROM leaves),
+    trees AS (
+        SELECT source, 0 AS level, list(leaf ORDER BY i) AS nodes FROM placed GROUP BY source
+        UNION ALL
+        SELECT source, level + 1, list_transform(range(0, (len(nodes) + 2) // 3),
+            lambda k: sha256(array_to_string(nodes[3 * k + 1:3 * k + 3], '')))
+        FROM trees WHERE len(nodes) > 1),
+    subroots AS (
+        SELECT source, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS j
+        FROM trees WHERE len(nodes) = 1),
+    top AS (
+        SELECT 0 AS level, list(subroot ORDER BY j) AS nodes FROM subroots
+        UNION ALL
+        SELECT level + 1, list_transform(range(0, (len(nodes) + 2) // 3),
+            lambda k: sha256(array_to_string(nodes[3 * k + 1:3 * k + 3], '')))
+        FROM top WHERE len(nodes) > 1),
+    levels AS (
+        SELECT source, level, nodes, false AS on_top FROM trees WHERE len(nodes) > 1
+        UNION ALL SELECT s.source, s.height + t.level, t.nodes, true FROM subroots s, top t WHERE len(t.nodes) > 1),
+    walk AS (
+        SELECT doc_id, p.source, i AS i, j, tampered AS folded, '' AS proof, 0 AS level
+        FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source
+        UNION ALL
+        SELECT doc_id, source, i, j, sha256(before || folded || after), proof || before || after, level
+        FROM (
+            SELECT w.doc_id, w.source, pos // 3 AS i, w.j, w.folded, w.proof, w.level + 1 AS level,
+                array_to_string(nodes[pos // 3 * 3 + 1:pos], '') AS before, array_to_string(nodes[pos + 2:pos // 3 * 3 + 3], '') AS after
+            FROM (
+                SELECT w.*, l.nodes, CASE WHEN l.on_top AND l.level = s.height THEN w.j ELSE w.i END AS pos
+                FROM walk w JOIN levels l ON w.source IS NOT DISTINCT FROM l.source AND w.level = l.level
+                JOIN subroots s ON w.source IS NOT DISTINCT FROM s.source) w)),
+    ends AS (SELECT doc_id, max_by(folded, level) AS folded_root, max_by(proof, level) AS proof FROM walk GROUP BY doc_id)
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified
+    FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source JOIN ends USING (doc_id),
+        (SELECT nodes[1] AS root FROM top WHERE len(nodes) = 1)
+    """
+)
+def op13_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    tampers = remainder("doc_id", 2) == 0
+    text = F.when(tampers, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaves = docs.select("doc_id", "source", leaf(*head, F.col("text")).alias("leaf"), leaf(*head, text).alias("tampered"))
+    found = proofs(manifest(leaves, "source", "doc_id", "leaf", keep=("tampered",)))
+    folded = found.withColumn("folded_root", fold(F.col("tampered"), F.col("proof")))
+    return folded.select(
+        "doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        F.sha2(siblings(F.col("proof")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )

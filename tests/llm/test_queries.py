@@ -24,8 +24,8 @@ def test_query_agrees_with_sql(spark, sf_dir, connection, name):
     assert rows == expected_rows
 
 
-def test_ten_operators():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark, sf_dir, sf_documents):
