@@ -11,6 +11,7 @@ from lapwise.llm.chat import chat_events, format_chats
 from lapwise.llm.decontaminate import find_leaks
 from lapwise.llm.langid import fit_language_model, identify_language
 from lapwise.llm.licenses import license_scan
+from lapwise.llm.line_dedup import drop_lines, line_index
 from lapwise.llm.merkle import fold, leaf, manifest, proofs, siblings
 from lapwise.llm.ngram_jaccard import ngram_jaccard
 from lapwise.llm.packing import Capacity, pack
@@ -275,3 +276,26 @@ def op13_merkle_manifest(spark, sf_dir):
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query(
+    r"""
+    WITH lines AS (
+        SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+    frequent AS (
+        SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+    decided AS (SELECT l.*, f.key IS NULL AS stays FROM lines l LEFT JOIN frequent f USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256
+    FROM decided GROUP BY doc_id
+    """
+)
+def op12_line_dedup(spark, sf_dir):
+    """The benchmark's items go in beside the documents and out again, so that the result also rests on deletion."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    index = line_index(spark, least_documents=10, least_chars=1).insert(docs).insert(items).remove(items)
+    found = drop_lines(docs, index)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
