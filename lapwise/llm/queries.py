@@ -16,6 +16,7 @@ from lapwise.llm.merkle import fold, leaf, manifest, proofs, siblings
 from lapwise.llm.ngram_jaccard import ngram_jaccard
 from lapwise.llm.packing import Capacity, pack
 from lapwise.llm.quality import fit_quality, score_quality
+from lapwise.llm.repair import repair_conversations, summaries
 from lapwise.llm.samples import remainder
 from lapwise.llm.topk import exact_top_k
 from lapwise.llm.toxicity import fit_toxicity, score_toxicity
@@ -299,3 +300,98 @@ def op12_line_dedup(spark, sf_dir):
     index = line_index(spark, least_documents=10, least_chars=1).insert(docs).insert(items).remove(items)
     found = drop_lines(docs, index)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_OP11_SQL = rf"""
+    WITH RECURSIVE keyed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s
+        FROM conversations),
+    hashed AS (SELECT *, {_CRC32_SQL} % 20 AS harm FROM keyed),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+            CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(CASE WHEN harm = 3 THEN [1, 2] ELSE [1] END) AS copy
+        FROM hashed WHERE harm <> 0),
+    numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+    seen AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+            rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+            lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] AS pair
+        FROM numbered),
+    faulty AS (
+        SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate'
+            WHEN bare[-1:] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+        FROM seen),
+    counts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+            count(*) FILTER (fault = 'truncated') AS truncated,
+            count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM faulty GROUP BY conv_id),
+    -- Edit lists, step by step: the state reached is n (nothing), s, u or a; per state the cheapest, then least one stays.
+    choices(state, initial, after, cost, letters, add, takes) AS (
+        SELECT * FROM (VALUES
+            ('n', 's', 's', 0, 'K', '', ''), ('n', 'u', 'u', 0, 'K', '', ''), ('n', 'a', 'a', 2, 'IK', 'user:', ''),
+            ('s', 'u', 'u', 0, 'K', '', ''), ('s', 'a', 'a', 2, 'IK', 'user:', ''),
+            ('u', 'u', 'u', 2, 'IK', 'assistant:', ''), ('u', 'a', 'a', 0, 'K', '', ''),
+            ('a', 'u', 'u', 0, 'K', '', ''), ('a', 'a', 'a', 2, 'IK', 'user:', ''),
+            ('n', '', 'u', 2, 'R', '', 'user'), ('n', '', 'a', 4, 'IR', 'user:', 'assistant'),
+            ('s', '', 'u', 2, 'R', '', 'user'), ('s', '', 'a', 4, 'IR', 'user:', 'assistant'),
+            ('u', '', 'u', 4, 'IR', 'assistant:', 'user'), ('u', '', 'a', 2, 'R', '', 'assistant'),
+            ('a', '', 'u', 2, 'R', '', 'user'), ('a', '', 'a', 4, 'IR', 'user:', 'assistant'),
+            ('n', '', 'n', 3, 'D', '', NULL), ('s', '', 's', 3, 'D', '', NULL),
+            ('u', '', 'u', 3, 'D', '', NULL), ('a', '', 'a', 3, 'D', '', NULL)) t),
+    walk AS (
+        SELECT conv_id, 0::BIGINT AS i, 'n' AS state, 0 AS cost, '' AS audit, []::VARCHAR[] AS repaired
+        FROM (SELECT DISTINCT conv_id FROM faulty)
+        UNION ALL
+        SELECT conv_id, i, state, cost, audit, repaired
+        FROM (
+            SELECT w.conv_id, f.i, c.after AS state, w.cost + c.cost + CASE WHEN f.fault = 'truncated' AND c.takes IS NOT NULL THEN 1 ELSE 0 END AS cost,
+                w.audit || c.letters AS audit,
+                w.repaired || CASE WHEN c.add = '' THEN []::VARCHAR[] ELSE [c.add] END || CASE WHEN c.takes IS NULL THEN []::VARCHAR[]
+                    WHEN c.takes = '' THEN [f.role || ':' || f.text] ELSE [c.takes || ':' || f.text] END AS repaired,
+                row_number() OVER (PARTITION BY w.conv_id, c.after ORDER BY w.cost + c.cost + CASE WHEN f.fault = 'truncated' AND c.takes IS NOT NULL THEN 1 ELSE 0 END,
+                    w.audit || c.letters) AS place
+            FROM walk w JOIN faulty f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = w.i + 1
+            JOIN choices c ON c.state = w.state AND (c.initial = '' OR c.initial = f.role[1:1])
+                AND (c.takes IS NULL OR f.fault NOT IN ('blank', 'duplicate'))) t
+        WHERE place = 1),
+    endings(state, cost, letters, add) AS (
+        SELECT * FROM (VALUES ('n', 0, '', []::VARCHAR[]), ('a', 0, '', []::VARCHAR[]), ('u', 2, 'I', ['assistant:']),
+            ('s', 4, 'II', ['user:', 'assistant:'])) t),
+    best AS (
+        SELECT w.conv_id, w.cost + e.cost AS cost, w.audit || e.letters AS audit, w.repaired || e.add AS repaired,
+            row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + e.cost, w.audit || e.letters) AS place
+        FROM walk w JOIN endings e USING (state)
+        WHERE w.i = (SELECT max(f.i) FROM faulty f WHERE f.conv_id IS NOT DISTINCT FROM w.conv_id))
+    SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+        coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(b.cost, 0)::BIGINT AS cost,
+        coalesce(b.audit, '') AS audit, sha256(coalesce(array_to_string(b.repaired, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o
+    LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id AND b.place = 1
+    """
+
+
+def damaged(rows):
+    """Conversations with rows dropped, emptied, without sentence ends, repeated, or under another role, by their crc32."""
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    harm = F.pmod(F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn")).cast("binary")), F.lit(20))
+    text = F.when(harm == 1, F.lit("")).when(harm == 2, F.regexp_replace(known("text"), "[.!?]", "")).otherwise(known("text"))
+    role = F.when(harm == 4, F.lit("user")).otherwise(known("role"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(harm == 3, 2).otherwise(1)))
+    return rows.where(harm != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy"))
+
+
+@query(_OP11_SQL)
+def op11_structure_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = summaries(repair_conversations(damaged(rows)))
+    every = rows.select(F.col("conv_id").alias("of")).distinct()
+    joined = every.join(found, F.col("of").eqNullSafe(F.col("conv_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return joined.select(F.col("of").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
