@@ -157,7 +157,7 @@ def judged(found, threshold):
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, training_labels(spark, sf_dir))
-    return judged(score_toxicity(docs, model), 0.3)
+    return judged(score_toxicity(docs, model, spans=False), 0.3)
 
 
 def tokenizer_path():

@@ -3,13 +3,14 @@
 A character trigram model is counted over all texts. Tokens that may be disguised (a letter beside digits or marks,
 a letter several times in a row, single letters and digits set apart) become lattices: each position offers the letters it may
 stand for, or nothing. Viterbi decoding under the character model and the costs of the channel picks the most
-likely word. All other tokens have one path and stay as they are. The restored words are scored by a sparse
-logistic model over hashed words and word beginnings, fitted on labelled rows.
+likely word, which takes the token's place. All other tokens have one path and stay as they are. The restored text, and nothing
+else, is scored by a sparse logistic model over hashed words and word beginnings, fitted on labelled rows.
 """
 
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -37,7 +38,12 @@ COST_LEET, COST_STAR, COST_REPEAT, COST_JOIN = 0.7, 2.0, 0.3, 0.5
 #: Of a letter that is doubled without being meant: most doubled letters are.
 COST_TWICE = 8.0
 #: Of leaving out a filler, another mark, a digit: a letter left out saves about as much under the character model.
-COST_DROP, COST_DROP_MARK, COST_DROP_DIGIT = 0.5, 4.0, 6.0
+#: Of a stand-in that is written several times for one letter.
+COST_STAND_IN_TWICE = 3.0
+#: Of a mark or digit that stands for nothing; digits hardly ever do.
+COST_DROP, COST_DROP_MARK, COST_DROP_DIGIT = 0.5, 4.0, 12.0
+#: Positions of a token after which what all its readings have in common is set down.
+SETTLE_EVERY = 64
 
 SYMBOLS = 28
 OTHER = 27
@@ -61,12 +67,15 @@ _CODE[128:] = OTHER
 
 
 def character_counts(texts: pa.RecordBatch, column: int) -> np.ndarray:
-    """Trigram counts of the bytes of a column: letters, one symbol for all beyond ASCII, and 0 for the rest."""
+    """Trigram counts of the bytes of a column: letters, one symbol for all beyond ASCII, and 0 for the rest.
+
+    Each text has two zeros before it, as decoding begins, and after it, so that none runs into the next and it does
+    not matter which texts come together.
+    """
     total = np.zeros(SYMBOLS**3, dtype=np.int64)
     for _, part in slices([texts.select([column]).rename_columns(["text"])], "text"):
-        codes = _CODE[LOWER[part.data]]
-        if len(codes) > 2:
-            total += np.bincount(codes[:-2] * SYMBOLS**2 + codes[1:-1] * SYMBOLS + codes[2:], minlength=SYMBOLS**3)
+        codes = np.insert(_CODE[LOWER[part.data]], np.repeat(part.offsets, 2), 0)
+        total += np.bincount(codes[:-2] * SYMBOLS**2 + codes[1:-1] * SYMBOLS + codes[2:], minlength=SYMBOLS**3)
     return total
 
 
@@ -112,7 +121,9 @@ def _options(token: str) -> list[list[tuple[str, float]]]:
             # At the end a "!" mostly ends a sentence.
             drop = COST_DROP if c in FILLERS or c == "!" and i + run == len(token) else COST_DROP_DIGIT if c.isdigit() else COST_DROP_MARK
             options = [("", drop * run)]
-            options += [(x * min(run, 2), COST_LEET) for x in LEET.get(c, "")]
+            options += [(x, COST_LEET + (COST_STAND_IN_TWICE if run > 1 else 0.0)) for x in LEET.get(c, "")]
+            if run > 1:
+                options += [(x * 2, COST_LEET + (COST_STAND_IN_TWICE if run > 2 else 0.0)) for x in LEET.get(c, "")]
             if c == "*":
                 options += [(x, COST_STAR) for x in VOWELS]
             positions.append(options)
@@ -131,9 +142,14 @@ def _symbol(c: str) -> int:
 
 
 def restore(token: str, costs: np.ndarray) -> str:
-    """Most likely word behind a token in lower case (or words, behind letters set apart); ties: first by alphabet."""
+    """Most likely word behind a token in lower case (or words, behind letters set apart); ties: first by alphabet.
+
+    Whole tokens are decoded, however long. What all readings begin with is set down now and then, so that the time
+    goes with the length of the token.
+    """
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for options in [*_options(token), None]:
+    settled: list[str] = []
+    for i, options in enumerate([*_options(token), None]):
         following: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, word) in states.items():
             if options is None:
@@ -151,11 +167,15 @@ def restore(token: str, costs: np.ndarray) -> str:
                 if state not in following or value < following[state]:
                     following[state] = value
         states = following
-    return min(states.values())[1]
+        if i % SETTLE_EVERY == SETTLE_EVERY - 1:
+            common = os.path.commonprefix([word for _, word in states.values()])
+            settled.append(common)
+            states = {state: (cost, word[len(common) :]) for state, (cost, word) in states.items()}
+    return "".join([*settled, min(states.values())[1]])
 
 
 def disguised(texts: Texts) -> list[tuple[int, int]]:
-    """Byte ranges of tokens that may be disguised words."""
+    """Byte ranges of tokens, or of runs of tokens, that may be disguised words; in order, none within another."""
     data = LOWER[texts.data]
     n = len(data)
     if n < 2:
@@ -190,6 +210,7 @@ def disguised(texts: Texts) -> list[tuple[int, int]]:
     change = np.flatnonzero(np.diff(np.concatenate([[0], joined.astype(np.int8), [0]])))
     for first, last in zip(change[::2], change[1::2], strict=True):
         if last - first >= 2 and letters[ends[last]] - letters[starts[first]] >= 2:
+            ranges -= {(int(starts[w]), int(ends[w])) for w in range(first, last + 1)}
             ranges.add((int(starts[first]), int(ends[last])))
     return sorted(ranges)
 
@@ -220,38 +241,52 @@ def _word_features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(features)
 
 
+#: Longer tokens are decoded each time they are met.
+REMEMBERED_CHARS = 64
+
+
 class Restorer:
     """Restores tokens under one character model, remembering those seen often."""
 
     def __init__(self, costs: np.ndarray, remembered: int = 50_000):
+        self.costs = costs
         self.word = lru_cache(remembered)(lambda token: restore(token, costs))
 
-    def spans(self, texts: Texts) -> list[tuple[int, str, str]]:
-        """(row, token, restored word) of disguised tokens that are not what they seem."""
+    def spans(self, texts: Texts) -> list[tuple[int, int, str, str]]:
+        """(first byte, end, token, restored word) of disguised tokens that are not what they seem, in order."""
         out = []
         for start, end in disguised(texts):
-            token = texts.data[start:end].tobytes().decode("utf-8", "replace").lower()
-            token = token.strip(AROUND)
-            if len(token) > 64:
-                parts = [token[i : i + 64] for i in range(0, len(token), 64)]
-            else:
-                parts = [token]
-            word = "".join(self.word(p) for p in parts)
+            raw = texts.data[start:end].tobytes().decode("utf-8", "replace").lower()
+            token = raw.strip(AROUND)
+            word = self.word(token) if len(token) <= REMEMBERED_CHARS else restore(token, self.costs)
             if word and word not in (token, token.strip("*!")):
-                out.append((int(np.searchsorted(texts.offsets, start, side="right")) - 1, token, word))
+                before = len(raw) - len(raw.lstrip(AROUND))
+                after = len(raw) - len(raw.rstrip(AROUND))
+                out.append((start + before, end - after, token, word))  # these marks have one byte each
         return out
 
 
+def restored_texts(texts: Texts, spans: Sequence[tuple[int, int, str, str]]) -> Texts:
+    """The texts with the restored words in place of the tokens."""
+    if not spans:
+        return texts
+    words = [word.encode() for _, _, _, word in spans]
+    parts, at = [], 0
+    for (start, end, _, _), word in zip(spans, words, strict=True):
+        parts += [texts.data[at:start].tobytes(), word]
+        at = end
+    parts.append(texts.data[at:].tobytes())
+    grown = np.cumsum([0, *[len(w) - (end - start) for (start, end, _, _), w in zip(spans, words, strict=True)]])
+    # A span lies within one text, so each text's beginning moves by what the spans before it have grown.
+    ends = np.array([end for _, end, _, _ in spans])
+    offsets = texts.offsets + grown[np.searchsorted(ends, texts.offsets, side="right")]
+    return Texts(np.frombuffer(b"".join(parts), dtype=np.uint8), offsets)
+
+
 def features_of(texts: Texts, restorer: Restorer):
-    """Sorted distinct (row, feature) pairs of restored texts, and the restored spans."""
-    row, feature = _word_features(texts)
+    """(row, feature) pairs of the restored texts, and the restored spans."""
     spans = restorer.spans(texts)
-    if spans:
-        more = texts_of(pa.array([w for _, _, w in spans], pa.large_string()))
-        own, extra = _word_features(more)
-        row = np.concatenate([row, np.array([r for r, _, _ in spans], dtype=np.int64)[own]])
-        feature = np.concatenate([feature, extra])
-    return row, feature, spans
+    return *_word_features(restored_texts(texts, spans)), spans
 
 
 @dataclass(frozen=True)
@@ -407,10 +442,15 @@ def fit_logistic(
 
 
 def score_toxicity(
-    docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text_column: str = "text", keep: Sequence[str] = ()
+    docs: DataFrame,
+    model: ToxicityModel,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    keep: Sequence[str] = (),
+    spans: bool = True,
 ) -> DataFrame:
-    """Per row: its id, ``score`` (0 to 1) of the whole restored text, ``restored`` (array of token and word), and
-    the columns named in ``keep``.
+    """Per row: its id, ``score`` (0 to 1) of the whole restored text, ``restored`` (array of token and word; not unless
+    ``spans``), and the columns named in ``keep``.
 
     Null and empty texts have no words and get the score of a text without any telling word. Ids may be null or
     repeat; other columns are ignored; an empty table gives an empty result.
@@ -424,11 +464,14 @@ def score_toxicity(
         m = shared.value
         restorer = Restorer(m.costs)
         for batch, texts in slices(batches, "text"):
-            value, spans = m.score(texts, restorer)
-            found: list[list] = [[] for _ in range(len(texts))]
-            for row, token, word in spans:
-                found[row].append({"token": token, "word": word})
-            yield with_kept(batch, {"score": pa.array(value), "restored": pa.array(found, pair)})
-
-    schema = "score double, restored array<struct<token string, word string>>"
+            value, restored = m.score(texts, restorer)
+            columns = {"score": pa.array(value)}
+            if spans:
+                found: list[list] = [[] for _ in range(len(texts))]
+                for start, _, token, word in restored:
+                    found[int(np.searchsorted(texts.offsets, start, side="right")) - 1].append({"token": token, "word": word})
+                columns["restored"] = pa.array(found, pair)
+            yield with_kept(batch, columns)
+
+    schema = "score double" + (", restored array<struct<token string, word string>>" if spans else "")
     return scored_rows(docs, score, schema, id_column, text_column, keep)

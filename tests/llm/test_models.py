@@ -1,6 +1,7 @@
 """Language identification, quality and toxicity: known answers, odd rows, held-out accuracy."""
 
 import random
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -147,6 +148,14 @@ def costs(spark):
     return toxicity.fit_characters(frame(spark, rows))
 
 
+def restored(costs, rows):
+    """(row, token, word) of what is restored."""
+    texts = texts_of(pa.array(rows, pa.string()))
+    spans = toxicity.Restorer(costs).spans(texts)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    return [(int(np.searchsorted(texts.offsets, start, side="right")) - 1, token, word) for start, _, token, word in spans]
+
+
 @pytest.mark.parametrize(
     ("token", "word"),
     [("1d1ot", "idiot"), ("id!ot", "idiot"), ("i.d.i.o.t", "idiot"), ("i d i o t", "idiot"), ("stuuuupid", "stupid"), ("m0r0n", "moron"), ("tr@$h", "trash"), ("m*ron", "moron"), ("st-up-id", "stupid")],
@@ -154,7 +163,7 @@ def costs(spark):
 def test_restored_words(costs, token, word):
     assert toxicity.restore(token, costs) == word
     rows = [f"say {token}", token, f"said\n{token.upper()}, you", None]
-    found = toxicity.Restorer(costs).spans(texts_of(pa.array(rows)))
+    found = restored(costs, rows)
     assert {(row, got) for row, _, got in found if word in got.split()} == {(0, word), (1, word), (2, word)}
 
 
@@ -166,11 +175,12 @@ def test_restored_words(costs, token, word):
         ("st....upid", "stupid"), ("m-----oron", "moron"),
         ("i d 1 o t", "idiot"), ("i  d  i  o  t", "idiot"), ("m \t 0 r\u000b0  n", "moron"),
         ("iddiot", "idiot"), ("morron", "moron"), ("stuppid", "stupid"),
+        ("id10t", "idiot"), ("1 d 1 0 t", "idiot"), ("11diot", "idiot"), ("111diot", "idiot"), ("$$tupid", "stupid"),
     ],
 )
 def test_disguises_of_all_forms_are_decoded(costs, token, word):
     rows = [f"say {token}", token, f"said\n{token.upper()} you", None]
-    found = toxicity.Restorer(costs).spans(texts_of(pa.array(rows)))
+    found = restored(costs, rows)
     assert {(row, got) for row, _, got in found if word in got.split()} == {(0, word), (1, word), (2, word)}
 
 
@@ -181,14 +191,55 @@ def test_stand_ins_at_the_end_of_a_word():
     costs = -np.log(counts / counts.sum(axis=2, keepdims=True))
     for token, word in (("a$$", "ass"), ("h473", "hate"), ("k....ill", "kill"), ("dogs!", "dogs"), ("455hate", "asshate")):
         assert toxicity.restore(token, costs) == word
-    spans = toxicity.Restorer(costs).spans(texts_of(pa.array(["see all a$$ h473 dogs! 1 2 3 455", "k", "kill"])))
+    spans = restored(costs, ["see all a$$ h473 dogs! 1 2 3 455", "k", "kill"])
     assert spans == [(0, "a$$", "ass"), (0, "h473", "hate")]
 
 
+def all_readings(token, costs):
+    """Words of all paths through the lattice, each with the least cost of those that spell it."""
+    found = {}
+    for path in product(*toxicity._options(token)):
+        word, price = "".join(text for text, _ in path), sum(cost for _, cost in path)
+        symbols = [0, 0, *[toxicity._symbol(c) for c in word], 0]
+        price += sum(float(costs[x, y, z]) for x, y, z in zip(symbols, symbols[1:], symbols[2:]))
+        found[word] = min(price, found.get(word, price))
+    return found
+
+
+def test_decoding_agrees_with_all_readings(costs, monkeypatch):
+    rng = random.Random(9)
+    for settle in (1, 2, 64):
+        monkeypatch.setattr(toxicity, "SETTLE_EVERY", settle)
+        for _ in range(150):
+            token = "".join(rng.choice("idotsu10$!*. ppéx7") for _ in range(rng.randint(1, 7)))
+            readings = all_readings(token, costs)
+            assert readings[toxicity.restore(token, costs)] == pytest.approx(min(readings.values())), token
+
+
+@pytest.mark.parametrize("before", ["x" * 61, "don" * 40, "q1" * 40, "a-" * 5_000])
+def test_long_tokens_are_decoded_whole(costs, before):
+    assert toxicity.restore(before + "stup1d", costs).endswith("stupid")
+    spaced = " ".join("said" * 30) + " s t u p i d"
+    assert restored(costs, [spaced])[0][2].replace(" ", "") == "said" * 30 + "stupid"
+
+
+def test_character_counts_do_not_depend_on_batches():
+    rows = ["ab", "cd", None, "", "a b", "é", "x" * 5]
+    count = lambda part: toxicity.character_counts(pa.RecordBatch.from_arrays([pa.array(part, pa.string())], names=["text"]), 0)
+    assert (count(rows) == sum(count([r]) for r in rows)).all()
+    assert count(["ab"]).reshape(28, 28, 28)[0, 0, 1] == 1 and count(["ab", "cd"]).reshape(28, 28, 28)[1, 2, 3] == 0
+
+
+def test_restored_words_take_the_place_of_their_tokens(costs):
+    rows = ["1d1ot, you", None, "", "ä m0r0n, é", "no", "i d i o t", "tr@$h stup1d."]
+    texts = texts_of(pa.array(rows))
+    out = toxicity.restored_texts(texts, toxicity.Restorer(costs).spans(texts))
+    assert [out.raw(i).decode() for i in range(len(out))] == ["idiot, you", "", "", "ä moron, é", "no", "idiot", "trash stupid."]
+
+
 def test_plain_words_stay(costs):
     rows = ["An idiot, said the dog. See you a b", "x", "", "i", "don't e.g. 12 3.5 -- !", "a\nb\nc"]
-    texts = texts_of(pa.array(rows))
-    assert not [w for _, t, w in toxicity.Restorer(costs).spans(texts) if t.isalpha()]
+    assert not [w for _, t, w in restored(costs, rows) if t.isalpha()]
     assert toxicity.disguised(texts_of(pa.array(["a", "b", "c"]))) == []
 
 
