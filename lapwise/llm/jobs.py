@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,13 +15,28 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 
 FILTER_BITS = 1 << 26
 
+#: What a worker holds at a time of the rows it is sent, unless the session says otherwise. Texts may be long, so rows
+#: alone bound nothing; a single longer row is a batch of its own.
+ARROW_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
+}
+#: For the C library of a worker: arrays from 1 MB go back to the system when they are freed. By default the bound rises
+#: up to 32 MB with every such array, and what is freed stays with the worker, from task to task.
+ALLOCATOR = {"MALLOC_MMAP_THRESHOLD_": str(1024 * 1024), "MALLOC_TRIM_THRESHOLD_": str(8 * 1024 * 1024), "MALLOC_ARENA_MAX": "2"}
+
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and bound what they hold."""
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
+    for name, value in ALLOCATOR.items():
+        environment.setdefault(name, value)
+    for name, value in ARROW_SETTINGS.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -43,24 +57,6 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-@contextmanager
-def settings(spark: SparkSession, **values: str):
-    """Session settings for a while; names with dots given with double underscores."""
-    before = {}
-    for name, value in values.items():
-        name = name.replace("__", ".")
-        before[name] = spark.conf.get(name, None)
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def id_filter(ids: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
     """Bitmap of hashed ids, of a fixed size whatever their number (8 MB).
 
@@ -80,11 +76,10 @@ def id_filter(ids: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarra
     return bitmap
 
 
-def passing(df: DataFrame, column: str, bitmap: np.ndarray, inside: bool = True) -> DataFrame:
-    """Rows whose id passes the bitmap, or (not ``inside``) those that surely are not in it."""
-    spark = df.sparkSession
-    bits = len(bitmap) * 64
-    shared = spark.sparkContext.broadcast(bitmap)
+def passing(df: DataFrame, column: str, shared, inside: bool = True) -> DataFrame:
+    """Rows whose id passes the bitmap (a broadcast), or (not ``inside``) those that surely are not in it."""
+    prepare(df.sparkSession)
+    bits = len(shared.value) * 64
 
     def keep(batches):
         for batch in batches:
@@ -100,7 +95,7 @@ def passing(df: DataFrame, column: str, bitmap: np.ndarray, inside: bool = True)
 def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """Rows of ``df`` whose id is not in ``ids``; rows without id stay. Only rows that may go are shuffled."""
     ids = written(ids.select(column).where(F.col(column).isNotNull()).distinct(), "ids")
-    bitmap = id_filter(ids, column)
+    bitmap = df.sparkSession.sparkContext.broadcast(id_filter(ids, column))
     unsure = passing(df, column, bitmap).join(ids, column, "left_anti").select(*df.columns)
     return passing(df, column, bitmap, inside=False).unionAll(unsure)
 

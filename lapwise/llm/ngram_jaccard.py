@@ -344,6 +344,7 @@ def _verify(docs: DataFrame, pairs: DataFrame, rule: Shingling) -> DataFrame:
         placed.select("a", "chunk", F.col("a").alias("id"), F.lit(0).alias("side")).distinct()
     )
     needed = id_filter(pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct(), "id")
+    needed = docs.sparkSession.sparkContext.broadcast(needed)
     texts = passing(docs.where(F.col("id").isNotNull() & F.col("text").isNotNull()), "id", needed)
     gathered = members.join(texts, "id").repartition("a", "chunk").sortWithinPartitions("a", "chunk", "side", "id")
     ordered = gathered.select("a", "chunk", "side", "id", "text")

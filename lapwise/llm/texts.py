@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; bounds the memory of a task (a longer single text is a slice of its own).
-SLICE_BYTES = 2 * 1024 * 1024
+SLICE_BYTES = 1024 * 1024
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,8 +139,13 @@ _LOWER_VALUES = _BYTE_VALUES[LOWER]
 
 
 @lru_cache(1)
+def _slice_powers() -> tuple[np.ndarray, np.ndarray]:
+    return powers(SLICE_BYTES), powers(SLICE_BYTES, _INVERSE)
+
+
 def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return powers(size), powers(size, _INVERSE)
+    """Those of a slice are kept by the worker, those of a longer text are not."""
+    return _slice_powers() if size <= SLICE_BYTES else (powers(size), powers(size, _INVERSE))
 
 
 def hash_runs(data: np.ndarray, start: np.ndarray, length: np.ndarray, lower: bool = False) -> np.ndarray:
@@ -150,7 +155,7 @@ def hash_runs(data: np.ndarray, start: np.ndarray, length: np.ndarray, lower: bo
     """
     if len(start) == 0:
         return np.zeros(0, dtype=np.uint64)
-    up, down = _power_tables(max(SLICE_BYTES, len(data)))
+    up, down = _power_tables(len(data))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.multiply((_LOWER_VALUES if lower else _BYTE_VALUES)[data], up[: len(data)], out=sums[1:])
     np.cumsum(sums, out=sums)

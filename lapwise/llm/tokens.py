@@ -15,8 +15,8 @@ import numpy as np
 
 from lapwise.llm.texts import SPACE, Texts, byte_table, hash_runs
 
-#: Distinct words remembered per worker.
-REMEMBERED = 2_000_000
+#: Bytes of words remembered per worker (some 40 a word).
+REMEMBERED_BYTES = 16 * 1024 * 1024
 
 #: UTF-8 beginnings of white space beyond ASCII (U+0085, U+00A0, U+1680, U+2000 to U+206F, U+3000).
 _WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80\x80")
@@ -105,7 +105,7 @@ class Encoder:
         return row, self.ids[source], count
 
     def _places(self, distinct, example, start, length, raw) -> np.ndarray:
-        if len(self.known) > REMEMBERED:
+        if self.known.nbytes + self.first.nbytes + self.count.nbytes + self.ids.nbytes > REMEMBERED_BYTES:
             self._forget()
         place = np.searchsorted(self.known, distinct)
         known = np.zeros(len(distinct), dtype=bool)

@@ -66,7 +66,7 @@ def test_token_ids_are_those_of_whole_texts(encoder, rows):
 
 
 def test_words_are_forgotten_and_learned_again(encoder, monkeypatch):
-    monkeypatch.setattr("lapwise.llm.tokens.REMEMBERED", 3)
+    monkeypatch.setattr("lapwise.llm.tokens.REMEMBERED_BYTES", 100)
     for text in ("one two three four five", "six seven eight nine", "one two"):
         ids, _ = encoder.encode(texts_of(pa.array([text])))
         assert ids.tolist() == encoder.whole(text).tolist()
