@@ -26,7 +26,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = fit_toxicity(docs, training_labels(spark, sf_dir))
     if not model.fitted:
         return docs.select(*COLUMNS)
-    scored = score_toxicity(docs, model, keep=COLUMNS[1:])
+    scored = score_toxicity(docs, model, keep=COLUMNS[1:], spans=False)
     return scored.where(F.col("score") < TOXIC_FROM).select(*COLUMNS)
 
 
