@@ -1063,6 +1063,50 @@ def state_timeline_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.drop("everyone")
 
 
+# Rules that chain, lead in a circle and contradict each other.
+CHAINED_SET = {"signup": "NORMAL"}
+CHAINED_RULES = {
+    "view": {"NORMAL": "WATCHED", "WATCHED": "HELD", "HELD": "WATCHED"},
+    "click": ("WATCHED", "NORMAL"),
+    "error": {"HELD": "RED_FLAG", "WATCHED": "NORMAL"},
+    "purchase": {"NOT_STARTED": "NORMAL", "RED_FLAG": "NOT_STARTED"},
+}
+
+
+@query(
+    """
+    WITH logs AS (
+        SELECT user_id % 5 AS lane, list(event_type ORDER BY ts, user_id, event_type) AS kinds,
+            list(ts ORDER BY ts, user_id, event_type) AS times
+        FROM events WHERE event_type IN ('signup', 'view', 'click', 'error', 'purchase') GROUP BY user_id % 5),
+    folded AS (
+        SELECT *, list_reduce([['NOT_STARTED']] || list_transform(kinds, lambda k: [k]), lambda done, k: done || [CASE
+            WHEN k[1] = 'signup' THEN 'NORMAL'
+            WHEN k[1] = 'view' AND done[-1] = 'NORMAL' THEN 'WATCHED'
+            WHEN k[1] = 'view' AND done[-1] = 'WATCHED' THEN 'HELD'
+            WHEN k[1] = 'view' AND done[-1] = 'HELD' THEN 'WATCHED'
+            WHEN k[1] = 'click' AND done[-1] = 'WATCHED' THEN 'NORMAL'
+            WHEN k[1] = 'error' AND done[-1] = 'HELD' THEN 'RED_FLAG'
+            WHEN k[1] = 'error' AND done[-1] = 'WATCHED' THEN 'NORMAL'
+            WHEN k[1] = 'purchase' AND done[-1] = 'NOT_STARTED' THEN 'NORMAL'
+            WHEN k[1] = 'purchase' AND done[-1] = 'RED_FLAG' THEN 'NOT_STARTED'
+            ELSE done[-1] END]) AS states
+        FROM logs),
+    rows AS (
+        SELECT lane, i, times[i] AS ts, kinds[i] AS kind, states[i] AS before, states[i + 1] AS state
+        FROM folded, LATERAL (SELECT unnest(range(1, len(times) + 1)) AS i)),
+    changes AS (SELECT *, lead(ts) OVER (PARTITION BY lane ORDER BY i) AS end_time FROM rows WHERE state <> before)
+    SELECT lane, ts AS start_time, end_time, state, kind AS "trigger" FROM changes WHERE end_time IS NOT NULL
+    """
+)
+def state_timeline_chained_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five machines whose rules depend on each other, each cut into slices."""
+    events = table(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("lane"), "ts", "user_id", "event_type")
+    return temporal.state_timeline(
+        events, ["lane"], ["ts", "user_id", "event_type"], "event_type", CHAINED_SET, CHAINED_RULES, max_rows=500
+    )
+
+
 # --- sorting ------------------------------------------------------------------------------------
 
 

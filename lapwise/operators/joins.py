@@ -118,7 +118,10 @@ def _blocks(low: Column, high: Column) -> Column:
             F.when((first <= last) & ~odd(last), F.struct(level.alias("level"), last.alias("number"))),
         )
 
-    per_level = F.transform(F.sequence(F.lit(0), F.lit(TOP_LEVEL)), at_level)
+    # A block of a level above that of the range's length would stand out of it.
+    size = high.cast("double") - low.cast("double") + 2
+    highest = F.least(F.ceil(F.log2(size)).cast("int") + 1, F.lit(TOP_LEVEL))
+    per_level = F.transform(F.sequence(F.lit(0), highest), at_level)
     return F.filter(F.flatten(per_level), lambda block: block.isNotNull())
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapwise.operators.folds import fold_states
 from lapwise.operators.ordered import OrderedRows
 from lapwise.operators.slices import MAX_ROWS, find_slices
 
@@ -230,7 +231,7 @@ def state_changes(
     order: Sequence[str],
     signal: str,
     set_rules: Mapping[str, str],
-    conditional_rules: Mapping[str, tuple[str, str]] | None = None,
+    conditional_rules: Mapping[str, tuple[str, str] | Mapping[str, str]] | None = None,
     initial: str = "NOT_STARTED",
     state: str = "state",
     max_rows: int | None = MAX_ROWS,
@@ -238,7 +239,9 @@ def state_changes(
     """Rows of an event log at which a state machine changes state, with the new state added.
 
     ``set_rules`` maps a signal to the state it always sets, ``conditional_rules`` a signal to
-    ``(required state, new state)``. Other signals change nothing. ``order`` must be unique within a key.
+    ``(required state, new state)``, or to a mapping of several such pairs. Rules may chain, contradict each other and
+    lead in circles; a condition that is met goes before what the same signal sets. Other signals change nothing.
+    ``order`` must be unique within a key.
     """
     rows = _state_changes(
         events, keys, order, signal, set_rules, conditional_rules or {}, initial, state, max_rows
@@ -252,7 +255,7 @@ def state_timeline(
     order: Sequence[str],
     signal: str,
     set_rules: Mapping[str, str],
-    conditional_rules: Mapping[str, tuple[str, str]] | None = None,
+    conditional_rules: Mapping[str, tuple[str, str] | Mapping[str, str]] | None = None,
     initial: str = "NOT_STARTED",
     state: str = "state",
     trigger: str = "trigger",
@@ -283,20 +286,27 @@ def state_timeline(
 
 def _state_changes(
     events, keys, order, signal, set_rules, conditional_rules, initial, state, max_rows, uncut=False
+) -> OrderedRows:
+    """Conditional rules that can neither enable nor contradict each other are running values; others are folded."""
+    relevant = events.where(F.col(signal).isin([*set_rules, *conditional_rules]))
+    plain = {name: rule for name, rule in conditional_rules.items() if isinstance(rule, tuple)}
+    required = [before for before, _ in plain.values()]
+    outcomes = dict(plain.values())
+    apart = not any(outcomes[before] != after for before, after in plain.values())
+    if len(plain) < len(conditional_rules) or not apart or any(after in required for after in outcomes.values()):
+        rows = OrderedRows.of(relevant, keys, order, max_rows)
+        return fold_states(rows, signal, set_rules, conditional_rules, initial, state)
+    return _running_states(relevant, keys, order, signal, set_rules, plain, initial, state, max_rows, uncut)
+
+
+def _running_states(
+    relevant, keys, order, signal, set_rules, conditional_rules, initial, state, max_rows, uncut
 ) -> OrderedRows:
     """The fold written as running values.
 
     The last unconditional state (``_base``) decides whether a conditional rule fires. That is exact as
-    long as firing one rule can never enable or alter another, which is checked first.
+    long as firing one rule can never enable or alter another.
     """
-    required = [before for before, _ in conditional_rules.values()]
-    outcomes = dict(conditional_rules.values())
-    if any(outcomes[before] != after for before, after in conditional_rules.values()) or any(
-        after in required for after in outcomes.values()
-    ):
-        raise ValueError("conditional rules must not lead into, or contradict, each other")
-
-    relevant = events.where(F.col(signal).isin([*set_rules, *conditional_rules]))
     target = F.lit(None).cast("string")
     for name, new_state in set_rules.items():
         target = F.when(F.col(signal) == name, new_state).otherwise(target)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lapwise.functions import within_seconds
 from lapwise.operators import slices
 from lapwise.operators.ordered import OrderedRows
+from lapwise.operators.folds import signal_maps
 from lapwise.operators.temporal import (
     asof_join,
     change_points,
@@ -358,11 +359,77 @@ def test_timeline_of_no_events_has_its_columns(spark):
     assert got.columns == ["session", "start_time", "end_time", "state", "trigger"] and got.count() == 0
 
 
-def test_rules_that_enable_each_other_are_refused(spark):
-    df = frame(spark, [], "session string, t timestamp_ntz, message string")
-    for rules in (
-        {"a": ("SAFETY_CAR", "NORMAL"), "b": ("NORMAL", "VSC")},
-        {"a": ("SAFETY_CAR", "NORMAL"), "b": ("SAFETY_CAR", "VSC")},
-    ):
-        with pytest.raises(ValueError, match="conditional"):
-            state_changes(df, ["session"], ["t"], "message", SET_RULES, rules)
+def fold_any(messages, sets, rules, initial):
+    """Any rules, one message after the other."""
+    state, changes = initial, []
+    for t, message in messages:
+        rule = rules.get(message, {})
+        rule = dict([rule]) if isinstance(rule, tuple) else rule
+        new = rule.get(state, sets.get(message, state))
+        if new != state:
+            changes.append((t, message, new))
+            state = new
+    return changes
+
+
+def random_rules(generator):
+    states = ["A", "B", "C", "D"][: generator.randint(2, 4)]
+    signals = list("uvwxyz")
+    sets = {s: generator.choice(states) for s in signals[:2] if generator.random() < 0.6}
+    rules = {}
+    for s in signals[1:]:
+        pairs = {a: generator.choice(states) for a in states if generator.random() < 0.6}
+        if pairs:
+            rules[s] = next(iter(pairs.items())) if len(pairs) == 1 else pairs
+    return sets, rules, generator.choice(["A", "start"])
+
+
+def test_maps_of_random_rules_compose_to_the_fold():
+    generator = random.Random(11)
+    for _ in range(500):
+        sets, rules, initial = random_rules(generator)
+        log = [(i, generator.choice("uvwxyz")) for i in range(generator.randint(0, 40))]
+        states, maps = signal_maps(sets, rules, initial)
+        own = [maps[m] for _, m in log if m in maps]
+        cut = generator.randint(0, len(own))
+        halves = []
+        for part in (own[:cut], own[cut:]):
+            total = list(range(len(states)))
+            for step in part:
+                total = [step[s] for s in total]
+            halves.append(total)
+        end = ([(0, "", initial), *fold_any(log, sets, rules, initial)])[-1][2]
+        assert states[halves[1][halves[0][0]]] == end
+
+
+@pytest.mark.parametrize("max_rows", [None, 1, 6])
+@pytest.mark.parametrize("chunk", [2, 1024])
+def test_any_rules_against_fold(spark, monkeypatch, max_rows, chunk):
+    monkeypatch.setattr("lapwise.operators.folds.CHUNK_ROWS", chunk)
+    generator = random.Random(chunk + (max_rows or 0))
+    for _ in range(3):
+        sets, rules, initial = random_rules(generator)
+        rules["x"] = {"A": "B", "B": "A", initial: "B"}  # leads in a circle, so that rows have to be folded
+        rows, expected = [], []
+        for session in [None, *range(6)]:
+            log = [(i, generator.choice("uvwxyz-")) for i in range(generator.randint(0, 25))]
+            rows += [(session, t, m, {"n": t}) for t, m in log]
+            expected += [(session, *change) for change in fold_any(log, sets, rules, initial)]
+        generator.shuffle(rows)
+        df = frame(spark, rows, "session int, t long, message string, other map<string, long>")
+        got = state_changes(df, ["session"], ["t"], "message", sets, rules, initial, max_rows=max_rows)
+        assert got.columns == ["session", "t", "message", "other", "state"]
+        out = [(r.session, r.t, r.message, r.state) for r in got.collect()]
+        assert sorted(out, key=str) == sorted(expected, key=str)
+
+
+def test_rules_that_enable_each_other_make_a_timeline(spark):
+    log = [(0, "go"), (1, "a"), (2, "b"), (3, "a"), (4, "b"), (5, "b")]
+    df = frame(spark, [("s", at(t), m) for t, m in log], "session string, t timestamp_ntz, message string")
+    rules = {"a": {"NORMAL": "VSC", "RED_FLAG": "NORMAL"}, "b": ("VSC", "RED_FLAG")}
+    got = state_timeline(df, ["session"], ["t"], "message", SET_RULES, rules)
+    assert sorted((r["start_time"], r["end_time"], r["state"], r["trigger"]) for r in got.collect()) == [
+        (at(0), at(1), "NORMAL", "go"),
+        (at(1), at(2), "VSC", "a"),
+        (at(2), at(3), "RED_FLAG", "b"),
+    ]
