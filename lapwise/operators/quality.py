@@ -44,6 +44,22 @@ def require_key(
     return report
 
 
+def key_metrics(key: Sequence[str], violations: Mapping[str, Column] | None = None) -> dict[str, Column]:
+    """What ``key_report`` counts but duplicates, as plain aggregates: metrics of a job that does something else."""
+    return {
+        "rows": F.count(F.lit(1)),
+        **{f"null_{k}": F.count_if(F.col(k).isNull()) for k in key},
+        **{name: F.count_if(condition) for name, condition in (violations or {}).items()},
+    }
+
+
+def require_written_key(metrics: Mapping[str, int], written: DataFrame, key: Sequence[str], name: str) -> dict[str, int]:
+    """Raise like ``require_key``: from the ``key_metrics`` of the job that wrote the table, and its key columns."""
+    keys = written.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
+    surplus = keys.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0).cast("long"))).first()[0]
+    return _required({"rows": metrics["rows"], "duplicate_rows": surplus, **metrics}, name)
+
+
 def checked_report(
     df: DataFrame, key: Sequence[str], name: str, violations: Mapping[str, Column] | None = None
 ) -> DataFrame:
@@ -54,7 +70,10 @@ def checked_report(
 
 
 def _passed(report: DataFrame, name: str) -> dict[str, int]:
-    report = report.first().asDict()
+    return _required(report.first().asDict(), name)
+
+
+def _required(report: dict[str, int], name: str) -> dict[str, int]:
     broken = {check: count for check, count in report.items() if check != "rows" and count}
     if broken:
         raise QualityError(f"{name}: " + ", ".join(f"{check} = {count}" for check, count in broken.items()))

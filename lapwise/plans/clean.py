@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapwise.functions import is_complete, parse_utc
-from lapwise.operators.quality import require_key, require_periods
+from lapwise.operators.quality import key_metrics, require_key, require_periods, require_written_key
 from lapwise.operators.temporal import state_timeline
 from lapwise.sources.read import inline_arrays
 
@@ -170,3 +170,18 @@ def check(dataset: str, df: DataFrame) -> DataFrame:
     if dataset == "race_status":
         require_periods(df, "start_time", "end_time", dataset)
     return df
+
+
+def gate_metrics(dataset: str) -> dict[str, Column]:
+    """What the job that writes a dataset is to count for its gate."""
+    gate = gate_of(dataset)
+    return key_metrics(gate.key, gate.violations) if gate else {}
+
+
+def check_written(dataset: str, written: DataFrame, metrics: dict[str, int]) -> None:
+    """Raise if a written dataset breaks its gate; what its writing counted is not counted again."""
+    gate = gate_of(dataset)
+    if gate is not None:
+        require_written_key(metrics, written, gate.key, dataset)
+    if dataset == "race_status":
+        require_periods(written, "start_time", "end_time", dataset)

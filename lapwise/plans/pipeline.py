@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import partial
 
@@ -10,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lapwise.plans import clean, mart
 from lapwise.session import together
 from lapwise.sources import schemas
-from lapwise.sources.read import read_parquet, read_records, register_tables
-from lapwise.sources.write import export_counts, export_csv, export_parquet, materialise, write_processed
+from lapwise.sources.read import read_records, register_tables
+from lapwise.sources.write import discard, export_counts, export_csv, export_parquet, materialise, publish, write_processed
 
 # Dataset: schema of the landed records (None keeps all columns found) and cleaning function.
 DATASETS = {
@@ -33,33 +34,48 @@ def process(
     multi_line: bool = True,
     partition_by: Sequence[str] = (),
 ) -> dict[str, str]:
-    """Clean each landed dataset, gate it and write it as Parquet; return the paths.
+    """Clean each landed dataset, write it as Parquet and gate it; return the paths.
 
-    ``raw`` maps datasets to their landed files. ``keep_extra`` keeps unknown circuit-weather columns.
-    A dataset that fails its gate raises before anything written earlier is replaced.
+    ``raw`` maps datasets to their landed files. ``keep_extra`` keeps unknown circuit-weather columns. Landed records
+    are parsed once: the job that writes a dataset, beside the tables in use, also counts what its gate asks for, and
+    only uniqueness is looked up in what was written. If all gates hold, the new tables take the place of those in use;
+    if one does not, it raises and these stay as they are.
     """
 
-    def job(dataset: str) -> str:
+    def job(dataset: str) -> tuple[str, DataFrame]:
         schema, cleaned = DATASETS[dataset]
         if keep_extra and dataset == "circuit_weather":
             schema = None
         records = read_records(spark, raw[dataset], schema, multi_line)
-        return _write(dataset, cleaned(records), folder, partition_by)
-
-    paths = together({dataset: partial(job, dataset) for dataset in raw})
-    if "race_control" in paths:
-        status = clean.race_status(read_parquet(spark, paths["race_control"]))
-        paths["race_status"] = _write("race_status", status, folder, partition_by)
+        return _stage(dataset, cleaned(records), stage, partition_by)
+
+    # A folder beside, for this run alone.
+    stage = f"{folder.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    staged: dict[str, tuple[str, DataFrame]] = {}
+    try:
+        staged = together({dataset: partial(job, dataset) for dataset in raw})
+        if "race_control" in staged:
+            status = clean.race_status(staged["race_control"][1])
+            staged["race_status"] = _stage("race_status", status, stage, partition_by)
+    except Exception:
+        discard(spark, stage)
+        raise
+    paths = {}
+    for dataset, (path, df) in staged.items():
+        paths[dataset] = f"{folder}/{dataset}"
+        publish(spark, path, paths[dataset], partition_by if "session_key" in df.columns else [])
+    discard(spark, stage)
     return paths
 
 
-def _write(dataset: str, df: DataFrame, folder: str, partition_by: Sequence[str]) -> str:
-    path = f"{folder}/{dataset}"
-    sessions = "session_key" in df.columns
-    # The gate reads only the columns it checks.
-    checked = clean.check(dataset, df)
-    write_processed(checked, path, ["session_key"] if sessions else [], partition_by if sessions else [])
-    return path
+def _stage(dataset: str, df: DataFrame, stage: str, partition_by: Sequence[str]) -> tuple[str, DataFrame]:
+    """Write a dataset and hold what was written against its gate; its path and content."""
+    path = f"{stage}/{dataset}"
+    sessions = ["session_key"] if "session_key" in df.columns else []
+    metrics = write_processed(df, path, sessions, partition_by if sessions else [], clean.gate_metrics(dataset))
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    clean.check_written(dataset, written, metrics)
+    return path, written
 
 
 def build(spark: SparkSession, paths: Mapping[str, str], folder: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,9 +31,13 @@ def land_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> boo
 
 
 def write_processed(
-    df: DataFrame, path: str, cluster_by: Sequence[str] = (), partition_by: Sequence[str] = ()
-) -> None:
-    """Replace processed Parquet.
+    df: DataFrame,
+    path: str,
+    cluster_by: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
+    metrics: Mapping[str, Column] | None = None,
+) -> dict:
+    """Replace processed Parquet; return the ``metrics`` (aggregates by name) over what the same job has written.
 
     ``cluster_by`` gathers rows with equal values into few files; sizes stay even, as oversized values are
     spread over several tasks. ``partition_by`` makes a folder per value and replaces only the folders of
@@ -41,8 +46,52 @@ def write_processed(
     gather = [*partition_by, *(c for c in cluster_by if c not in partition_by)]
     if gather:
         df = df.hint("rebalance", *gather)
+    observation = Observation() if metrics else None
+    if observation is not None:
+        # On top of the shuffle, in the tasks that write: each of these counts once, however often others are repeated.
+        df = df.observe(observation, *[aggregate.alias(name) for name, aggregate in metrics.items()])
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
+    return observation.get if observation is not None else {}
+
+
+def publish(spark: SparkSession, staged: str, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Put a staged table in the place of the one at ``path``, or of its partitions that the staged one has.
+
+    Folders are renamed, which file systems do at once and object stores by copying. No data is read.
+    """
+    java = spark._jvm.org.apache.hadoop.fs.Path
+    source, target = java(staged), java(path)
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def replace(new, old) -> None:
+        before = java(f"{old.getParent().toString()}/_replaced-{uuid.uuid4().hex}")
+        if not system.exists(old.getParent()):
+            system.mkdirs(old.getParent())
+        if system.exists(old) and not system.rename(old, before):
+            raise RuntimeError(f"{old} can not be replaced")
+        if not system.rename(new, old):
+            raise RuntimeError(f"{new} can not be moved to {old}")
+        system.delete(before, True)
+
+    if not partition_by:
+        replace(source, target)
+        return
+    folders = [source]
+    for _ in partition_by:
+        folders = [e.getPath() for f in folders for e in system.listStatus(f) if e.isDirectory()]
+    for folder in folders:
+        within = folder.toUri().getPath()[len(source.toUri().getPath()) :]
+        replace(folder, java(f"{path}{within}"))
+    if not system.exists(target):
+        system.mkdirs(target)
+    system.delete(source, True)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:

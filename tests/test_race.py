@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import os
 import statistics
 
 import pytest
@@ -270,3 +271,39 @@ def test_export(spark, lap_mart, tmp_path):
     expected = sorted(map(str, flat.collect()))
     assert sorted(map(str, spark.read.parquet(str(tmp_path / "lap_mart.parquet")).collect())) == expected
     assert sorted(map(str, read_csv(spark, str(tmp_path / "lap_mart.csv"), flat.schema).collect())) == expected
+
+
+def test_landed_records_are_parsed_once_and_counted_while_written(spark, tmp_path, monkeypatch):
+    """Rows that leave the parser are as many as there are records, gate and writing together."""
+    parsed = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(key):
+        parsed.add(1)
+        return key
+
+    read = pipeline.read_records
+
+    def reading(*args):
+        records = read(*args)
+        return records.withColumn("session_key", counted.asNondeterministic()("session_key"))
+
+    monkeypatch.setattr(pipeline, "read_records", reading)
+    raw = {name: path for name, path in race.land(tmp_path).items() if name in ("laps", "pit_stops")}
+    paths = pipeline.process(spark, raw, str(tmp_path / "p"))
+    assert parsed.value == sum(spark.read.parquet(path).count() for path in paths.values()) > 0
+
+
+@pytest.mark.parametrize("partition_by", [(), ("session_key",)])
+def test_a_failing_gate_leaves_the_tables_in_use(spark, tmp_path, partition_by):
+    raw, folder = race.land(tmp_path), str(tmp_path / "p")
+    paths = pipeline.process(spark, raw, folder, partition_by=partition_by)
+    before = {name: sorted(spark.read.parquet(path).collect(), key=str) for name, path in paths.items()}
+    (tmp_path / "broken.json").write_text(json.dumps(race.laps() + race.laps()[:1]))
+    with pytest.raises(QualityError, match="laps: duplicate_rows = 1"):
+        pipeline.process(spark, raw | {"laps": str(tmp_path / "broken.json")}, folder, partition_by=partition_by)
+    assert {name: sorted(spark.read.parquet(path).collect(), key=str) for name, path in paths.items()} == before
+    assert not [name for name in os.listdir(tmp_path) if "staged" in name]
+    # And a run that holds replaces them.
+    pipeline.process(spark, raw, folder, partition_by=partition_by)
+    assert {name: sorted(spark.read.parquet(path).collect(), key=str) for name, path in paths.items()} == before
