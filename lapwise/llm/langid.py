@@ -20,16 +20,23 @@ from lapwise.llm.samples import bounded_sample
 from lapwise.llm.texts import SLICE_BYTES, Texts, slices
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters and numerals such as "²" or "Ⅷ".
+_LETTER_OR_NUMERAL = re.compile(r"[^\W\d_]")
 WIDTHS = (1, 2, 3)
 BUCKETS = 1 << 14
 #: Labelled rows per language the model is fitted on.
 SAMPLE_ROWS = 20_000
 SMOOTHING = 0.5
+#: In place of a bucket: the number of rows.
+ROWS = -1
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in _LETTER_OR_NUMERAL.finditer(text))
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """Languages in order, their log priors, and log probabilities of each bucket (languages x buckets)."""
@@ -116,20 +123,19 @@ def fit_language_model(
                 total[lang] = total.get(lang, 0) + np.bincount(bucket[mine], weights=times[mine], minlength=buckets)
                 rows_seen[lang] = rows_seen.get(lang, 0) + int(own.sum())
         for lang, counts in total.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang]), pa.array([rows_seen[lang]]), pa.array([counts.astype(np.int64).tolist()])],
-                names=["lang", "rows", "counts"],
-            )
-
-    partial = rows.mapInArrow(count, "lang string, rows long, counts array<long>")
-    by_bucket = partial.select("lang", F.posexplode("counts").alias("bucket", "times")).where("times > 0")
-    sums = by_bucket.groupBy("lang", "bucket").agg(F.sum("times").alias("times")).toPandas()
-    seen = partial.groupBy("lang").agg(F.sum("rows").alias("rows")).toPandas()
+            # Rows are counted beside the buckets, under a number that is none.
+            found = np.flatnonzero(counts)
+            bucket, times = np.append(found, ROWS), np.append(counts[found], rows_seen[lang]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(bucket)), pa.array(bucket), pa.array(times)], names=["lang", "bucket", "times"])
+
+    partial = rows.mapInArrow(count, "lang string, bucket long, times long")
+    sums = partial.groupBy("lang", "bucket").agg(F.sum("times").alias("times")).toPandas()
+    seen, sums = sums[sums["bucket"] == ROWS], sums[sums["bucket"] != ROWS]
     languages = tuple(sorted(seen["lang"]))
     place = {lang: i for i, lang in enumerate(languages)}
     counts = np.full((len(languages), buckets), SMOOTHING)
     prior = np.zeros(len(languages))
-    for lang, n in zip(seen["lang"], seen["rows"], strict=True):
+    for lang, n in zip(seen["lang"], seen["times"], strict=True):
         prior[place[lang]] = n
     if len(languages):
         np.add.at(counts, ([place[x] for x in sums["lang"]], sums["bucket"].to_numpy(dtype=np.int64)), sums["times"].to_numpy(dtype=float))
@@ -163,7 +169,7 @@ def identify_language(
                 chosen = logs.argmax(axis=1)
                 posterior = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
                 for i in range(n):
-                    if LETTER.search(texts.raw(i).decode("utf-8", "replace")):
+                    if has_letter(texts.raw(i).decode("utf-8", "replace")):
                         lang[i], best[i] = m.languages[chosen[i]], posterior[i]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang), pa.array(best)], names=["id", "lang_pred", "score"])
 

@@ -1,5 +1,6 @@
 """Language identification, quality and toxicity: known answers, odd rows, held-out accuracy."""
 
+import math
 import random
 from itertools import product
 
@@ -120,6 +121,39 @@ def test_attention_finds_the_telling_passage():
     assert np.allclose(np.add.reduceat(attention, bounds[:-1]), 1)
 
 
+def test_posterior_agrees_with_brute_force(spark):
+    """Naive Bayes spelled out n-gram by n-gram, over words for all of the documents."""
+    rng = random.Random(12)
+    vocabulary = {"aa": ["the", "and", "Ünit", "on"], "bb": ["der", "und", "über", "ein"], "cc": ["le", "et", "la", "été"]}
+    train = [(i, " ".join(rng.choices(vocabulary[lang], k=rng.randint(1, 9))), lang) for i, lang in enumerate(rng.choices(sorted(vocabulary), [5, 3, 1], k=60))]
+    probes = [(100 + i, " ".join(rng.choices(sum(vocabulary.values(), []), k=rng.randint(1, 5)))) for i in range(30)] + [(1, "x 1"), (2, "THE  the\n")]
+    schema = "doc_id long, text string, lang string"
+    model = langid.fit_language_model(spark.createDataFrame(train, schema).repartition(3), buckets=64)
+    out = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify_language(frame(spark, probes), model).collect()}
+
+    def grams(text):
+        row, bucket, times = langid.gram_counts(texts_of(pa.array([text])), 64)
+        return [int(b) for b, t in zip(bucket, times) for _ in range(t)]
+
+    counts, rows = {}, {}
+    for _, text, lang in train:
+        rows[lang] = rows.get(lang, 0) + 1
+        for b in grams(text):
+            counts.setdefault(lang, [0.5] * 64)[b] += 1
+    for doc_id, text in probes:
+        logs = {
+            lang: math.log(rows[lang] / len(train)) + sum(math.log(counts[lang][b] / sum(counts[lang])) for b in grams(text)) for lang in rows
+        }
+        best = max(sorted(logs), key=logs.get)
+        share = 1 / sum(math.exp(v - logs[best]) for v in logs.values())
+        assert out[doc_id][0] == best and out[doc_id][1] == pytest.approx(share)
+
+
+@pytest.mark.parametrize(("text", "letter"), [("²", False), ("½ ① Ⅷ 12 _", False), ("² é", True), ("٣", False), ("字", True), ("", False)])
+def test_numerals_are_no_letters(text, letter):
+    assert langid.has_letter(text) is letter
+
+
 @pytest.mark.parametrize(("name", "label", "least"), [("op8_quality", "quality", 0.9), ("op9_toxicity", "toxic", 0.85)])
 def test_held_out_labels(spark, sf_dir, name, label, least):
     out = QUERIES[name](spark, sf_dir)
