@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import sha256
 
 import pyarrow as pa
@@ -75,33 +76,45 @@ _BY_LETTERS = {letters: rank for rank, letters in enumerate(sorted({c[5] for c i
 _REPAIRED = "conv_id {kind}, place long, edit string, turn {turn}, was string, fault string, role string, text string"
 
 
+@lru_cache(1 << 14)
+def _step(cost: tuple, rank: tuple, initial: str, fault: str | None) -> tuple[tuple, tuple, bytes]:
+    """Costs, ranks and choices of all states after a row. Costs differ by little from state to state, so that there are
+    few cases, and a worker remembers them."""
+    dear = TRUNCATED if fault == CUT else 0
+    best: list[tuple | None] = [None] * 4
+    for k in _DELETIONS if fault in (BLANK, DUPLICATE) else _OF_ROW[initial]:
+        before, letter, _, after, inserted, letters = _CHOICES[k]
+        if cost[before] >= _FAR:
+            continue
+        own = DELETE if letter == "D" else dear + (RETAG if letter == "R" else 0) + INSERT * len(inserted)
+        found = (cost[before] + own, rank[before], _BY_LETTERS[letters], k)
+        if best[after] is None or found < best[after]:
+            best[after] = found
+    # Ranks only compare the lists that lead to the states of one row, whatever they cost.
+    ranks = {order: i for i, order in enumerate(sorted({b[1:3] for b in best if b}))}
+    return (
+        tuple(b[0] if b else _FAR for b in best),
+        tuple(ranks[b[1:3]] if b else 0 for b in best),
+        bytes(b[3] if b else _NO_CHOICE for b in best),
+    )
+
+
 class Repair:
     """The state of one conversation while its rows go by."""
 
     def __init__(self, spool_bytes: int = SPOOL_BYTES):
-        self.cost = [0, _FAR, _FAR, _FAR]
-        self.rank = [0, 0, 0, 0]
+        self.cost: tuple[int, ...] = (0, _FAR, _FAR, _FAR)
+        self.rank: tuple[int, ...] = (0, 0, 0, 0)
         self.choices = tempfile.SpooledTemporaryFile(max_size=spool_bytes)
         self.rows = 0
 
     def add(self, initial: str, fault: str | None) -> None:
         """The next row: the initial of its role, and its fault."""
-        must_go = fault in (BLANK, DUPLICATE)
-        dear = TRUNCATED if fault == CUT else 0
-        best: list[tuple | None] = [None] * 4
-        for k in _DELETIONS if must_go else _OF_ROW.get(initial, _OF_ROW[""]):
-            before, letter, _, after, inserted, letters = _CHOICES[k]
-            if self.cost[before] >= _FAR:
-                continue
-            step = DELETE if letter == "D" else dear + (RETAG if letter == "R" else 0) + INSERT * len(inserted)
-            found = (self.cost[before] + step, self.rank[before], _BY_LETTERS[letters], k)
-            if best[after] is None or found < best[after]:
-                best[after] = found
-        # Ranks only compare the lists that lead to the states of one row, whatever they cost.
-        ranks = {order: i for i, order in enumerate(sorted({b[1:3] for b in best if b}))}
-        self.cost = [b[0] if b else _FAR for b in best]
-        self.rank = [ranks[b[1:3]] if b else 0 for b in best]
-        self.choices.write(bytes(b[3] if b else _NO_CHOICE for b in best))
+        least = min(self.cost)
+        ahead = tuple(min(c - least, _FAR) for c in self.cost)
+        step, self.rank, chosen = _step(ahead, self.rank, initial if initial in _OF_ROW else "", fault)
+        self.cost = tuple(min(least + c, _FAR) for c in step)
+        self.choices.write(chosen)
         self.rows += 1
 
     def finish(self) -> tuple[int, str, tempfile.SpooledTemporaryFile]:
