@@ -110,7 +110,7 @@ def fingerprint(spark: SparkSession, path: str) -> str:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = where.getFileSystem(spark._jsc.hadoopConfiguration())
     # As one text, so that the number of calls does not go with the number of files.
-    listed = f"{system.getFileStatus(where).toString()} {spark._jvm.java.util.Arrays.toString(system.listStatus(where))}"
+    listed = f"{system.getFileStatus(where).toString()} {spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(system.listStatus(where))}"
     return hashlib.sha256(re.sub(r"access_time=\d+", "", listed).encode()).hexdigest()
 
 

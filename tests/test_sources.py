@@ -243,3 +243,12 @@ def test_nulls_sort_last_both_ways(spark):
     df = spark.createDataFrame([(None,), (2,), (1,)], "a int")
     assert [r[0] for r in sort_nulls_last(df, "a").collect()] == [1, 2, None]
     assert [r[0] for r in sort_nulls_last(df, "-a").collect()] == [2, 1, None]
+
+
+def test_fingerprint_follows_the_files_of_a_table(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    first = read.fingerprint(spark, str(tmp_path / "t"))
+    spark.read.parquet(str(tmp_path / "t")).count()
+    assert read.fingerprint(spark, str(tmp_path / "t")) == first
+    spark.range(5).write.mode("append").parquet(str(tmp_path / "t"))
+    assert read.fingerprint(spark, str(tmp_path / "t")) != first
