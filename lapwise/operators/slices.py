@@ -5,8 +5,9 @@ table, its rows are cut into *slices*: consecutive pieces of the ordering. Windo
 (key, slice), and what a slice needs from the slices before or after it is carried over through a
 summary with one row per slice.
 
-Which keys to cut is found by counting. Every collected cell holds more than 1/MAX_CELLS of all rows,
-so there are never more than MAX_CELLS of them, whatever the size of the table.
+Which keys to cut is found by counting, where by quantile sketches of all of them, made in one pass. Every key or
+value that is collected holds more than 1/MAX_CELLS of all rows, so there are never more than MAX_CELLS of them,
+whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -25,13 +26,17 @@ from lapwise.functions import interval_micros
 # Rows of one key that a task sorts without trouble, spilling if it has to.
 MAX_ROWS = 10_000_000
 MAX_CELLS = 16_384
-SPLIT_BITS = 8
+# Slices per MAX_ROWS rows of a key: some room for sketches, which are not exact, and for values that repeat.
+FINENESS = 3
 # Up to this many slices are listed, and their summaries broadcast if of bounded width.
-MAX_LISTED_SLICES = 20_000
+MAX_LISTED_SLICES = 50_000
+# Items that a sketch keeps per level; all of them and exact below the least.
+LEAST_SKETCH, LARGEST_SKETCH = 1_024, 32_768
 
 # Bytes of text that one axis looks at, and the axes a text column gets.
 TEXT_BYTES, TEXT_AXES = 7, 8
 
+_NULL_PLACE = -(2**63)
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -127,11 +132,18 @@ def large_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame
     return sizes.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit"))
 
 
-def _distance(position: Column, low: int, ignored_bits: int) -> Column:
-    """Distance from the lowest position; null where it does not fit, which it does for all that is cut."""
-    if ignored_bits:
-        position, low = F.shiftright(position, ignored_bits), low >> ignored_bits
-    return F.try_subtract(position, F.lit(low))
+def _place(position: Column) -> Column:
+    """Position with nulls first, below all others; the two lowest whole numbers share one."""
+    return F.when(position.isNull(), F.lit(_NULL_PLACE)).otherwise(F.greatest(position, F.lit(_NULL_PLACE + 1)))
+
+
+def _slice_of(place: Column, bounds: Column, most: int) -> Column:
+    """How many of the ascending bounds, at most ``most``, are not above the place, by halving; -1 without bounds."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
+    # Beyond the last bound nothing is read, which counts as not passed.
+    passed = lambda found, step: F.get(bounds, found + step - 1) <= place
+    found = F.aggregate(steps, F.lit(0), lambda found, step: F.when(passed(found, step), found + step).otherwise(found))
+    return F.when(bounds.isNull(), F.lit(-1)).otherwise(found).cast("long")
 
 
 @dataclass(frozen=True)
@@ -140,9 +152,8 @@ class Slices:
 
     keys: tuple[str, ...]
     axes: tuple[tuple[str, int], ...] = ()
-    # Per axis: the lowest position, and the low bits left out of account.
-    origins: tuple[tuple[int, int], ...] = ()
-    levels: tuple[tuple[int, int, DataFrame], ...] = ()
+    # Per axis: keys and the slices before, with the ``_bounds`` between their slices; and the most bounds of any.
+    levels: tuple[tuple[DataFrame, int], ...] = ()
     # All slices, if they are few enough to be listed.
     listed: DataFrame | None = None
     fine_enough: bool = True
@@ -150,27 +161,21 @@ class Slices:
     @property
     def columns(self) -> list[str]:
         """Names of the slice columns; comparing them in order compares the slices."""
-        return [f"_slice_{i}" for i in range(len(self.axes))] if self.levels else []
+        return [f"_slice_{i}" for i in range(len(self.levels))]
 
     def tag(self, df: DataFrame) -> DataFrame:
         """Add the slice columns; rows of keys that are not cut get -1."""
-        if not self.levels:
-            return df
-        distances = {f"_axis_{i}": _distance(position(df, *a), *self.origins[i]) for i, a in enumerate(self.axes)}
-        return self._refine(df.withColumns(distances)).drop(*distances)
-
-    def _refine(self, df: DataFrame) -> DataFrame:
-        df = df.withColumns({c: F.lit(-1).cast("long") for c in self.columns})
-        for axis, shift, cells in self.levels:
-            pairs = [(c, f"_cell{c}") for c in [*self.keys, *self.columns]]
-            marked = cells.select(*[F.col(c).alias(d) for c, d in pairs], F.lit(True).alias("_split"))
-            start = F.coalesce(F.col(f"_axis_{axis}"), F.lit(0))
-            start = F.shiftleft(F.shiftright(start, shift), shift)
-            df = (
-                df.join(F.broadcast(marked), same_keys(pairs), "left")
-                .withColumn(f"_slice_{axis}", F.when(F.col("_split"), start).otherwise(F.col(f"_slice_{axis}")))
-                .drop("_split", *[d for _, d in pairs])
-            )
+        places = {f"_axis_{i}": _place(position(df, *self.axes[i])) for i in range(len(self.levels))}
+        return self.refine(df.withColumns(places)).drop(*places) if places else df
+
+    def refine(self, df: DataFrame, first: int = 0) -> DataFrame:
+        """``tag`` for rows that have the places along the axes, and the slice columns before ``first``."""
+        for i, (bounds, most) in enumerate(self.levels[first:], first):
+            pairs = [(c, f"_cell{c}") for c in [*self.keys, *self.columns[:i]]]
+            cells = bounds.withColumnsRenamed(dict(pairs))
+            number = _slice_of(F.col(f"_axis_{i}"), F.col("_bounds"), most)
+            df = df.join(F.broadcast(cells), same_keys(pairs), "left").withColumn(f"_slice_{i}", number)
+            df = df.drop("_bounds", *[d for _, d in pairs])
         return df
 
     def carry(
@@ -221,9 +226,11 @@ def find_slices(
 ) -> Slices:
     """Count rows per key and cut the keys that exceed ``max_rows``; ``None`` skips the counting.
 
-    Usually one pass over the key and order columns finds nothing to cut. Otherwise each further pass
-    splits the oversized cells of the one before into up to 2**SPLIT_BITS parts, first along
-    ``order[0]`` and, where rows tie, along the next order column.
+    Usually one pass over the key columns finds nothing to cut. Otherwise another one makes a quantile sketch of
+    ``order[0]`` per large key, and slices start at quantiles. Where a value may be too frequent, slices are counted,
+    and those of too many rows of one value are cut along the next order column in the same way. Sketches are exact
+    up to a thousand rows; beyond, slices are larger than meant by the sketch's error, at most some limits even where
+    one key has all rows.
     """
     keys = tuple(keys)
     axes = axes_of(df, order)
@@ -239,49 +246,71 @@ def find_slices(
     if not large:
         return Slices(keys)
 
-    limit = large[0]["_limit"]
-    key_schema = T.StructType([T.StructField(k, df.schema[k].dataType, True) for k in keys])
-    large_keys = local_rows(df.sparkSession, [tuple(r[k] for k in keys) for r in large], key_schema)
-    pairs = [(k, f"_large_{k}") for k in keys]
-    large_keys = large_keys.withColumnsRenamed(dict(pairs))
-    rows = df.select(*keys, *[position(df, *axis).alias(f"_axis_{i}") for i, axis in enumerate(axes)])
-    rows = rows.join(F.broadcast(large_keys), same_keys(pairs)).drop(*[d for _, d in pairs])
-
-    ends = [f(f"_axis_{i}") for i in range(len(axes)) for f in (F.min, F.max)]
-    ends = [end or 0 for end in rows.agg(*ends).first()]
-    # Distances have to fit into 64 bits: values that span more lose their two lowest bits.
-    origins = tuple((low, 0 if high - low < 2**62 else 2) for low, high in zip(ends[::2], ends[1::2]))
-    widths = [(high >> bits) - (low >> bits) for (low, bits), high in zip(origins, ends[1::2])]
-    rows = rows.withColumns({f"_axis_{i}": _distance(F.col(f"_axis_{i}"), *o) for i, o in enumerate(origins)})
-
-    columns = [f"_slice_{i}" for i in range(len(axes))]
-    schema = T.StructType(key_schema.fields + [T.StructField(c, T.LongType(), False) for c in columns])
-    cells = [tuple(r[k] for k in keys) + (-1,) * len(axes) for r in large]
-    levels: list[tuple[int, int, DataFrame]] = []
-    found: list = []
-    for axis, width in enumerate(widths):
-        if any(bits for _, bits in origins[:axis]):
-            break  # rows alike to an axis that leaves out bits need not be alike to the order
-        # Cells of one value can only be split along the next axis. The first axis always gets a level:
-        # its slice column tells which keys are cut.
-        splittable, single = cells, []
-        while splittable and (width or not levels):
-            shift = max(width.bit_length() - SPLIT_BITS, 0)
-            levels.append((axis, shift, local_rows(df.sparkSession, splittable, schema)))
-            tagged = Slices(keys, tuple(axes), origins, tuple(levels))._refine(rows)
-            # Rows with a null sort first, where zero is.
-            values = F.coalesce(F.col(f"_axis_{axis}"), F.lit(0))
-            sizes = tagged.groupBy(*keys, *columns).agg(
-                F.count(F.lit(1)).alias("_rows"), (F.max(values) - F.min(values)).alias("_width")
-            )
-            # The largest first: there are fewer oversized cells than rows taken.
-            found = sizes.orderBy(F.desc("_rows")).limit(max(MAX_LISTED_SLICES, MAX_CELLS) + 1).collect()
-            oversized = {tuple(r)[:-2]: r["_width"] for r in found if r["_rows"] > limit}
-            splittable = [cell for cell, cell_width in oversized.items() if cell_width]
-            single = [cell for cell, cell_width in oversized.items() if not cell_width]
-            width = max(oversized.values(), default=0)
-        cells = splittable + single
-    listed = None
-    if len(found) <= MAX_LISTED_SLICES:
-        listed = local_rows(df.sparkSession, [tuple(r)[:-2] for r in found], schema)
-    return Slices(keys, tuple(axes), origins, tuple(levels), listed, fine_enough=not cells)
+    spark, limit = df.sparkSession, large[0]["_limit"]
+    fields = [T.StructField(k, df.schema[k].dataType, True) for k in keys]
+    cells = {tuple(r[k] for k in keys): r["_rows"] for r in large}
+    places = [_place(position(df, *axis)).alias(f"_axis_{i}") for i, axis in enumerate(axes)]
+    rows = _rows_of(df.select(*keys, *places), keys, local_rows(spark, list(cells), T.StructType(fields)))
+    levels: list[tuple[DataFrame, int]] = []
+    done: list[tuple] = []
+    for i in range(len(axes)):
+        names = [f.name for f in fields]
+        bounds, frequent = _bounds(rows, names, f"_axis_{i}", max(cells.values()), limit)
+        schema = T.StructType([*fields, T.StructField("_bounds", T.ArrayType(T.LongType()))])
+        most = max(len(b) for b in bounds.values())
+        levels.append((local_rows(spark, [(*cell, b) for cell, b in bounds.items()], schema), most))
+        fields = [*fields, T.StructField(f"_slice_{i}", T.LongType(), False)]
+        if not frequent:
+            # Every bound is the place of some row, so that no slice is empty.
+            done += [(*cell, n) for cell, b in bounds.items() for n in range(1, len(b) + 1)]
+            cells = {}
+            break
+        names.append(f"_slice_{i}")
+        rows = Slices(keys, tuple(axes), tuple(levels)).refine(rows, i)
+        sizes = {tuple(r)[:-1]: r["_rows"] for r in group_sizes(rows, names).collect()}
+        cells = {cell: n for cell, n in sizes.items() if n > limit and cell in frequent}
+        done += [cell for cell in sizes if cell not in cells]
+        # Rows of the place that two numbers share can not be told apart by what follows.
+        shared = any(bounds[cell[:-1]][cell[-1] - 1] == _NULL_PLACE + 1 for cell in cells)
+        if not cells or shared:
+            break
+        if i + 1 < len(axes):
+            rows = _rows_of(rows, names, local_rows(spark, list(cells), T.StructType(fields)))
+    done = [(*cell, *[-1] * (len(fields) - len(cell))) for cell in [*done, *cells]]
+    listed = local_rows(spark, done, T.StructType(fields)) if len(done) <= MAX_LISTED_SLICES else None
+    return Slices(keys, tuple(axes), tuple(levels), listed, fine_enough=not cells)
+
+
+def _rows_of(rows: DataFrame, names: Sequence[str], cells: DataFrame) -> DataFrame:
+    pairs = [(c, f"_large_{c}") for c in names]
+    return rows.join(F.broadcast(cells.withColumnsRenamed(dict(pairs))), same_keys(pairs)).drop(*[d for _, d in pairs])
+
+
+def _bounds(
+    rows: DataFrame, names: Sequence[str], axis: str, most_rows: int, limit: int
+) -> tuple[dict[tuple, list[int]], set[tuple]]:
+    """Per cell the places where its slices start, and the slices (cell and number) of a place that may be frequent.
+
+    A place with more than ``limit`` rows spans two quantiles at least, and gets a slice of its own.
+    """
+    parts = -(-FINENESS * most_rows // limit)
+    kept = min(max(LEAST_SKETCH, 1 << (8 * parts).bit_length()), LARGEST_SKETCH)
+    # Ranks have to be constants, so all cells get those that the largest needs, and pick from them.
+    ranks = ",".join(repr(n / (4 * parts)) for n in range(4 * parts))
+    sketched = rows.groupBy(*names).agg(
+        F.kll_sketch_agg_bigint(axis, F.lit(kept)).alias("_sketch"), F.count(F.lit(1)).alias("_rows")
+    )
+    all_quantiles = F.expr(f"kll_sketch_get_quantile_bigint(_sketch, CAST(split('{ranks}', ',') AS ARRAY<DOUBLE>))")
+    own = F.least(F.ceil(F.col("_rows") * FINENESS / limit), F.lit(parts)).cast("int")
+    # The first of every _parts-th of the list; a filter takes the list once, where a lambda would take it every time.
+    picked = F.expr(
+        f"filter(_all, (v, i) -> i = 0 OR i * _parts div {4 * parts}L > (i - 1) * _parts div {4 * parts}L)"
+    )
+    found = sketched.select(*names, own.alias("_parts"), all_quantiles.alias("_all")).select(*names, picked.alias("_q"))
+    bounds, frequent = {}, set()
+    for row in found.collect():
+        cell, quantiles = tuple(row)[:-1], row["_q"]
+        twice = {a for a, b in zip(quantiles, quantiles[1:]) if a == b}
+        bounds[cell] = sorted({*quantiles, *(v + 1 for v in twice if v < 2**63 - 1)})
+        frequent |= {(*cell, n) for n, v in enumerate(bounds[cell], 1) if v in twice}
+    return bounds, frequent
