@@ -37,15 +37,23 @@ def unescape(text: Column) -> Column:
 
 
 def chat_events(rows: DataFrame) -> DataFrame:
-    """The event log of finished rows (conv_id, turn, role, text): each is a message, streamed as two deltas.
+    """The event log of finished rows (conv_id, turn, role, text): how each of them, a message, came to be.
 
-    Equal rows are messages of their own. ``seq`` is the turn and the number of the delta.
+    By the hash of the row, a message is streamed as two deltas; or the whole text and a false start are thrown away
+    by a regeneration, whose text a delta completes; or a first half is replaced by an edit. Equal rows are messages
+    of their own. ``seq`` is the turn and the number of the event.
     """
     half = F.expr("CAST(char_length(text) / 2 AS INT)")
-    halves = F.array(F.expr("left(text, half)"), F.expr("substring(text, half + 1)"))
+    first, second = F.expr("left(text, half)"), F.expr("substring(text, half + 1)")
+    events = lambda *steps: F.array(*[F.struct(F.lit(kind).alias("kind"), text.alias("text")) for kind, text in steps])
+    streamed = events((DELTA, first), (DELTA, second))
+    regenerated = events((DELTA, F.col("text")), (DELTA, first), (REGENERATE, first), (DELTA, second))
+    edited = events((DELTA, first), (EDIT, F.col("text")))
+    course = F.pmod(F.xxhash64("conv_id", "turn", "role", "text"), F.lit(3))
+    steps = F.when(course == 0, streamed).when(course == 1, regenerated).otherwise(edited)
     numbered = rows.select("conv_id", "turn", "role", "text", half.alias("half"), F.monotonically_increasing_id().alias("message"))
-    streamed = numbered.select("conv_id", "turn", "role", "message", F.posexplode(halves).alias("step", "text"))
-    return streamed.select("conv_id", "message", F.struct("turn", "step").alias("seq"), F.lit(DELTA).alias("kind"), "role", "text")
+    exploded = numbered.select("conv_id", "turn", "role", "message", F.posexplode(steps).alias("step", "event"))
+    return exploded.select("conv_id", "message", F.struct("turn", "step").alias("seq"), "event.kind", "role", "event.text")
 
 
 def fold_messages(events: DataFrame) -> DataFrame:

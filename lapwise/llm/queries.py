@@ -98,7 +98,7 @@ def op3_license_scan(spark, sf_dir):
     """
 )
 def op4_chat_format(spark, sf_dir):
-    """Every row is a message of its own, streamed in two deltas; rows that tie on turn go by role and text."""
+    """Every row is a message of its own, streamed, regenerated or edited; rows that tie on turn go by role and text."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.sql(
         "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"

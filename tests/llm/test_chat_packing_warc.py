@@ -39,6 +39,8 @@ def test_chats_read_back(spark):
     rows = [(c, t, rng.choice(["user", "assistant", "a\nb" + START, None]), rng.choice([None, "".join(rng.choices(parts, k=8))])) for c in range(40) for t in range(5)]
     rows += [(99, 1, "user", "b"), (99, 1, "user", "a"), (99, 1, "assistant", "c"), (99, 1, "user", "a"), (None, None, "user", "n"), (98, 0, "assistant", "long " * 40_000)]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, message string").repartition(5)
+    kinds = {r.kind: r["count"] for r in chat_events(df).groupBy("kind").count().collect()}
+    assert set(kinds) == {"delta", "edit", "regenerate"} and min(kinds.values()) >= 30
     for r in format_chats(chat_events(df)).collect():
         own = sorted(((t if t is not None else -1, role or "", text or "") for c, t, role, text in rows if c == r.conv_id))
         assert [(t.role, t.text) for t in r.turns] == [(role, text) for _, role, text in own]
