@@ -1,7 +1,8 @@
 """Exact top-k search by inner product: tiled matrix products, partial selection per tile, merged lists.
 
-Queries are held in blocks of a fixed number of rows; every block meets every row of the candidates once. A task
-multiplies a block with one tile of its shard at a time, keeps the k best of each tile and merges them into its
+Queries are held in blocks of a fixed number of rows; every block meets every row of the candidates once. A bounded
+number of blocks is in use at a time: their results are written before the next ones are made, so that neither the
+driver nor an executor holds more for more queries. A task multiplies a block with one tile of its shard at a time, keeps the k best of each tile and merges them into its
 running lists, so that it hands on k rows per query however large its shard is. The lists of all tasks are merged
 by a tree: first in a number of groups per query, then per query.
 """
@@ -9,19 +10,26 @@ by a tree: first in a number of groups per query, then per query.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwise.llm.jobs import prepare
+from lapwise.llm.jobs import prepare, written
+from lapwise.session import new_table_path
 
 #: Queries per block: with 1,000 components, 16 MB in every task and on the driver.
 QUERY_BLOCK = 2048
+#: Blocks that are searched for in one job, each with a pass over the candidates.
+BLOCKS_AT_A_TIME = 4
 TILE = 1024
 MERGE_GROUPS = 16
 
+LISTS = "query_id long, id long, score long"
+
 #: Largest sum that double precision adds without rounding.
 EXACT = 2**53
 
@@ -58,25 +66,28 @@ def exact_top_k(
     ).where("id IS NOT NULL AND v IS NOT NULL")
     asked = rows.where("asked").groupBy("id").agg(F.min("v").alias("v"))
     candidates = rows.select("id", "v")
-    blocks = [
-        candidates.mapInArrow(_search(spark.sparkContext.broadcast(block), k), "query_id long, id long, score long")
-        for block in _blocks(asked, query_block)
-    ]
-    if not blocks:
-        found = spark.createDataFrame([], "query_id long, id long, score long")
-    else:
-        found = blocks[0]
-        for block in blocks[1:]:
-            found = found.unionAll(block)
+    # Read back in pieces, also by the driver, without going through the vectors again.
+    asked = written(asked, "queries")
+    path, searched = new_table_path(spark, "top-lists"), 0
+    for blocks in batched(_blocks(asked, query_block), BLOCKS_AT_A_TIME):
+        shared = [spark.sparkContext.broadcast(block) for block in blocks]
+        lists = [candidates.mapInArrow(_search(block, k), LISTS) for block in shared]
+        _merged(reduce(DataFrame.unionAll, lists), k).write.parquet(f"{path}/batch={searched}")
+        searched += 1
+        for block in shared:
+            block.destroy()
+    schema = "query_id long, rank int, id long, score long"
+    found = spark.read.schema(schema).parquet(path) if searched else spark.createDataFrame([], schema)
+    return found.select("query_id", "rank", F.col("id").alias(id_column), "score")
+
+
+def _merged(lists: DataFrame, k: int) -> DataFrame:
+    """The k best of each query out of the lists of all tasks, merged in groups first."""
     best = Window.partitionBy("query_id", "part").orderBy(F.desc("score"), "id")
-    parts = found.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
+    parts = lists.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
     merged = parts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     last = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (
-        merged.withColumn("rank", F.row_number().over(last))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", F.col("id").alias(id_column), "score")
-    )
+    return merged.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
 def _blocks(asked: DataFrame, size: int):
