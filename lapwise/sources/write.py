@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,21 +16,70 @@ from lapwise.functions import interval_seconds
 from lapwise.sources.read import CSV_FORMAT, TIME_FORMATS, landing_state, read_csv
 
 
-def land_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> bool:
+def land_once(df: DataFrame, path: str, partition_by: Sequence[str] = (), wait: float = 600.0) -> bool:
     """Write raw records as JSON unless the path already holds landed data; whether they were written.
 
     Landed is what a finished job marked, and a file or a folder of files that others put there. If it is landed
     nothing is computed. An empty folder, which a failed job leaves, is written to; what a job left behind that
     was lost while landing is not taken for landed data, but raises.
+
+    Of several writers the one that makes the claim, a file beside the path, lands; the others wait for it, up to
+    ``wait`` seconds, and land themselves if it fails. The claim of a lost process stays, and raises after the wait.
     """
-    writer = df.write.options(**TIME_FORMATS).partitionBy(*partition_by)
+    spark, deadline = df.sparkSession, time.monotonic() + wait
+    folder, _, name = path.rstrip("/").rpartition("/")
+    claim = f"{folder}/_claim-{name}" if folder else f"_claim-{name}"
+    while landing_state(spark, path) != "landed":
+        if _create_exclusive(spark, claim):
+            try:
+                return _land(df, path, partition_by)
+            finally:
+                _hadoop(spark, claim)[0].delete(_hadoop(spark, claim)[1], False)
+        if time.monotonic() >= deadline:
+            raise RuntimeError(f"{path} is being landed by another writer, or {claim} is left of a lost one")
+        time.sleep(0.2)
+    return False
+
+
+def _land(df: DataFrame, path: str, partition_by: Sequence[str]) -> bool:
+    # The writer before may have landed between the look and the claim.
     state = landing_state(df.sparkSession, path)
     if state == "unfinished":
         raise RuntimeError(f"{path} holds an unfinished landing; land elsewhere or clear it")
-    if state in ("missing", "empty"):
-        # The empty folder is there already.
-        writer.mode("error" if state == "missing" else "append").json(path)
-    return state in ("missing", "empty")
+    if state == "landed":
+        return False
+    # An empty folder is there already.
+    writer = df.write.options(**TIME_FORMATS).partitionBy(*partition_by)
+    writer.mode("error" if state == "missing" else "append").json(path)
+    return True
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _create_exclusive(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; false if it is there. At once on local disks and file systems like HDFS.
+
+    Object stores without conditional writes do not tell two writers of one moment apart.
+    """
+    system, where = _hadoop(spark, path)
+    system.mkdirs(system.makeQualified(where).getParent())
+    if system.getScheme() == "file":
+        # The local file system of Hadoop looks first and creates then.
+        try:
+            os.close(os.open(system.makeQualified(where).toUri().getPath(), os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        system.create(where, False).close()
+    except Py4JJavaError:
+        if system.exists(where):
+            return False
+        raise
+    return True
 
 
 def write_processed(

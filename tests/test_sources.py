@@ -3,6 +3,7 @@
 import csv
 import datetime
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,6 +95,29 @@ def test_an_empty_folder_is_not_landed_data(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "raw")).count() == 3
 
 
+def test_of_many_writers_one_lands(spark, tmp_path):
+    path = str(tmp_path / "deep" / "raw")
+    with ThreadPoolExecutor(4) as pool:
+        wrote = list(pool.map(lambda n: write.land_once(spark.range(n, n + 3), path), range(0, 40, 10)))
+    assert sorted(wrote) == [False, False, False, True]
+    first = 10 * wrote.index(True)
+    assert sorted(r.id for r in spark.read.json(path).collect()) == [first, first + 1, first + 2]
+    assert [f.name for f in (tmp_path / "deep").iterdir()] == ["raw"]
+
+
+def test_a_writer_that_fails_makes_room_for_the_next(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    assert write._create_exclusive(spark, f"{tmp_path}/_claim-raw")
+    assert not write._create_exclusive(spark, f"{tmp_path}/_claim-raw")
+    with pytest.raises(RuntimeError, match="_claim-raw"):
+        write.land_once(spark.range(3), path, wait=0.5)
+    with ThreadPoolExecutor(1) as pool:
+        waiting = pool.submit(write.land_once, spark.range(3), path)
+        (tmp_path / "_claim-raw").unlink()
+        assert waiting.result()
+    assert spark.read.json(path).count() == 3
+
+
 def test_csv_agrees_with_another_reader(spark, tmp_path):
     texts = ["plain", 'a "b" c', '"', "x,y", "line1\nline2", "", None, " spaced ", "\\", 'end\\"', "é\t"]
     df = spark.createDataFrame([(i, t, i / 4) for i, t in enumerate(texts)], "id int, s string, v double").coalesce(1)
