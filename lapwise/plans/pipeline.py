@@ -47,7 +47,7 @@ def process(
         if keep_extra and dataset == "circuit_weather":
             schema = None
         records = read_records(spark, raw[dataset], schema, multi_line)
-        return _stage(dataset, cleaned(records), stage, partition_by)
+        return stage_table(dataset, cleaned(records), stage, partition_by)
 
     # A folder beside, for this run alone.
     stage = f"{folder.rstrip('/')}-staged-{uuid.uuid4().hex}"
@@ -56,7 +56,7 @@ def process(
         staged = together({dataset: partial(job, dataset) for dataset in raw})
         if "race_control" in staged:
             status = clean.race_status(staged["race_control"][1])
-            staged["race_status"] = _stage("race_status", status, stage, partition_by)
+            staged["race_status"] = stage_table("race_status", status, stage, partition_by)
     except Exception:
         discard(spark, stage)
         raise
@@ -68,7 +68,7 @@ def process(
     return paths
 
 
-def _stage(dataset: str, df: DataFrame, stage: str, partition_by: Sequence[str]) -> tuple[str, DataFrame]:
+def stage_table(dataset: str, df: DataFrame, stage: str, partition_by: Sequence[str]) -> tuple[str, DataFrame]:
     """Write a dataset and hold what was written against its gate; its path and content."""
     path = f"{stage}/{dataset}"
     sessions = ["session_key"] if "session_key" in df.columns else []

@@ -6,6 +6,7 @@ import os
 import time
 import uuid
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -82,6 +83,19 @@ def _create_exclusive(spark: SparkSession, path: str) -> bool:
     return True
 
 
+@contextmanager
+def claimed(spark: SparkSession, path: str):
+    """Hold a claim on a path, a file beside it; raises if another writer holds it or a lost one left it."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    claim = f"{folder}/_claim-{name}" if folder else f"_claim-{name}"
+    if not _create_exclusive(spark, claim):
+        raise RuntimeError(f"{path} is being written by another writer, or {claim} is left of a lost one")
+    try:
+        yield
+    finally:
+        discard(spark, claim)
+
+
 def write_processed(
     df: DataFrame,
     path: str,
@@ -140,6 +154,17 @@ def publish(spark: SparkSession, staged: str, path: str, partition_by: Sequence[
     system.delete(source, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = _hadoop(spark, path)
+    return system.exists(where)
+
+
+def partition_folders(spark: SparkSession, path: str) -> set[str]:
+    """Names of the folders that lie directly in a table written with a partition column."""
+    system, where = _hadoop(spark, path)
+    return {e.getPath().getName() for e in system.listStatus(where) if e.isDirectory()}
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
