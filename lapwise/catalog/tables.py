@@ -22,7 +22,7 @@ from lapwise.functions import (
 )
 from lapwise.operators import aggregates, joins, quality, temporal
 from lapwise.session import new_table_path
-from lapwise.sources import read, write
+from lapwise.sources import quarantine, read, write
 
 # Views and purchases of a user; `events.ts` is unique.
 VIEWS = "event_type = 'view'"
@@ -51,6 +51,68 @@ def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.withColumn("ts", utc_wall_clock(parse_utc("ts")))
 
 
+# Lines of events, every ninth kind broken in its own way, and what is wrong with each.
+_LINES_SQL = """
+    WITH lines AS (
+        SELECT event_id, user_id, ts, event_type, CAST(round(value * 100) AS BIGINT) AS cents,
+               '{"event_id": ' || event_id || ', "user_id": ' || CASE event_id % 9 WHEN 3 THEN 'null' ELSE user_id || '' END
+               || ', "ts": "' || CASE WHEN event_id % 9 IN (2, 5) THEN event_type ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END
+               || '", "cents": ' || CASE WHEN event_id % 9 IN (1, 5) THEN '"n/a"' ELSE CAST(round(value * 100) AS BIGINT) || '' END
+               || CASE event_id % 9 WHEN 0 THEN '' ELSE '}' END AS line
+        FROM events
+    )
+"""
+
+
+@query(
+    _LINES_SQL
+    + """
+    SELECT CASE WHEN event_id % 9 NOT IN (0, 1, 2, 3, 5) THEN event_id END AS event_id,
+           CASE WHEN event_id % 9 NOT IN (0, 1, 2, 3, 5) THEN user_id END AS user_id,
+           CASE WHEN event_id % 9 NOT IN (0, 1, 2, 3, 5) THEN date_trunc('second', ts) END AS ts,
+           CASE WHEN event_id % 9 NOT IN (0, 1, 2, 3, 5) THEN cents END AS cents,
+           CASE WHEN event_id % 9 IN (0, 1, 2, 3, 5) THEN line END AS record,
+           CASE event_id % 9 WHEN 0 THEN 'not a JSON object' WHEN 1 THEN 'cents: not a bigint' WHEN 2 THEN 'ts: no time'
+                WHEN 3 THEN 'user_id: missing' WHEN 5 THEN 'ts: no time, cents: not a bigint' END AS reasons,
+           (SELECT count(*) FROM events) AS lines,
+           (SELECT count(*) FROM events WHERE event_id % 9 NOT IN (0, 1, 2, 3, 5)) AS accepted_lines
+    FROM lines
+    """
+)
+def quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines that are broken off, hold a text for a number, no time or no user: set aside, each with its reasons."""
+    kind = F.col("event_id") % 9
+    cents = F.round(F.col("value") * 100).cast("bigint").cast("string")
+    line = F.concat(
+        F.lit('{"event_id": '),
+        F.col("event_id").cast("string"),
+        F.lit(', "user_id": '),
+        F.when(kind == 3, "null").otherwise(F.col("user_id").cast("string")),
+        F.lit(', "ts": "'),
+        F.when(kind.isin(2, 5), F.col("event_type")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")),
+        F.lit('", "cents": '),
+        F.when(kind.isin(1, 5), '"n/a"').otherwise(cents),
+        F.when(kind == 0, "").otherwise("}"),
+    )
+    landed = new_table_path(spark, "landed_lines")
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(landed)
+    schema = T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("user_id", T.LongType()),
+            T.StructField("ts", T.StringType()),
+            T.StructField("cents", T.LongType()),
+        ]
+    )
+    path = new_table_path(spark, "quarantine")
+    split = quarantine.quarantine(spark.read.text(landed), path, schema, times=["ts"], required=["event_id", "user_id"])
+    accepted = split.accepted.withColumn("ts", utc_wall_clock("ts"))
+    rejected = split.rejected.withColumn("reasons", F.array_join("reasons", ", "))
+    counts = {"lines": split.counts["lines"], "accepted_lines": split.counts["accepted"]}
+    both = accepted.unionByName(rejected, allowMissingColumns=True)
+    return both.withColumns({name: F.lit(n).cast("bigint") for name, n in counts.items()})
+
+
 # Records of one landed file.
 FILE_RECORDS = 5_000
 
