@@ -213,6 +213,52 @@ def saved_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT o_orderkey, o_custkey, o_orderpriority, lines, quantity
+    FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS lines, CAST(round(sum(l_quantity)) AS BIGINT) AS quantity
+                           FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
+    """
+)
+def saved_tables_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and their lines saved in buckets of the order key, grouped and joined without a shuffle of either."""
+    files = {"bucketed_orders": f"{sf_dir}/orders.parquet", "bucketed_lines": f"{sf_dir}/lineitem.parquet"}
+    keys = {"bucketed_orders": ["o_orderkey"], "bucketed_lines": ["l_orderkey"]}
+    read.register_tables(spark, files, save=True, folder=new_table_path(spark, "bucketed"), bucket_by=keys, buckets=8)
+    return spark.sql(
+        """
+        SELECT o_orderkey, o_custkey, o_orderpriority, lines, quantity
+        FROM bucketed_orders LEFT JOIN (
+            SELECT l_orderkey, count(*) AS lines, CAST(round(sum(l_quantity)) AS BIGINT) AS quantity
+            FROM bucketed_lines GROUP BY l_orderkey) ON l_orderkey = o_orderkey
+        """
+    )
+
+
+_IN_ORDER_SQL = """
+    SELECT event_id, user_id, shown,
+           row_number() OVER (ORDER BY shown NULLS LAST, user_id DESC, event_id) AS position
+    FROM (SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN event_type END AS shown FROM events)
+"""
+
+
+@query(_IN_ORDER_SQL)
+def exported_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events exported by type (unknown last) and descending user; the place of each row in the files by name."""
+    shown = F.when(F.col("event_type") != "error", F.col("event_type")).alias("shown")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", shown)
+    path = new_table_path(spark, "ordered_events")
+    write.export_parquet(events, path, order=["shown", "-user_id"])
+    rows = spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    # Rows in the files before: a sum over one row per file.
+    sizes = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    earlier = sizes.alias("a").join(sizes.alias("b"), F.col("a.file") > F.col("b.file"), "left")
+    starts = earlier.groupBy(F.col("a.file").alias("file")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("start"))
+    return rows.join(starts, "file").select("event_id", "user_id", "shown", (F.col("start") + F.col("row") + 1).alias("position"))
+
+
 @query("SELECT count(*) AS table_rows, count(*) AS parquet_rows, count(*) AS csv_rows FROM events")
 def export_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export events with an interval column to Parquet and CSV and count what was written."""

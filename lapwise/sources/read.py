@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,16 +120,33 @@ def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def register_tables(
-    spark: SparkSession, files: Mapping[str, str], save: bool = False, folder: str | None = None
+    spark: SparkSession,
+    files: Mapping[str, str],
+    save: bool = False,
+    folder: str | None = None,
+    bucket_by: Mapping[str, Sequence[str]] | None = None,
+    buckets: int = 200,
 ) -> None:
     """Make each Parquet path available to SQL by name, replacing what had the name before.
 
-    Views by default; ``save`` copies the data into tables, in ``folder`` if given, else in the warehouse.
+    Views by default; ``save`` copies the data into tables, in ``folder`` if given, else in the warehouse. Tables named
+    in ``bucket_by`` are saved in ``buckets`` buckets of these columns, one sorted file each: tables with as many buckets
+    are joined and grouped by them without a shuffle. A key lies in one bucket, however often it occurs; choose columns
+    whose values are many.
     """
+    bucket_by = bucket_by or {}
+    if bucket_by and not save:
+        raise ValueError("only saved tables have buckets")
     for name, path in files.items():
         df = read_parquet(spark, path)
-        if save:
-            writer = df.write.mode("overwrite")
-            (writer.option("path", f"{folder}/{name}") if folder else writer).saveAsTable(name)
-        else:
+        if not save:
             df.createOrReplaceTempView(name)
+            continue
+        columns = list(bucket_by.get(name, ()))
+        if columns:
+            # Rows are dealt to tasks as they are to buckets, so that each task writes the one file of its own.
+            df = df.repartition(buckets, *columns)
+        writer = df.write.mode("overwrite")
+        if columns:
+            writer = writer.bucketBy(buckets, *columns).sortBy(*columns)
+        (writer.option("path", f"{folder}/{name}") if folder else writer).saveAsTable(name)

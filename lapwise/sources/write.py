@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapwise.functions import interval_seconds
+from lapwise.functions import interval_seconds, sort_nulls_last
 from lapwise.sources.read import CSV_FORMAT, TIME_FORMATS, landing_state, read_csv
 
 
@@ -183,18 +183,48 @@ def exportable(df: DataFrame) -> DataFrame:
     return df.withColumns({name: interval_seconds(name) for name in intervals})
 
 
-def export_parquet(df: DataFrame, path: str) -> None:
+def export_parquet(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """With an ``order``, files follow one another by name in that order (``in_key_order``)."""
+    df = in_key_order(df, order) if order else df
     exportable(df).write.mode("overwrite").parquet(path)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
+def export_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
     """Comma-separated with a header line per file, as RFC 4180 has it.
 
     Quotes are doubled, text with commas, quotes or line breaks is quoted, an empty text is ``""`` and null nothing.
+    With an ``order``, files follow one another by name in that order (``in_key_order``).
     """
+    df = in_key_order(df, order) if order else df
     exportable(df).write.mode("overwrite").options(**TIME_FORMATS, **CSV_FORMAT).csv(path)
 
 
+def in_key_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows sorted for files in key order: a leading ``-`` means descending, nulls last either way.
+
+    Cut by ranges of the order, so that no task sorts it all; further columns that can be sorted break ties, and with
+    that a range is never one key alone unless whole rows repeat. Files written from it follow one another by name.
+    """
+    named = {c.removeprefix("-") for c in order}
+    ties = [f.name for f in df.schema.fields if f.name not in named and _sortable(f.dataType)]
+    return sort_nulls_last(df, *order, *ties)
+
+
+def _sortable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_sortable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _sortable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def files_in_order(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """Files of an export by name, which is the order of their rows where it was written in order."""
+    system, where = _hadoop(spark, path)
+    names = sorted(e.getPath().getName() for e in system.listStatus(where) if e.isFile())
+    return [f"{path.rstrip('/')}/{name}" for name in names if name.endswith(suffix) and not name.startswith(("_", "."))]
+
+
 def export_counts(spark: SparkSession, df: DataFrame, parquet_path: str, csv_path: str) -> DataFrame:
     """One row: number of rows of the table and of both exports read back."""
     csv = read_csv(spark, csv_path, exportable(df).schema)

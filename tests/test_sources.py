@@ -276,3 +276,54 @@ def test_fingerprint_follows_the_files_of_a_table(spark, tmp_path):
     assert read.fingerprint(spark, str(tmp_path / "t")) == first
     spark.range(5).write.mode("append").parquet(str(tmp_path / "t"))
     assert read.fingerprint(spark, str(tmp_path / "t")) != first
+
+
+def test_files_follow_one_another_in_order(spark, tmp_path):
+    rows = [(i % 7 if i % 11 else None, i, {"k": i}, f"a,{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, i long, m map<string,long>, t string").repartition(5)
+    expected = sorted(((k, i) for k, i, *_ in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write.export_parquet(df, str(tmp_path / "p"), order=["-k"])
+        write.export_csv(df.drop("m"), str(tmp_path / "c"), order=["-k"])
+        write.export_csv(df.drop("m").limit(0), str(tmp_path / "none"), order=["-k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = write.files_in_order(spark, str(tmp_path / "p"), ".parquet")
+    assert len(files) > 1
+    assert [(r["k"], r["i"]) for f in files for r in spark.read.parquet(f).collect()] == expected
+    lines = []
+    for f in write.files_in_order(spark, str(tmp_path / "c"), ".csv"):
+        with open(f) as handle:
+            lines += list(csv.DictReader(handle))
+    assert [(int(r["k"]) if r["k"] else None, int(r["i"])) for r in lines] == expected
+    assert read.read_csv(spark, str(tmp_path / "none"), df.drop("m").schema).isEmpty()
+
+
+def test_bucketed_tables_are_joined_without_a_shuffle(spark, tmp_path):
+    keys = ["session_key", "driver_number"]
+    laps = spark.createDataFrame([(i % 5, i % 3, i) for i in range(200)], "session_key long, driver_number long, lap long")
+    drivers = spark.createDataFrame([(s, d, f"{s}-{d}") for s in range(5) for d in range(2)], "session_key long, driver_number long, name string")
+    files = {}
+    for name, df in (("bucket_laps", laps), ("bucket_drivers", drivers)):
+        files[name] = str(tmp_path / name)
+        df.write.parquet(files[name])
+    read.register_tables(spark, files, save=True, folder=str(tmp_path / "t"), bucket_by={n: keys for n in files}, buckets=4)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        joined = spark.table("bucket_laps").join(spark.table("bucket_drivers"), keys, "left").groupBy(*keys, "name").count()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        got = {(r["session_key"], r["driver_number"], r["name"], r["count"]) for r in joined.collect()}
+    finally:
+        spark.conf.unset(threshold)
+    expected = {}
+    for i in range(200):
+        key = (i % 5, i % 3, f"{i % 5}-{i % 3}" if i % 3 < 2 else None)
+        expected[key] = expected.get(key, 0) + 1
+    assert got == {(*k, n) for k, n in expected.items()}
+    # A file for each bucket at most.
+    assert len(write.files_in_order(spark, str(tmp_path / "t" / "bucket_laps"), ".parquet")) <= 4
+    with pytest.raises(ValueError, match="only saved tables"):
+        read.register_tables(spark, files, bucket_by={"bucket_laps": keys})
