@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -252,10 +252,9 @@ def exported_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(path).select(
         "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
     )
-    # Rows in the files before: a sum over one row per file.
+    # Rows in the files before: a running sum over one row per file.
     sizes = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-    earlier = sizes.alias("a").join(sizes.alias("b"), F.col("a.file") > F.col("b.file"), "left")
-    starts = earlier.groupBy(F.col("a.file").alias("file")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("start"))
+    starts = sizes.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("start"))
     return rows.join(starts, "file").select("event_id", "user_id", "shown", (F.col("start") + F.col("row") + 1).alias("position"))
 
 
