@@ -7,6 +7,7 @@ import pytest
 import race_fixture as race
 from pyspark.sql import functions as F
 
+from lapwise.catalog import race as race_queries
 from lapwise.operators.quality import QualityError
 from lapwise.plans import incremental, mart, pipeline
 from lapwise.sources.write import exportable
@@ -165,3 +166,79 @@ def test_plans(spark, tmp_path):
     assert sum(r["count"] for r in report.collect()) == 48
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
+
+
+def by_thousand():
+    return incremental.Blocks("block", F.floor(F.col("session_key") / 1000))
+
+
+def land_blocks(folder, dataset, records):
+    """One file of records, a line each, in the folder of each thousand of sessions."""
+    for block in {r["session_key"] // 1000 for r in records}:
+        path = folder / "raw" / dataset / f"block={block}"
+        path.mkdir(parents=True, exist_ok=True)
+        own = [r for r in records if r["session_key"] // 1000 == block]
+        (path / "part.json").write_text("".join(json.dumps(r) + "\n" for r in own))
+
+
+def test_blocks_of_sessions(spark, tmp_path, whole, monkeypatch):
+    """Folders, and with them what is listed and collected, go with the blocks."""
+    folder = str(tmp_path / "tables")
+    raw = {dataset: str(tmp_path / "raw" / dataset) for dataset in RECORDS}
+    later = {d: [r | {"session_key": r["session_key"] + 5000} for r in records()] for d, records in RECORDS.items()}
+    for dataset, records in RECORDS.items():
+        # 100 and 200 are in block 0, 5100 and 5200 in block 5.
+        land_blocks(tmp_path, dataset, records() + later[dataset])
+    land_blocks(tmp_path, "laps", [r for r in race.laps() if r["lap_number"] < 5])
+    first = changed(incremental.load(spark, raw, folder, blocks=by_thousand()))
+    assert first == {(dataset, block, "new") for dataset in RECORDS for block in (0, 5)}
+    assert {p.name for p in (tmp_path / "tables" / "lap_mart").glob("*=*")} == {"block=0", "block=5"}
+
+    land_blocks(tmp_path, "laps", race.laps())
+    parsed = reading(spark, monkeypatch)
+    assert changed(incremental.load(spark, raw, folder, blocks=by_thousand())) == {("laps", 0, "changed")}
+    assert parsed.value == len(race.laps())
+    loaded = incremental.loaded_mart(spark, folder)
+    assert rows(loaded.where("session_key < 1000")) == whole
+    assert loaded.count() == 2 * len(whole)
+
+    for dataset in RECORDS:
+        shutil.rmtree(tmp_path / "raw" / dataset / "block=5")
+    gone = changed(incremental.load(spark, raw, folder, blocks=by_thousand()))
+    assert gone == {(dataset, 5, "gone") for dataset in RECORDS}
+    assert rows(incremental.loaded_mart(spark, folder)) == whole
+
+    (tmp_path / "empty").mkdir()
+    nothing = dict.fromkeys(raw, str(tmp_path / "empty"))
+    with pytest.raises(ValueError, match="other blocks"):
+        incremental.load(spark, nothing, folder, blocks=incremental.Blocks("season", F.col("session_key")))
+    shutil.copytree(tmp_path / "raw" / "laps" / "block=0", tmp_path / "raw" / "laps" / "block=7")
+    with pytest.raises(Exception, match="not in its folder of block: session [12]00"):
+        incremental.load(spark, raw, folder, blocks=by_thousand())
+    assert rows(incremental.loaded_mart(spark, folder)) == whole
+
+
+def test_the_query_has_no_folder_per_session(spark, tmp_path, monkeypatch):
+    sessions, tables = 40, tmp_path / "tables"
+    derived = {
+        "orders": "SELECT id * 1500 AS o_orderkey, id AS o_custkey, 'O' AS o_orderstatus, 100.5 + id AS o_totalprice, "
+        f"'3-MEDIUM' AS o_orderpriority FROM range({sessions})",
+        "customer": "SELECT id AS c_custkey, 'Customer#' || (100 + id) AS c_name, id AS c_nationkey, 1D AS c_acctbal, "
+        f"'BUILDING' AS c_mktsegment FROM range({sessions})",
+        "nation": f"SELECT id AS n_nationkey, 'N' || id AS n_name FROM range({sessions})",
+        "lineitem": "SELECT o.id * 1500 AS l_orderkey, 5D AS l_quantity, 'R' AS l_returnflag, 'O' AS l_linestatus "
+        f"FROM range({sessions}) o, range(4)",
+        "events": "SELECT id * 100 AS event_id, TIMESTAMP'2024-01-01 00:00:01' AS ts, "
+        f"element_at(array('view', 'error', 'signup'), CAST(id % 3 AS INT) + 1) AS event_type, 2D * id AS value "
+        f"FROM range({10 * sessions})",
+    }
+    for name, sql in derived.items():
+        df = spark.sql(sql)
+        df = df.withColumn("ts", F.col("ts").cast("timestamp_ntz")) if name == "events" else df
+        df = df.withColumn("o_totalprice", F.col("o_totalprice").cast("double")) if name == "orders" else df
+        df.write.parquet(f"{tables}/{name}.parquet")
+    monkeypatch.setattr(race_queries, "new_table_path", lambda spark, name: str(tmp_path / name))
+    loaded = race_queries.incremental_mart(spark, str(tables))
+    assert loaded.select("session_key").distinct().count() == sessions == loaded.count()
+    for folder in (tmp_path / "incremental").glob("*/*"):
+        assert len(list(folder.glob("*=*"))) <= 3, folder
