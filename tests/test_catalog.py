@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as driver
 from lapwise import catalog
+from lapwise.catalog import race
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ORACLES = catalog.ORACLES
@@ -32,3 +33,10 @@ def test_query_agrees_with_sql(spark, connection, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_race_states_are_read_from_written_messages(spark):
+    """A filter over the events would work out the text of the message for each of its conditions."""
+    plan = race.derive_race_status(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "event_type" not in plan and "round" not in plan
+    assert "race_control-" in plan

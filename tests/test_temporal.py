@@ -433,3 +433,25 @@ def test_rules_that_enable_each_other_make_a_timeline(spark):
         (at(1), at(2), "VSC", "a"),
         (at(2), at(3), "RED_FLAG", "b"),
     ]
+
+
+def test_counting_rows_of_overlaps_does_not_work_out_times(spark):
+    worked_out = spark.sparkContext.accumulator(0)
+
+    @F.udf("timestamp_ntz")
+    def end(start):
+        worked_out.add(1)
+        return start and start + datetime.timedelta(seconds=90)
+
+    laps = frame(spark, [(1, at(0)), (1, at(100)), (2, at(0)), (None, at(0)), (1, None)], "k long, t timestamp_ntz")
+    laps = laps.withColumn("e", end.asNondeterministic()("t"))
+    periods = frame(spark, [(1, at(50), at(60)), (None, at(0), at(9))], "k long, s timestamp_ntz, u timestamp_ntz")
+    found = overlap_flag(laps, periods, ["k"], "t", "e", "s", "u", "hit")
+    assert worked_out.value == 0
+    rows = {(r["k"], r["t"]): r["hit"] for r in found.collect()}
+    assert rows == {(1, at(0)): True, (1, at(100)): False, (2, at(0)): False, (None, at(0)): False, (1, None): None}
+
+    # Rows of unknown times do not count: three of the key are too many, the two that can match are not.
+    sizes = slices.find_slices(laps.where("k = 1 AND t IS NOT NULL"), ["k"], ["t"], 2, laps.select("k"))
+    assert not sizes.levels
+    assert slices.find_slices(laps.where("k = 1"), ["k"], ["t"], 2, laps.select("k")).levels
